@@ -37,24 +37,27 @@ _TOTALS = "pair int, discordant decimal(38,0)"
 
 
 def _weighted_points(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(pair, x, y, weight) for every two columns, rows with a null in either left out."""
+    """(pair, x, y, weight) for every two columns, rows with a null in either left out.
+
+    Columns i < j of n make pair i * n + j.
+    """
 
     def value(name: str):
         number = named(name).cast("int").cast("double") if types[name] == "boolean" else named(name).cast("double")
         return F.when(~F.isnan(number), number)
 
     types = dict(df.dtypes)
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), value(a).alias("x"), value(b).alias("y"))
-            for i, (a, b) in enumerate(combinations(columns, 2))
-        ]
+    n = len(columns)
+    # two explodes instead of one with a struct per pair: that code would outgrow a JVM method
+    left = (
+        df.select(F.array(*[value(c) for c in columns]).alias("values"))
+        .select("values", F.posexplode("values").alias("i", "x"))
+        .where(F.col("x").isNotNull())
     )
     return (
-        df.select(*[named(c) for c in columns])
-        .select(F.inline(cells))
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("pair", "x", "y")
+        left.select("i", "x", F.posexplode(F.slice("values", F.col("i") + 2, n)).alias("offset", "y"))
+        .where(F.col("y").isNotNull())
+        .groupBy((F.col("i") * n + F.col("i") + 1 + F.col("offset")).alias("pair"), "x", "y")
         .agg(F.count(F.lit(1)).alias("weight"))
     )
 
@@ -151,7 +154,8 @@ def kendall_matrix(
     tau = F.when((free_x > 0) & (free_y > 0), score.cast("double") / (F.sqrt(free_x) * F.sqrt(free_y)))
 
     names = spark.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(combinations(columns, 2))], "pair int, col_a string, col_b string"
+        [(columns.index(a) * len(columns) + columns.index(b), a, b) for a, b in combinations(columns, 2)],
+        "pair int, col_a string, col_b string",
     )
     matrix = names.join(parts.select("pair", tau.alias("tau")), "pair", "left").select("col_a", "col_b", "tau")
     if not full:
