@@ -5,8 +5,24 @@ from __future__ import annotations
 import numpy as np
 
 
-def heavier_before(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Per row, the weight of earlier rows with a strictly larger value.
+def dense_ranks(values: np.ndarray, groups: np.ndarray | None = None) -> np.ndarray:
+    """Ranks from 0, equal values sharing one; with groups, ordered by group first."""
+    keys = (values,) if groups is None else (values, groups)
+    order = np.lexsort(keys)
+    step = np.zeros(len(values), dtype=bool)
+    for key in keys:
+        key = key[order]
+        step[1:] |= key[1:] != key[:-1]
+    ranks = np.empty(len(values), dtype=np.int64)
+    ranks[order] = np.cumsum(step)
+    return ranks
+
+
+def heavier_before(values: np.ndarray, weights: np.ndarray, groups: np.ndarray | None = None) -> np.ndarray:
+    """Per row, the weight of earlier rows of its group with a strictly larger value.
+
+    Rows come in ascending order of their group, so a row of an earlier group
+    ranks lower and never counts.
 
     Ranks are compared bit by bit from the top: rows that share the higher bits
     form a group, and inside it a row with bit 0 is passed by the earlier rows
@@ -16,7 +32,7 @@ def heavier_before(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     passed = np.zeros(n, dtype=np.int64)
     if n < 2:
         return passed
-    ranks = np.unique(values, return_inverse=True)[1].astype(np.int64)
+    ranks = dense_ranks(values, groups)
     weights = np.asarray(weights, dtype=np.int64)
     order = np.arange(n)
     for bit in range(int(ranks.max()).bit_length() - 1, -1, -1):

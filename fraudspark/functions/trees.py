@@ -71,7 +71,7 @@ def forest_arrays(nodes, sample_size: int) -> dict:
     return {
         "feature": spread(np.where(leaf, 0, nodes["feature"]), 0, np.int32),
         "threshold": spread(np.where(leaf, np.inf, nodes["threshold"].astype(float)), np.inf, np.float64),
-        "left": spread(np.where(leaf, nodes["node_id"], nodes["left"].fillna(0)), 0, np.int32),
+        "left": spread(np.where(leaf, nodes["node_id"], nodes["left"].astype(float).fillna(0)), 0, np.int32),
         "path": spread(np.where(leaf, nodes["depth"] + mean_path(nodes["size"]), 0.0), 0.0, np.float64),
         "depth": int(nodes["depth"].max()),
         "norm": max(float(mean_path(sample_size)[0]), 1e-12),

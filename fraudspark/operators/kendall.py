@@ -67,25 +67,30 @@ def _compare_in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
     rows = [batch for batch in batches if len(batch)]
     if not rows:
         return
-    for _, points in pd.concat(rows, ignore_index=True).groupby("pair", sort=False):
-        points = points.assign(passed=heavier_before(points["y"].to_numpy(), points["weight"].to_numpy()))
-        yield points[["pair", "block", "bucket", "y", "weight", "passed"]]
+    points = pd.concat(rows, ignore_index=True)
+    points["passed"] = heavier_before(
+        points["y"].to_numpy(), points["weight"].to_numpy(), points["pair"].to_numpy()
+    )
+    yield points[["pair", "block", "bucket", "y", "weight", "passed"]]
 
 
 def _compare_in_bucket(points: pd.DataFrame) -> pd.DataFrame:
     """One bucket: discordance across blocks, summed with the block part into table cells."""
-    points = points.sort_values(["block", "y"], kind="stable")
-    weight = points["weight"].to_numpy()
-    passed = points["passed"].to_numpy() + heavier_before(points["y"].to_numpy(), weight)
-    cells = points.groupby(["pair", "block", "bucket"], as_index=False)["weight"].sum()
-    cells["discordant"] = Decimal(0)
-    cells.loc[0, "discordant"] = Decimal(exact_dot(weight, passed))
+    points = points.iloc[np.lexsort((points["y"], points["block"], points["pair"]))]
+    pair, block, weight = (points[c].to_numpy() for c in ("pair", "block", "weight"))
+    passed = points["passed"].to_numpy() + heavier_before(points["y"].to_numpy(), weight, pair)
+    starts = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (block[1:] != block[:-1])])
+    cells = points.iloc[starts][["pair", "block", "bucket"]].assign(weight=np.add.reduceat(weight, starts))
+    ends = np.r_[starts[1:], len(points)]
+    cells["discordant"] = [
+        Decimal(exact_dot(weight[i:j], passed[i:j])) for i, j in zip(starts, ends)
+    ]
     return cells
 
 
 def _compare_cells(cells: pd.DataFrame) -> pd.DataFrame:
     """One pair's table: weight of cells in a later block and a lower bucket, plus what the cells carry."""
-    cells = cells.sort_values(["block", "bucket"], kind="stable")
+    cells = cells.iloc[np.lexsort((cells["bucket"], cells["block"]))]
     weight = cells["weight"].to_numpy()
     across = exact_dot(weight, heavier_before(cells["bucket"].to_numpy(), weight))
     inside = sum(int(d) for d in cells["discordant"])
@@ -99,8 +104,9 @@ def _discordant(points: DataFrame, blocks: int) -> DataFrame:
     return (
         in_blocks.sortWithinPartitions("pair", "x", "y")
         .mapInPandas(_compare_in_blocks, _POINTS_IN_BLOCK)
-        .groupBy("pair", "bucket")
+        .groupBy("bucket")
         .applyInPandas(_compare_in_bucket, _CELLS)
+        .repartition(blocks, "pair")
         .groupBy("pair")
         .applyInPandas(_compare_cells, _TOTALS)
     )
@@ -151,7 +157,8 @@ def kendall_matrix(
     free_x = (F.col("all") - F.col("tied_x")).cast("double")
     free_y = (F.col("all") - F.col("tied_y")).cast("double")
     score = F.col("all") - F.col("tied_x") - F.col("tied_y") + F.col("tied_xy") - 4 * F.col("discordant")
-    tau = F.when((free_x > 0) & (free_y > 0), score.cast("double") / (F.sqrt(free_x) * F.sqrt(free_y)))
+    ratio = score.cast("double") / (F.sqrt(free_x) * F.sqrt(free_y))
+    tau = F.when((free_x > 0) & (free_y > 0), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ratio)))
 
     names = spark.createDataFrame(
         [(columns.index(a) * len(columns) + columns.index(b), a, b) for a, b in combinations(columns, 2)],

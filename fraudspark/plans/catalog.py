@@ -43,6 +43,12 @@ def _feature_table(spark: SparkSession, folder: str) -> DataFrame:
     return features.add_features(materialize(_cleaned(spark, folder), "cleaned"), CONFIG)
 
 
+def _amount_and_age(spark: SparkSession, folder: str) -> DataFrame:
+    """Written once, because the fits and comparisons that use it read it several times."""
+    columns = ["transaction_id", "transaction_amount", "cardholder_age", "is_fraud"]
+    return materialize(_cleaned(spark, folder).select(*columns), "amounts")
+
+
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [name for name, kind in df.dtypes if kind == "double"]
     return df.withColumns({c: F.round(c, digits) for c in doubles})
@@ -260,17 +266,17 @@ def amount_age_sample(spark, folder):
 
 @query
 def kendall_amount_age(spark, folder):
-    return _rounded(kendall.kendall_tau(_cleaned(spark, folder), "transaction_amount", "cardholder_age"), 9)
+    return _rounded(kendall.kendall_tau(_amount_and_age(spark, folder), "transaction_amount", "cardholder_age"), 9)
 
 
 @query
 def kendall_fraud_amount(spark, folder):
-    return _rounded(kendall.kendall_tau(_cleaned(spark, folder), "is_fraud", "transaction_amount"), 9)
+    return _rounded(kendall.kendall_tau(_amount_and_age(spark, folder), "is_fraud", "transaction_amount"), 9)
 
 
 @query
 def kendall_matrix(spark, folder):
-    table = features.add_features(_cleaned(spark, folder), CONFIG)
+    table = _feature_table(spark, folder)
     return _rounded(kendall.kendall_matrix(table, features.model_columns(table, [CONFIG.id_column])), 9)
 
 
@@ -282,11 +288,6 @@ def kendall_events(spark, folder):
 
 # clusters
 
-
-def _amount_and_age(spark, folder) -> DataFrame:
-    return _cleaned(spark, folder).select("transaction_id", "transaction_amount", "cardholder_age", "is_fraud")
-
-
 PAIR = ["transaction_amount", "cardholder_age"]
 
 
@@ -378,7 +379,7 @@ def _fixed_clusters(df: DataFrame) -> DataFrame:
 @query
 def silhouette_fixed_clusters(spark, folder):
     """Silhouette of scaled amount and age under fixed labels, so that SQL can state it."""
-    table = materialize(_fixed_clusters(_amount_and_age(spark, folder)), "fixed-clusters")
+    table = _fixed_clusters(_amount_and_age(spark, folder))
     vector = cluster.assemble(PAIR).transform(table)
     scaled = cluster.standardize().fit(vector).transform(vector)
     score = cluster.silhouette(scaled, "features_scaled")
