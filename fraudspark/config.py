@@ -52,6 +52,7 @@ class PipelineConfig:
     encoding: str = "dense"
     max_categories: int = 200
     null_features: str = "quarantine"
+    correlate: bool = True
 
     # clustering
     n_clusters: int = 4

@@ -134,14 +134,33 @@ def _as_series_iterator(score):
 
 
 def contamination_thresholds(
-    df: DataFrame, scores: dict[str, Column], contamination: float = 0.15
+    df: DataFrame, scores: dict[str, Column], contamination: float = 0.15, bounded: bool = False
 ) -> dict[str, float]:
-    """Per score, the exact quantile above which a row counts as an anomaly."""
+    """Per score, the exact quantile above which a row counts as an anomaly.
+
+    ``bounded`` says that the rows are a size-limited pool: their values fit in
+    one buffer, so one plain aggregate does.
+    """
+    share = 1.0 - contamination
+    if bounded:
+        return df.agg(*[F.percentile(c, share).alias(name) for name, c in scores.items()]).first().asDict()
     table = df.select(*[c.alias(name) for name, c in scores.items()])
-    found = exact_quantiles(table, list(scores), [1.0 - contamination])
+    found = exact_quantiles(table, list(scores), [share])
     return {name: values[0] for name, values in found.items()}
 
 
+def _pool_thresholds(
+    pool: DataFrame,
+    columns: Sequence[str],
+    nodes: DataFrame,
+    sample_size: int,
+    names: dict[str, Column],
+    contamination: float,
+) -> dict[str, float]:
+    judged = score_rows(pool, columns, nodes, sample_size, [int(name[1:]) for name in names])
+    return contamination_thresholds(judged, names, contamination, bounded=True)
+
+
 def add_predictions(df: DataFrame, score: Column, threshold: float) -> DataFrame:
     """``predictions`` -1 for an anomaly, 1 otherwise; ``df_pred`` the same as 1 and 0."""
     anomaly = score > threshold
@@ -192,7 +211,9 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
     if cfg.scale_forest_features:
         inputs = [f"scaled_{i}" for i in range(len(columns))]
         rows = scaled(rows.withColumns({s: named(c).cast("double") for s, c in zip(inputs, columns)}), inputs)
-    pool = training_pool(rows, inputs, [cfg.id_column], cfg.pool_fraction, cfg.pool_size, cfg.seed)
+    pool = materialize(
+        training_pool(rows, inputs, [cfg.id_column], cfg.pool_fraction, cfg.pool_size, cfg.seed), "pool"
+    )
     nodes, psi = grow_forest(pool, max(cfg.tree_counts), cfg.max_samples, cfg.seed)
     nodes = materialize(nodes, "forest")
     scored = score_rows(rows, inputs, nodes, psi, cfg.tree_counts)
@@ -202,12 +223,11 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
 
     names = {f"n{n}": F.col(f"scores.n{n}") for n in sorted(set(cfg.tree_counts))}
     if cfg.threshold_on == "pool":
-        judged = score_rows(pool, inputs, nodes, psi, cfg.tree_counts)
+        thresholds = _pool_thresholds(pool, inputs, nodes, psi, names, cfg.contamination)
     elif cfg.threshold_on == "all":
-        judged = scored
+        thresholds = contamination_thresholds(scored, names, cfg.contamination)
     else:
         raise ValueError(f"unknown choice: {cfg.threshold_on}")
-    thresholds = contamination_thresholds(judged, names, cfg.contamination)
     # a handful of rows, one per tree count
     sweep = sweep_counts(scored, thresholds, cfg.label_column)
     sweep = df.sparkSession.createDataFrame(sweep.collect(), sweep.schema)
@@ -234,12 +254,11 @@ def sweep_pools(
     rows = prepare_rows(df, columns, cfg.null_features)
     tables = []
     for size in pool_sizes:
-        pool = training_pool(rows, columns, [cfg.id_column], 1.0, size, cfg.seed)
+        pool = materialize(training_pool(rows, columns, [cfg.id_column], 1.0, size, cfg.seed), "pool")
         nodes, psi = grow_forest(pool, max(cfg.tree_counts), cfg.max_samples, cfg.seed)
         nodes = materialize(nodes, "forest")
         names = {f"n{n}": F.col(f"scores.n{n}") for n in sorted(set(cfg.tree_counts))}
-        judged = score_rows(pool, columns, nodes, psi, cfg.tree_counts)
-        thresholds = contamination_thresholds(judged, names, cfg.contamination)
+        thresholds = _pool_thresholds(pool, columns, nodes, psi, names, cfg.contamination)
         scored = score_rows(rows, columns, nodes, psi, cfg.tree_counts)
         table = sweep_counts(scored, thresholds, cfg.label_column)
         tables.append(table.select(F.lit(int(size)).alias("pool"), *table.columns))

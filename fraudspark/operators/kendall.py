@@ -26,13 +26,17 @@ from pyspark.sql import DataFrame, functions as F
 from fraudspark.functions.inversions import exact_dot, heavier_before
 from fraudspark.functions.parsing import named
 from fraudspark.operators.features import model_columns
+from fraudspark.session import materialize
 
-# The table of one pair has at most MAX_BLOCKS squared cells, held by one task.
-MAX_BLOCKS = 1024
+# A block or bucket is compared inside one task and aims at this many points. The
+# table of one pair has at most MAX_BLOCKS squared cells, also held by one task.
+POINTS_PER_BLOCK = 1_000_000
+MAX_BLOCKS = 2048
 
 _BIG = "decimal(38,0)"
+_HIGH = 1 << 40  # a cell carries its discordant weight as high * _HIGH + low
 _POINTS_IN_BLOCK = "pair int, block int, bucket int, y double, weight long, passed long"
-_CELLS = "pair int, block int, bucket int, weight long, discordant decimal(38,0)"
+_CELLS = "pair int, block int, bucket int, weight long, high long, low long"
 _TOTALS = "pair int, discordant decimal(38,0)"
 
 
@@ -82,9 +86,8 @@ def _compare_in_bucket(points: pd.DataFrame) -> pd.DataFrame:
     starts = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (block[1:] != block[:-1])])
     cells = points.iloc[starts][["pair", "block", "bucket"]].assign(weight=np.add.reduceat(weight, starts))
     ends = np.r_[starts[1:], len(points)]
-    cells["discordant"] = [
-        Decimal(exact_dot(weight[i:j], passed[i:j])) for i, j in zip(starts, ends)
-    ]
+    parts = [divmod(exact_dot(weight[i:j], passed[i:j]), _HIGH) for i, j in zip(starts, ends)]
+    cells["high"], cells["low"] = zip(*parts)
     return cells
 
 
@@ -93,7 +96,7 @@ def _compare_cells(cells: pd.DataFrame) -> pd.DataFrame:
     cells = cells.iloc[np.lexsort((cells["bucket"], cells["block"]))]
     weight = cells["weight"].to_numpy()
     across = exact_dot(weight, heavier_before(cells["bucket"].to_numpy(), weight))
-    inside = sum(int(d) for d in cells["discordant"])
+    inside = int(cells["high"].sum()) * _HIGH + int(cells["low"].sum())
     return pd.DataFrame({"pair": cells["pair"].iloc[:1], "discordant": [Decimal(across + inside)]})
 
 
@@ -125,12 +128,16 @@ def kendall_matrix(
 ) -> DataFrame:
     """(col_a, col_b, tau) for every two numeric columns; ``full`` adds mirrored and diagonal cells.
 
-    tau is null where a column is constant over the rows the pair shares.
+    tau is null where a column is constant over the rows the pair shares. The
+    merged points are written once: the totals, the ties and the comparison read
+    them, and their number sets the number of blocks unless that is given.
     """
     columns = list(columns) if columns is not None else model_columns(df)
     spark = df.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    points = _weighted_points(df, columns)
+    points = materialize(_weighted_points(df, columns), "points")
+    if blocks is None:
+        spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        blocks = max(spread, -(-points.count() // POINTS_PER_BLOCK))
 
     zero = F.lit(0).cast(_BIG)
     totals = points.groupBy("pair").agg(

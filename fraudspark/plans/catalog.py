@@ -481,7 +481,7 @@ def iforest_pool_sweep(spark, folder):
 
 @query
 def scored_transactions(spark, folder):
-    return keep_csv_columns(analyze(read_transactions(spark, folder), CONFIG).scored)
+    return analyze(read_transactions(spark, folder), CONFIG).scored
 
 
 @query

@@ -10,8 +10,8 @@ from fraudspark.config import PipelineConfig
 from fraudspark.operators.anomaly import Detection, detect
 from fraudspark.operators.clean import clean
 from fraudspark.operators.cluster import Clustering, cluster
-from fraudspark.operators.explore import flag_count_by_dimension
-from fraudspark.operators.features import add_features
+from fraudspark.operators.explore import flag_count_by_dimension, hash_sample
+from fraudspark.operators.features import add_features, model_columns
 from fraudspark.operators.kendall import kendall_matrix
 from fraudspark.session import materialize
 from fraudspark.sources.sinks import keep_csv_columns, write_table
@@ -24,7 +24,8 @@ class RunResult:
     cleaned: DataFrame
     features: DataFrame
     fraud_counts: DataFrame
-    correlation: DataFrame
+    amount_age: DataFrame
+    correlation: DataFrame | None
     clustering: Clustering
     detection: Detection
 
@@ -32,23 +33,43 @@ class RunResult:
     def scored(self) -> DataFrame:
         return self.detection.rows
 
+    def tables(self) -> dict[str, DataFrame]:
+        """The small tables behind the charts and the reports."""
+        found = {
+            "fraud_counts": self.fraud_counts,
+            "pca_variance": self.clustering.variance,
+            "pca_loadings": self.clustering.loadings,
+            "cluster_centroids": self.clustering.centroids,
+            "cluster_sample": self.clustering.sample,
+            "cluster_profile": self.clustering.profile,
+            "tree_count_sweep": self.detection.sweep,
+            "class_report": self.detection.report,
+            "amount_age_sample": self.amount_age,
+        }
+        if self.correlation is not None:
+            found["correlation"] = self.correlation
+        return found
+
 
 def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult:
     """Run all steps on a raw table.
 
     The cleaned rows are written once, after the duplicate removal, which is the
     only shuffle of whole rows; encoding and everything later reads that table.
+    Model vectors stay out of the scored rows: they are wide and no sink takes them.
     """
     cleaned = materialize(clean(raw, cfg), "cleaned")
     features = add_features(cleaned, cfg)
     clustering = cluster(features, cfg)
-    detection = detect(clustering.rows, cfg)
+    detection = detect(keep_csv_columns(clustering.rows), cfg)
+    correlation = kendall_matrix(features, model_columns(features, [cfg.id_column])) if cfg.correlate else None
     return RunResult(
         raw=raw,
         cleaned=cleaned,
         features=features,
         fraud_counts=flag_count_by_dimension(features, cfg.count_dimensions, cfg.label_column),
-        correlation=kendall_matrix(features),
+        amount_age=hash_sample(cleaned, [cfg.age_column, cfg.amount_column], [cfg.id_column], seed=cfg.seed),
+        correlation=correlation,
         clustering=clustering,
         detection=detection,
     )
@@ -62,10 +83,12 @@ def register_views(result: RunResult, prefix: str = "transactions") -> None:
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
-    """Read ``cfg.input_path``, analyze, write the scored and the quarantined rows under ``cfg.output_path``."""
+    """Read ``cfg.input_path``, analyze, write rows and tables under ``cfg.output_path``."""
     raw = read_table(spark, cfg.input_path, column_types=dict(cfg.numeric_types))
     result = analyze(raw, cfg)
     output = cfg.output_path.rstrip("/")
     write_table(keep_csv_columns(result.scored), f"{output}/scored", cfg.output_format, cfg.single_file)
     write_table(keep_csv_columns(result.clustering.quarantined), f"{output}/quarantined", cfg.output_format)
+    for name, table in result.tables().items():
+        write_table(table, f"{output}/tables/{name}", cfg.output_format)
     return result

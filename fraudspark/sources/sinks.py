@@ -45,10 +45,10 @@ def write_table(
     """Overwrite ``path`` with CSV (with header) or Parquet.
 
     ``single_file`` sends every row to one task, so it is refused above
-    ``single_file_rows`` rows; a bounded read checks that.
+    ``single_file_rows`` rows.
     """
     if single_file:
-        if len(df.select(F.lit(1)).offset(single_file_rows).take(1)) > 0:
+        if df.count() > single_file_rows:
             raise ValueError(f"more than {single_file_rows} rows: write them as several files")
         df = df.repartition(1)
     writer = df.write.mode("overwrite")

@@ -38,6 +38,7 @@ def test_tables(result, small_cfg):
     )
     assert done.correlation.where("tau is not null and abs(tau) > 1").count() == 0
     assert done.detection.sweep.count() == len(small_cfg.tree_counts)
+    assert {p.name for p in (result[1] / "tables").iterdir()} == set(done.tables())
 
 
 def test_views(spark, result):
