@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from fraudspark.config import PipelineConfig
@@ -31,10 +31,12 @@ def booleans_to_int(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: named(c).cast("int") for c in columns if c in known})
 
 
-def category_values(df: DataFrame, columns: Sequence[str], max_categories: int = 200) -> dict[str, list[str]]:
-    """Sorted distinct values per column, from one scan.
+def category_counts(
+    df: DataFrame, columns: Sequence[str], max_categories: int = 200
+) -> dict[str, dict[str, int]]:
+    """Rows per distinct non-null value of each column, from one scan.
 
-    Distinct values meet per task before the shuffle, and at most
+    Values are counted per task before the shuffle, and at most
     ``max_categories`` per column are ever fetched: more is an error, not a cut.
     """
     columns = list(columns)
@@ -44,18 +46,18 @@ def category_values(df: DataFrame, columns: Sequence[str], max_categories: int =
     found = (
         df.select(F.inline(cells))
         .where(F.col("value").isNotNull())
-        .distinct()
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .limit(len(columns) * max_categories + 1)
         .collect()
     )
-    values: dict[str, list[str]] = {c: [] for c in columns}
+    counts: dict[str, dict[str, int]] = {c: {} for c in columns}
     for row in found:
-        values[row["column"]].append(row["value"])
+        counts[row["column"]][row["value"]] = row["rows"]
     for c in columns:
-        if len(values[c]) > max_categories or len(found) > len(columns) * max_categories:
+        if len(counts[c]) > max_categories or len(found) > len(columns) * max_categories:
             raise ValueError(f"{c} or a column next to it has more than {max_categories} categories")
-        values[c].sort()
-    return values
+    return counts
 
 
 def one_hot_name(column: str, value: str) -> str:
@@ -71,7 +73,7 @@ def one_hot_dense(
     """A 0/1 column ``<column>_<value>`` per category, no level dropped, null rows all zero."""
     columns = [c for c in columns if c in df.columns]
     if categories is None:
-        categories = category_values(df, columns, max_categories)
+        categories = {c: sorted(found) for c, found in category_counts(df, columns, max_categories).items()}
     return df.withColumns(
         {
             one_hot_name(c, value): F.when(named(c).cast("string") == value, 1).otherwise(0)
@@ -81,22 +83,38 @@ def one_hot_dense(
     )
 
 
-def fit_index_encoder(df: DataFrame, columns: Sequence[str], index_only: bool = False) -> PipelineModel:
-    """Index by falling frequency (ties by value), then sparse one-hot with a slot for unseen values."""
+def fit_index_encoder(
+    df: DataFrame, columns: Sequence[str], index_only: bool = False, max_categories: int = 200
+) -> PipelineModel:
+    """Index by falling frequency (ties by value), then sparse one-hot with a slot for unseen values.
+
+    The labels come from the bounded category counts, so a column with too many
+    values is refused before its values reach the driver.
+    """
     columns = list(columns)
-    indexed = [f"{c}_idx" for c in columns]
-    stages = [StringIndexer(inputCols=columns, outputCols=indexed, handleInvalid="keep")]
-    if not index_only:
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_ohe" for c in columns], dropLast=False))
-    return Pipeline(stages=stages).fit(df)
+    counts = category_counts(df, columns, max_categories)
+    indexers = [
+        StringIndexerModel.from_labels(
+            sorted(counts[c], key=lambda value: (-counts[c][value], value)), c, f"{c}_idx", handleInvalid="keep"
+        )
+        for c in columns
+    ]
+    if index_only:
+        return PipelineModel(indexers)
+    encoder = OneHotEncoder(
+        inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns], dropLast=False
+    )
+    return PipelineModel([*indexers, encoder.fit(PipelineModel(indexers).transform(df))])
 
 
-def one_hot_sparse(df: DataFrame, columns: Sequence[str], keep_index: bool = False) -> DataFrame:
+def one_hot_sparse(
+    df: DataFrame, columns: Sequence[str], keep_index: bool = False, max_categories: int = 200
+) -> DataFrame:
     """Sparse ``<column>_ohe`` vectors; the index columns go unless asked for."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    encoded = fit_index_encoder(df, columns).transform(df)
+    encoded = fit_index_encoder(df, columns, max_categories=max_categories).transform(df)
     return encoded if keep_index else encoded.drop(*[f"{c}_idx" for c in columns])
 
 
@@ -118,5 +136,5 @@ def add_features(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
     if cfg.encoding == "dense":
         return one_hot_dense(df, cfg.category_features, max_categories=cfg.max_categories)
     if cfg.encoding == "sparse":
-        return one_hot_sparse(df, cfg.category_features)
+        return one_hot_sparse(df, cfg.category_features, max_categories=cfg.max_categories)
     raise ValueError(f"unknown encoding: {cfg.encoding}")

@@ -320,10 +320,14 @@ def pca_loadings(spark, folder):
 
 @query
 def pca_projection(spark, folder):
-    """Absolute component values: the sign of a component is free."""
+    """Absolute component values, as the sign of a component is free.
+
+    To four digits: the two columns are almost uncorrelated, so the directions
+    themselves are only determined to about twelve.
+    """
     table = _amount_and_age(spark, folder)
     points = cluster.component_columns(cluster.fit_pca(table, PAIR, 2).transform(table), 2)
-    return _rounded(points.select("transaction_id", F.abs("PC1").alias("pc1"), F.abs("PC2").alias("pc2")))
+    return _rounded(points.select("transaction_id", F.abs("PC1").alias("pc1"), F.abs("PC2").alias("pc2")), 4)
 
 
 def _clustering(spark, folder) -> cluster.Clustering:
@@ -335,6 +339,33 @@ def kmeans_labels(spark, folder):
     return _clustering(spark, folder).rows.select("transaction_id", "cluster_labels")
 
 
+@query
+def kmeans_coverage(spark, folder):
+    """What must hold of any clustering: every complete row has one of the k labels."""
+    label = F.col("cluster_labels")
+    return _clustering(spark, folder).rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(label.isNull()).alias("unlabelled"),
+        F.count_distinct(label).alias("clusters"),
+        F.count_if(~label.between(0, CONFIG.n_clusters - 1)).alias("out_of_range"),
+    )
+
+
+@query
+def kmeans_profile_totals(spark, folder):
+    """Cluster sizes times cluster means must add up to the table's totals."""
+    clustering = _clustering(spark, folder)
+    sizes = clustering.rows.groupBy("cluster_labels").agg(F.count(F.lit(1)).alias("size"))
+    return (
+        clustering.profile.join(sizes, "cluster_labels")
+        .agg(
+            F.round(F.sum(F.col("mean_amount") * F.col("size")), 2).alias("amount"),
+            F.round(F.sum(F.col("mean_age") * F.col("size")), 2).alias("age"),
+            F.sum("fraud_sum").alias("frauds"),
+        )
+    )
+
+
 @query
 def kmeans_centroids(spark, folder):
     return _clustering(spark, folder).centroids
@@ -455,6 +486,43 @@ def iforest_scores(spark, folder):
     return scored.select("transaction_id", "scores.*")
 
 
+@query
+def iforest_tree_sizes(spark, folder):
+    """What must hold of any forest: each tree starts with the sample and its leaves share it out."""
+    nodes = _forest(spark, folder)[2]
+    leaf = F.col("feature") < 0
+    return nodes.groupBy("tree_id").agg(
+        F.max(F.when(F.col("node_id") == 0, F.col("size"))).alias("root_size"),
+        F.sum(F.when(leaf, F.col("size"))).alias("leaf_sizes"),
+        (F.count_if(leaf) - F.count_if(~leaf)).alias("leaves_beyond_splits"),
+        F.count_if(F.col("depth") > 8).alias("too_deep"),
+    )
+
+
+@query
+def iforest_score_range(spark, folder):
+    """Every complete row has a score strictly between 0 and 1 for every tree count."""
+    rows, columns, nodes, sample_size = _forest(spark, folder)
+    scored = anomaly.score_rows(rows, columns, nodes, sample_size, CONFIG.tree_counts).select("scores.*")
+    cells = F.array(*[F.struct(F.lit(n).alias("n_estimators"), F.col(f"n{n}").alias("score")) for n in CONFIG.tree_counts])
+    return scored.select(F.inline(cells)).groupBy("n_estimators").agg(
+        F.count("score").alias("scored"),
+        F.count_if((F.col("score") <= 0) | (F.col("score") >= 1)).alias("out_of_range"),
+    )
+
+
+@query
+def iforest_sweep_totals(spark, folder):
+    """The four counts of every tree count must add up to the table's rows and frauds."""
+    sweep = anomaly.detect(_feature_table(spark, folder), CONFIG).sweep
+    return sweep.select(
+        "n_estimators",
+        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("rows"),
+        (F.col("tp") + F.col("fn")).alias("frauds"),
+        "no_positives",
+    )
+
+
 @query
 def iforest_predictions(spark, folder):
     rows = anomaly.detect(_feature_table(spark, folder), CONFIG).rows
@@ -484,6 +552,13 @@ def scored_transactions(spark, folder):
     return analyze(read_transactions(spark, folder), CONFIG).scored
 
 
+@query
+def scored_inputs(spark, folder):
+    """The scored table without what the models add: all complete rows, unchanged."""
+    scored = analyze(read_transactions(spark, folder), CONFIG).scored
+    return scored.drop("cluster_labels", "predictions", "df_pred", "anomaly_score")
+
+
 @query
 def sql_on_clean_view(spark, folder):
     _cleaned(spark, folder).createOrReplaceTempView("transactions_clean")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fraudspark.plans.catalog import FIXED_CLUSTERS, RULE_LIMIT
+from fraudspark.plans.catalog import CONFIG, FIXED_CLUSTERS, RULE_LIMIT
 
 TRANSACTIONS = """
 WITH b AS (
@@ -349,8 +349,34 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'cardholder_age', 2, -r * v FROM l""",
     "pca_projection": f"""{CLEAN}, {_SCALED},
         r AS (SELECT sign(corr(transaction_amount, cardholder_age)) AS r FROM clean)
-        SELECT transaction_id, round(abs(a + r * g) / sqrt(2.0), 6) AS pc1, round(abs(a - r * g) / sqrt(2.0), 6) AS pc2
+        SELECT transaction_id, round(abs(a + r * g) / sqrt(2.0), 4) AS pc1, round(abs(a - r * g) / sqrt(2.0), 4) AS pc2
         FROM z, r""",
+    "kmeans_coverage": f"""{FEATURES}
+        SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS unlabelled,
+               CAST({CONFIG.n_clusters} AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS out_of_range
+        FROM feats WHERE transaction_month IS NOT NULL""",
+    "kmeans_profile_totals": f"""{FEATURES}
+        SELECT round(sum(transaction_amount), 2) AS amount, round(CAST(sum(cardholder_age) AS DOUBLE), 2) AS age,
+               CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS frauds
+        FROM feats WHERE transaction_month IS NOT NULL""",
+    "iforest_tree_sizes": f"""
+        SELECT CAST(range AS INT) AS tree_id, CAST(256 AS INT) AS root_size, CAST(256 AS BIGINT) AS leaf_sizes,
+               CAST(1 AS BIGINT) AS leaves_beyond_splits, CAST(0 AS BIGINT) AS too_deep
+        FROM range({max(CONFIG.tree_counts)})""",
+    "iforest_score_range": FEATURES
+    + " UNION ALL ".join(
+        f"SELECT CAST({n} AS INT) AS n_estimators, CAST(count(*) AS BIGINT) AS scored, "
+        "CAST(0 AS BIGINT) AS out_of_range FROM feats WHERE transaction_month IS NOT NULL"
+        for n in CONFIG.tree_counts
+    ),
+    "iforest_sweep_totals": FEATURES
+    + " UNION ALL ".join(
+        f"SELECT CAST({n} AS INT) AS n_estimators, CAST(count(*) AS BIGINT) AS rows, "
+        "CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS frauds, sum(CAST(is_fraud AS INT)) = 0 AS no_positives "
+        "FROM feats WHERE transaction_month IS NOT NULL"
+        for n in CONFIG.tree_counts
+    ),
+    "scored_inputs": f"{FEATURES} SELECT * FROM feats WHERE transaction_month IS NOT NULL",
     "quarantined_rows": f"{FEATURES} SELECT * FROM feats WHERE transaction_month IS NULL",
     "silhouette_fixed_clusters": f"""{CLEAN}, {_SCALED},
         p AS (SELECT transaction_id, cardholder_age % {FIXED_CLUSTERS} AS k, a, g FROM z),

@@ -41,6 +41,8 @@ def test_too_many_categories_is_an_error(spark):
         f.one_hot_dense(table, ["k"], max_categories=49)
     with pytest.raises(ValueError, match="more than 30"):
         f.one_hot_dense(table, ["k", "one"], max_categories=30)
+    with pytest.raises(ValueError, match="more than 49"):
+        f.one_hot_sparse(table, ["k"], max_categories=49)
     assert len(f.one_hot_dense(table, ["k", "one"], max_categories=50).columns) == 53
 
 
