@@ -69,9 +69,9 @@ def forest_arrays(nodes, sample_size: int) -> dict:
 
     # a leaf points to itself under a cut that nothing reaches
     return {
-        "feature": spread(np.where(leaf, 0, nodes["feature"]), 0, np.int32),
+        "feature": spread(np.where(leaf, 0, nodes["feature"]), 0, np.int64),
         "threshold": spread(np.where(leaf, np.inf, nodes["threshold"].astype(float)), np.inf, np.float64),
-        "left": spread(np.where(leaf, nodes["node_id"], nodes["left"].astype(float).fillna(0)), 0, np.int32),
+        "left": spread(np.where(leaf, nodes["node_id"], nodes["left"].astype(float).fillna(0)), 0, np.int64),
         "path": spread(np.where(leaf, nodes["depth"] + mean_path(nodes["size"]), 0.0), 0.0, np.float64),
         "depth": int(nodes["depth"].max()),
         "norm": max(float(mean_path(sample_size)[0]), 1e-12),
@@ -79,18 +79,31 @@ def forest_arrays(nodes, sample_size: int) -> dict:
 
 
 def forest_scores(forest: dict, rows: np.ndarray, tree_counts: Sequence[int]) -> dict[int, np.ndarray]:
-    """Anomaly score in (0, 1) of every row for each count of leading trees, from one walk."""
-    flat = np.ascontiguousarray(rows, dtype=np.float64).ravel()
-    base = np.arange(len(rows)) * rows.shape[1]
-    total = np.zeros(len(rows))
+    """Anomaly score in (0, 1) of every row for each count of leading trees, from one walk.
+
+    All rows go down a tree together, one level per step, in arrays that are
+    allocated once; clipped takes skip the bounds check, indexes are always valid.
+    """
+    n = len(rows)
+    columns = np.asfortranarray(rows, dtype=np.float64).ravel(order="F")
+    row = np.arange(n)
+    offsets = forest["feature"] * n
+    at, node = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+    value, cut, right = np.empty(n), np.empty(n), np.empty(n, dtype=bool)
+    total = np.zeros(n)
     result = {}
     for t in range(max(tree_counts)):
-        feature, threshold, left = forest["feature"][t], forest["threshold"][t], forest["left"][t]
-        node = np.zeros(len(rows), dtype=np.int64)
+        offset, threshold, left = offsets[t], forest["threshold"][t], forest["left"][t]
+        node.fill(0)
         for _ in range(forest["depth"]):
-            value = flat.take(base + feature.take(node))
-            node = left.take(node) + (value >= threshold.take(node))
-        total += forest["path"][t].take(node)
+            offset.take(node, out=at, mode="clip")
+            at += row
+            columns.take(at, out=value, mode="clip")
+            threshold.take(node, out=cut, mode="clip")
+            np.greater_equal(value, cut, out=right)
+            left.take(node, out=at, mode="clip")
+            np.add(at, right, out=node)
+        total += forest["path"][t].take(node, out=value, mode="clip")
         if t + 1 in tree_counts:
             result[t + 1] = np.exp2(-total / ((t + 1) * forest["norm"]))
     return result

@@ -70,16 +70,17 @@ def grow_forest(
 ) -> tuple[DataFrame, int]:
     """The forest as a node table, and the rows per tree.
 
-    The pool is bounded by its size limit; it travels once, as one broadcast
+    The pool is a written table of bounded size; it travels once, as one broadcast
     array. Tree *t* draws from its own generator seeded by (seed, t), so the
     trees are the same however they are spread over tasks.
     """
     spark = pool.sparkSession
-    points = pool.toPandas().to_numpy(dtype=np.float64)
-    if len(points) == 0:
+    size = pool.count()
+    if size == 0:
         raise ValueError("no complete rows to grow trees from")
-    if points.size > MAX_POOL_CELLS:
+    if size * len(pool.columns) > MAX_POOL_CELLS:
         raise ValueError("the training pool is too large to broadcast: lower pool_size")
+    points = pool.toPandas().to_numpy(dtype=np.float64)
     psi = resolve_samples(max_samples, len(points))
     shared = spark.sparkContext.broadcast(points)
 
@@ -115,7 +116,7 @@ def score_rows(
 
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = np.column_stack([c.to_numpy(dtype=np.float64) for c in batch])
+            rows = np.array([c.to_numpy(dtype=np.float64) for c in batch]).T
             yield pd.DataFrame({f"n{n}": s for n, s in forest_scores(shared.value, rows, counts).items()})
 
     # one argument per column reaches the walk as one Arrow column each

@@ -54,7 +54,7 @@ def _weighted_points(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     n = len(columns)
     # two explodes instead of one with a struct per pair: that code would outgrow a JVM method
     left = (
-        df.select(F.array(*[value(c) for c in columns]).alias("values"))
+        df.select(F.array(*[value(c) for c in columns]).alias("values"))  # nulls and NaN stay in place
         .select("values", F.posexplode("values").alias("i", "x"))
         .where(F.col("x").isNotNull())
     )
@@ -125,16 +125,24 @@ def kendall_matrix(
     columns: Sequence[str] | None = None,
     blocks: int | None = None,
     full: bool = False,
+    colocate: str | None = None,
 ) -> DataFrame:
     """(col_a, col_b, tau) for every two numeric columns; ``full`` adds mirrored and diagonal cells.
 
     tau is null where a column is constant over the rows the pair shares. The
     merged points are written once: the totals, the ties and the comparison read
     them, and their number sets the number of blocks unless that is given.
+
+    ``colocate`` names a column of many values. Its rows are first brought
+    together by value, split further by Spark where one value is hot, so that its
+    points merge before they are shuffled once per pair.
     """
     columns = list(columns) if columns is not None else model_columns(df)
     spark = df.sparkSession
-    points = materialize(_weighted_points(df, columns), "points")
+    rows = df.select(*[named(c) for c in columns])
+    if colocate is not None:
+        rows = rows.hint("rebalance", named(colocate))
+    points = materialize(_weighted_points(rows, columns), "points")
     if blocks is None:
         spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
         blocks = max(spread, -(-points.count() // POINTS_PER_BLOCK))

@@ -471,6 +471,7 @@ def _forest(spark, folder):
     columns = anomaly.forest_columns(table, CONFIG)
     rows = cluster.prepare_rows(table, columns, CONFIG.null_features)
     pool = anomaly.training_pool(rows, columns, ["transaction_id"], CONFIG.pool_fraction, CONFIG.pool_size)
+    pool = materialize(pool, "pool")
     return rows, columns, *anomaly.grow_forest(pool, max(CONFIG.tree_counts), CONFIG.max_samples, CONFIG.seed)
 
 

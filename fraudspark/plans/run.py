@@ -62,7 +62,10 @@ def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult
     features = add_features(cleaned, cfg)
     clustering = cluster(features, cfg)
     detection = detect(keep_csv_columns(clustering.rows), cfg)
-    correlation = kendall_matrix(features, model_columns(features, [cfg.id_column])) if cfg.correlate else None
+    correlation = None
+    if cfg.correlate:
+        columns = model_columns(features, [cfg.id_column])
+        correlation = kendall_matrix(features, columns, colocate=cfg.colocate_column)
     return RunResult(
         raw=raw,
         cleaned=cleaned,

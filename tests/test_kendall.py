@@ -76,3 +76,10 @@ def test_full_matrix_of_features(featured):
     assert len(cells) == 16
     assert all(cells[c, c] == 1.0 for c in columns)
     assert all(-1 <= v <= 1 and cells[b, a] == v for (a, b), v in cells.items())
+
+
+def test_bringing_rows_together_first_changes_nothing(spark):
+    table = sample(300)
+    df = spark.createDataFrame(table)
+    plain = {(r.col_a, r.col_b): r.tau for r in kendall_matrix(df, list(table)).collect()}
+    assert plain == {(r.col_a, r.col_b): r.tau for r in kendall_matrix(df, list(table), colocate="atom").collect()}
