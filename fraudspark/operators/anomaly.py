@@ -207,6 +207,8 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
     columns = list(columns) if columns is not None else forest_columns(df, cfg)
     if not columns:
         raise ValueError("no model columns")
+    if cfg.label_column not in df.columns:
+        raise ValueError(f"the label column {cfg.label_column} is needed to choose the tree count")
     rows = prepare_rows(df, columns, cfg.null_features)
     inputs = columns
     if cfg.scale_forest_features:

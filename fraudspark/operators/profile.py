@@ -17,7 +17,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 5) -> DataFrame:
-    """(column, statistic, value): count, mean, std, min, exact quartiles, max of numeric columns."""
+    """(column, statistic, value): count, mean, std, min, exact quartiles, max of numeric columns.
+
+    Takes a few passes; write the numeric columns first when ``df`` is costly to read again.
+    """
     columns = list(columns) if columns is not None else numeric_columns(df)
     basics = []
     for i, c in enumerate(columns):

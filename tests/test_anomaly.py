@@ -154,6 +154,19 @@ def test_nothing_to_train_on(rows, small_cfg):
         a.detect(rows.limit(0), small_cfg)
 
 
+def test_missing_label_is_named(rows, small_cfg):
+    with pytest.raises(ValueError, match="is_fraud"):
+        a.detect(rows.drop("is_fraud"), small_cfg)
+
+
+def test_only_model_columns_reach_python(rows):
+    pool = a.training_pool(rows, ["x"], ["transaction_id"], 1.0, 300)
+    nodes, psi = a.grow_forest(pool, 3)
+    plan = a.score_rows(rows, ["x"], nodes, psi, [3])._jdf.queryExecution().executedPlan().toString()
+    call = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    assert "x#" in call.split("[")[1] and "y#" not in call.split("]")[0]
+
+
 def test_pool_sweep(rows, small_cfg):
     table = a.sweep_pools(rows, [100, 400], small_cfg)
     assert {(r.pool, r.n_estimators) for r in table.collect()} == {(p, n) for p in (100, 400) for n in (5, 20)}

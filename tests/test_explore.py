@@ -31,3 +31,9 @@ def test_sample_share(spark):
     assert 800 < hash_sample(df, ["id"], ["id"], 0.05, 5000).count() < 1200
     assert hash_sample(df, ["id"], ["id"], 1.0, 100_000).count() == 20_000
     assert hash_sample(df, ["id"], ["id"], 1.0, 500, seed=1).exceptAll(hash_sample(df, ["id"], ["id"], 1.0, 500)).count() > 0
+
+
+def test_counts_read_only_their_columns(cleaned):
+    plan = flag_count_by_dimension(cleaned, ["merchant_name", "transaction_type"])
+    scan = plan._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1].split("\n")[0]
+    assert scan.startswith("struct<transaction_type:string,merchant_name:string,is_fraud:boolean>")
