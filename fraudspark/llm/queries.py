@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudspark.llm import decontaminate
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -16,6 +18,12 @@ def _bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.pack import pack
 
@@ -29,9 +37,17 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("law", F.lit("key"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("spans")
+
+
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_sharding": op5_sharding,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_benchmark_decontamination": decontaminate.ORACLE,
+}
