@@ -37,6 +37,18 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("law", F.lit("key"))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.quality import quality
+
+    return quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.language import language
+
+    return language(_table(spark, folder, "documents"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("spans")
 
@@ -45,7 +57,9 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_sharding": op5_sharding,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,7 +1,7 @@
 """Vectorised text helpers for Arrow batches: flat bytes, word spans, 64-bit hashes.
 
 All functions work on whole texts; batches are cut into blocks of whole documents of
-about ``BLOCK_BYTES``, so memory follows the block (or the longest document), not the batch.
+about ``BLOCK_BYTES`` (and at most ``BLOCK_TEXTS`` documents), so memory follows the block (or the longest document), not the batch.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2_000_000
+BLOCK_TEXTS = 2_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -50,7 +51,7 @@ def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[Block]:
     at = 0
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        to = min(to, n)
+        to = min(to, at + BLOCK_TEXTS, n)
         yield Block(at, raw[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], valid[at:to])
         at = to
 
