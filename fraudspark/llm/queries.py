@@ -53,6 +53,12 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("spans")
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.lm import lm_score
+
+    return lm_score(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -60,6 +66,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {
