@@ -30,6 +30,12 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), _bpe_path(), capacity=2048)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.jaccard import jaccard_components
+
+    return jaccard_components(_table(spark, folder, "documents"))
+
+
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.shard import shard
 
@@ -43,6 +49,12 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op8_approximate_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.search import nearest
+
+    return nearest(_table(spark, folder, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.language import language
 
@@ -62,9 +74,11 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_sharding": op5_sharding,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_approximate_nearest_neighbours": op8_approximate_nearest_neighbours,
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
 }
