@@ -137,9 +137,8 @@ def _search_block(k: int, dims: int, sure: float, longest: float):
     limit = chi_square_value(sure, dims)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_row": [], "ids": [], "scores": []})
         if not len(left) or not len(right):
-            return empty
+            return pd.DataFrame({"query_row": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object), "scores": pd.Series(dtype=object)})
         x = np.stack(left["v"].to_numpy()).astype(float)
         p = np.stack(left["p"].to_numpy())
         ids = left["id"].to_numpy()
