@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudspark.llm import decontaminate
+from fraudspark.llm import decontaminate, lines
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def _bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.toxicity import toxicity
 
@@ -72,6 +77,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
@@ -84,5 +90,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": lines.ORACLE,
     "op7_benchmark_decontamination": decontaminate.ORACLE,
 }
