@@ -171,10 +171,12 @@ def dedup_lines(
     distinct = materialize(distinct, "distinct_lines")
 
     sent = distinct.select("lid", "pos", F.explode("keys").alias("k")).select("lid", F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"))
-    # the earliest line of a key needs its position; it is looked up for shared keys only
     index = sent.where("indexed").groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("some"))
-    matched = sent.join(index, "key").where((F.col("n") > 1) | (F.col("some") != F.col("lid"))).select("key", "lid", "indexed")
-    # a probe of its own line's key alone is no match; distinct rows, as a line may meet a key twice
+    met = sent.join(index, "key").where((F.col("n") > 1) | (F.col("some") != F.col("lid")))
+    met = materialize(met, "met_keys")
+    alone = met.where(F.col("n") == 1).select("key", F.col("some").alias("lid"), F.lit(True).alias("indexed"))
+    matched = met.select("key", "lid", "indexed").unionByName(alone)
+    # distinct rows, as a line may meet a key twice
     matched = matched.groupBy("key", "lid").agg(F.max("indexed").alias("indexed"))
     matched = materialize(matched.join(distinct.select("lid", "pos"), "lid"), "matched_keys")
 
