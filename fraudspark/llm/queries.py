@@ -8,72 +8,72 @@ from pyspark.sql import functions as F
 from fraudspark.llm import decontaminate, lines
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _bpe_path() -> str:
+def bpe_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = lines.dedup_lines(_table(spark, folder, "documents"))
+    found = lines.dedup_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.toxicity import toxicity
 
-    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.pack import pack
 
-    return pack(_table(spark, folder, "documents"), _bpe_path(), capacity=2048)
+    return pack(table(spark, folder, "documents"), bpe_path(), capacity=2048)
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.jaccard import jaccard_components
 
-    return jaccard_components(_table(spark, folder, "documents"))
+    return jaccard_components(table(spark, folder, "documents"))
 
 
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.shard import shard
 
-    rows = shard(_table(spark, folder, "documents"), weights=[1.0] * 40, grown_weights=[1.0] * 41)
+    rows = shard(table(spark, folder, "documents"), weights=[1.0] * 40, grown_weights=[1.0] * 41)
     return rows.withColumn("law", F.lit("key"))
 
 
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.quality import quality
 
-    return quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op8_approximate_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.search import nearest
 
-    return nearest(_table(spark, folder, "embeddings"))
+    return nearest(table(spark, folder, "embeddings"))
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.language import language
 
-    return language(_table(spark, folder, "documents"))
+    return language(table(spark, folder, "documents"))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark")).drop("spans")
+    return decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("spans")
 
 
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     from fraudspark.llm.lm import lm_score
 
-    return lm_score(_table(spark, folder, "documents"))
+    return lm_score(table(spark, folder, "documents"))
 
 
 QUERIES = {

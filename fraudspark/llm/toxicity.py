@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fraudspark.llm.text import Block, blocks, hash_spans, spans
 from fraudspark.session import materialize
@@ -291,8 +292,8 @@ def _feature_rows(rows: DataFrame, terms: list[tuple[str, float]]) -> DataFrame:
             columns = [*batch.columns[:-1], *[pa.array(found[:, i]) for i in range(len(FEATURES))]]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *FEATURES])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(run, ", ".join([*fields, *[f"{f} double" for f in FEATURES]]))
+    schema = StructType([*rows.schema.fields[:-1], *[StructField(f, DoubleType()) for f in FEATURES]])
+    return rows.mapInArrow(run, schema)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: float = 1.0, steps: int = 50) -> np.ndarray:
@@ -320,12 +321,17 @@ def toxicity(
     sample_rows: int = SAMPLE_ROWS,
     lexicon_size: int = LEXICON_SIZE,
     threshold: float = 0.5,
+    keep_rows: bool = False,
 ) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted and the features behind the score."""
+    """Per document: doc_id, held_out, score, predicted and the features behind the score.
+
+    With ``keep_rows`` also the input row, as the struct ``row``.
+    """
     sample = labelled_sample(docs, labels, label_column, sample_rows, HELD_OUT, id_column, text_column)
     terms = learn_lexicon(sample, lexicon_size)
     learned = _feature_rows(sample.select("y", "text"), terms).toPandas() if terms else None  # at most sample_rows rows
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    own = [F.struct("*").alias("row")] if keep_rows else []
+    rows = docs.select(*own, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     found = _feature_rows(rows, terms)
     if learned is None:
         score = F.lit(0.0)
@@ -339,4 +345,5 @@ def toxicity(
         score.alias("score"),
         (score >= threshold).cast("int").alias("predicted"),
         *FEATURES,
+        *(["row"] if keep_rows else []),
     )
