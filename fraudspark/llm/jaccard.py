@@ -8,7 +8,8 @@ texts that hardly have anything else are compared on them.
 Texts with equal sets are one set. A bucket (the sets with a shingle in that prefix) never sends all
 its pairs: first every set is compared with one pivot, the set of its buckets that has least in
 front of the shared shingle. Linked sets then belong to one component, and only sets outside of their
-bucket's main component are compared with the sets of other components. Comparisons build a trie over
+bucket's main component are compared with the sets of other components. Pairs without enough shared
+shingles in their prefixes are dropped before whole sets are fetched. Comparisons build a trie over
 the ordered sets of a probe, walk it once for all of them, share the overlap of common beginnings,
 and drop a subtree when the remaining lengths cannot reach the threshold.
 
@@ -27,9 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fraudspark.llm.bitmap import maybe_in
 from fraudspark.llm.components import components
 from fraudspark.llm.text import Block, blocks, hash_spans, lower_ascii, mix, shingles, space_words
 from fraudspark.session import materialize
@@ -39,6 +41,7 @@ PERCENT = 80
 FREQUENT = 1 << 20
 SEEN_OFTEN = 4  # times in one batch of rows
 CHUNK = 50_000
+AHEAD = 16
 
 
 def block_shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,8 +96,18 @@ def _gather_first(value: np.ndarray, starts: np.ndarray, take: np.ndarray) -> np
     return value[at]
 
 
-def _buckets():
-    """Rows (key, chunk, at, set, n) of whole partitions to those of shared keys, with the pivot of each."""
+def _may_link(n, at, m, bt, percent: int):
+    """Whether sizes and the places of the first shared shingle leave enough overlap for a link."""
+    rest = np.minimum(n - at, m - bt)
+    return (np.minimum(n, m) * 100 >= percent * np.maximum(n, m)) & (rest * (100 + percent) >= percent * (n + m))
+
+
+def _buckets(percent: int):
+    """Rows (key, chunk, at, set, n) of whole partitions to those that may link with another, with their pivot.
+
+    In the order of sizes every row is tested with its next ``AHEAD`` neighbours; rows of larger buckets
+    that found no partner there are kept untested.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = list(batches)
@@ -102,18 +115,27 @@ def _buckets():
             return
         table = pa.Table.from_batches(read)
         key, chunk, at, own, n = (table.column(c).to_numpy() for c in ("key", "chunk", "at", "set", "n"))
+        order = np.lexsort((own, n, chunk, key))
+        key, chunk, at, own, n = (x[order].astype(np.int64) for x in (key, chunk, at, own, n))
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
+        size = np.diff(np.append(np.flatnonzero(new), len(key)))[np.cumsum(new) - 1]
+        keep = (size > AHEAD + 1) | (chunk > 0)  # the chunks of one key meet again
+        for step in range(1, AHEAD + 1):
+            same = (key[step:] == key[:-step]) & (chunk[step:] == chunk[:-step])
+            good = same & _may_link(n[step:], at[step:], n[:-step], at[:-step], percent)
+            keep[step:] |= good
+            keep[:-step] |= good
+        key, chunk, at, own, n = (x[keep] for x in (key, chunk, at, own, n))
         order = np.lexsort((own, at, chunk, key))
         key, chunk, at, own, n = (x[order] for x in (key, chunk, at, own, n))
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1])
-        first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        keep = np.diff(np.append(first, len(key)))[group] > 1
-        keep |= chunk > 0  # the chunks of one key meet again
-        pivot = first[group]
-        columns = [key, chunk, own, n.astype(np.int32), at.astype(np.int32), own[pivot], n[pivot].astype(np.int32), at[pivot].astype(np.int32)]
+        pivot = np.flatnonzero(new)[np.cumsum(new) - 1]
+        small = lambda x: x.astype(np.int32)
+        columns = [key, small(chunk), own, small(n), small(at), own[pivot], small(n[pivot]), small(at[pivot])]
         names = ["key", "chunk", "set", "n", "at", "pivot", "pivot_n", "pivot_at"]
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
     return run
 
@@ -233,13 +255,13 @@ def jaccard_components(
     kind = keyed.schema["doc_id"].dataType.simpleString()
     rows = keyed.mapInArrow(describe, f"doc_id {kind}, k1 long, k2 long, n long, set long, first array<long>")
     rows = materialize(rows, "shingle_sets")
-    distinct = rows.where(F.col("n") > 0).select("set", "n", "k1", "k2", "first").dropDuplicates(["set"])
-    distinct = materialize(distinct, "distinct_sets")
+    full = rows.where(F.col("n") > 0)
 
     # the members of shared shingles; very frequent ones in chunks
     long_keys = np.flatnonzero(often[1] > chunk)
     parts = {int(np.int64(often[0][i].view(np.int64))): int(-(-often[1][i] // chunk)) for i in long_keys}
-    exploded = distinct.select("set", "n", F.posexplode("first").alias("at", "key"))
+    once = full.select("set", F.col("n").cast("int").alias("n"), "first").dropDuplicates(["set"])
+    exploded = once.select("set", "n", F.posexplode("first").alias("at", "key"))
     if parts:
         pieces = F.broadcast(spark.createDataFrame(sorted(parts.items()), "key long, pieces int"))  # rows <= all texts / chunk
         exploded = exploded.join(pieces, "key", "left").withColumn(
@@ -249,7 +271,7 @@ def jaccard_components(
         exploded = exploded.withColumn("chunk", F.lit(0))
     dealt = exploded.select("key", "chunk", "at", "set", "n").repartition("key", "chunk")
     schema = "key long, chunk int, set long, n int, at int, pivot long, pivot_n int, pivot_at int"
-    members = materialize(dealt.mapInArrow(_buckets(), schema), "buckets")
+    members = materialize(dealt.mapInArrow(_buckets(percent), schema), "buckets")
     if parts:  # chunks of one key get the key's pivot
         tops = members.where(F.col("chunk") > 0).select("key", "chunk", "pivot", "pivot_n", "pivot_at").distinct()
         top = tops.groupBy("key").agg(F.min(F.struct("pivot_at", "pivot", "pivot_n")).alias("top"))
@@ -258,21 +280,18 @@ def jaccard_components(
             members = members.withColumn(name, F.coalesce(F.col("top")[name], F.col(name)))
         members = members.drop("top")
 
-    fits = lambda n, m: (F.least(n, m) * 100 >= percent * F.greatest(n, m))
-
-    def reach(n, at, m, bt):
-        """Most overlap that is left when the shared shingle stands at these places."""
-        return (F.least(n - at, m - bt)) * (100 + percent) >= percent * (n + m)
-
-    candidates = distinct.join(members.select("set").distinct(), "set", "left_semi").select("set", "k1", "k2")
-    sets = materialize(_sets(keyed, candidates, size, shared), "candidate_sets")
+    def may_link(n: Column, at: Column, m: Column, bt: Column) -> Column:
+        rest = F.least(n - at, m - bt) * (100 + percent)
+        return (F.least(n, m) * 100 >= percent * F.greatest(n, m)) & (rest >= percent * (n + m))
 
     star = (
-        members.where((F.col("pivot") != F.col("set")) & fits(F.col("n"), F.col("pivot_n")))
+        members.where((F.col("pivot") != F.col("set")) & may_link(*map(F.col, ("n", "at", "pivot_n", "pivot_at"))))
         .groupBy("set")
         .agg(F.min(F.struct("pivot_at", "pivot")).alias("p"))
         .select(F.col("p.pivot").alias("a"), F.col("set").alias("b"))
     )
+    star = _enough_in_front(materialize(star, "star_pairs"), full, percent, "star_fronts")
+    sets = _sets(keyed, full, star, size, shared, "star_sets")
     links = materialize(_linked(star, sets, percent), "star_links")
     merged = materialize(components(links), "star_components")
 
@@ -292,12 +311,13 @@ def jaccard_components(
         x.join(y, F.col("x.key") == F.col("y.key"))
         .where(
             (F.col("x.component") != F.col("y.component"))
-            & fits(F.col("x.n"), F.col("y.n"))
-            & reach(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"))
+            & may_link(*map(F.col, ("x.n", "x.at", "y.n", "y.at")))
         )
         .select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b"))
         .distinct()
     )
+    crossing = _enough_in_front(materialize(crossing, "crossing_pairs"), full, percent, "crossing_fronts")
+    sets = _sets(keyed, full, crossing, size, shared, "crossing_sets")
     more = materialize(_linked(crossing, sets, percent), "more_links")
     final = components(links.unionByName(more))
 
@@ -316,17 +336,45 @@ def jaccard_components(
     )
 
 
-def _sets(keyed: DataFrame, wanted: DataFrame, size: int, shared) -> DataFrame:
-    """(set, shingles) of the wanted sets: one text of each, found by its key, shuffled once."""
-    once = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-    texts = once.join(wanted, ["k1", "k2"]).select("set", "text")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+
+
+def _enough_in_front(pairs: DataFrame, full: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs that share enough shingles in their prefixes.
+
+    A shared shingle stands in both prefixes or behind the prefix that ends first, so at least the
+    needed overlap less the larger rest must be shared in front.
+    """
+    wanted = materialize(_ends(pairs), f"{name}_ids")
+    fronts = maybe_in(full.select("set", "n", "first"), "set", wanted, "set").join(wanted, "set", "left_semi")
+    fronts = materialize(fronts.dropDuplicates(["set"]), f"{name}_sets")
+    of = lambda end: fronts.select(F.col("set").alias(end), F.col("n").alias(f"n_{end}"), F.col("first").alias(f"first_{end}"))
+    rows = pairs.join(of("b"), "b").join(of("a"), "a")
+    total = F.col("n_a") + F.col("n_b")
+    needed = F.ceil(F.lit(percent) * total / (100 + percent))
+    behind = F.greatest(F.col("n_a") - F.size("first_a"), F.col("n_b") - F.size("first_b"))
+    shared = F.size(F.array_intersect("first_a", "first_b"))
+    return materialize(rows.where(shared >= needed - behind).select("a", "b"), name)
+
+
+def _sets(keyed: DataFrame, full: DataFrame, pairs: DataFrame, size: int, often, name: str) -> DataFrame:
+    """(set, shingles) of the sets in the pairs: one text of each, found by its key, shuffled once.
+
+    A bitmap of the keys spares most other texts the shuffle.
+    """
+    wanted = materialize(_ends(pairs), f"{name}_ids")
+    keys = full.join(wanted, "set", "left_semi").groupBy("set").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    keys = materialize(keys.select("set", "k.*"), f"{name}_keys")
+    once = maybe_in(keyed, "k1", keys, "k1").groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    texts = once.join(keys, ["k1", "k2"]).select("set", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
-                value, starts = ordered_sets(block, size, shared.value)
+                value, starts = ordered_sets(block, size, often.value)
                 packed = [value[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
                 own = batch.column(0).slice(block.first, len(block))
                 yield pa.RecordBatch.from_arrays([own, pa.array(packed, pa.binary())], ["set", "shingles"])
 
-    return texts.mapInArrow(run, "set long, shingles binary")
+    return materialize(texts.mapInArrow(run, "set long, shingles binary"), name)

@@ -10,7 +10,7 @@ bytes, so each line sends the hashes of its segments (the index) and of the subs
 could be a segment of an equally long or somewhat shorter line (the probes), keyed by that length and
 the segment's number. Of a key's lines only the earliest is compared with all first; lines that fall
 to it need no other, so no bucket sends all its pairs. What remains is compared with the earlier lines
-of its keys. Candidates are verified by the banded bit-parallel edit distance on what is left between
+of its keys, as far as the numbers of some letters allow so few edits. Candidates are verified by the banded bit-parallel edit distance on what is left between
 their common beginning and end.
 
 The texts of candidate lines are found by a second scan, filtered by a bitmap of fixed size. The
@@ -23,14 +23,17 @@ lines becomes empty; input columns with the names of the report are replaced; al
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fraudspark.llm.bitmap import maybe_in
 from fraudspark.session import materialize
 
 MAX_EDITS = 2
 CHARS_PER_EDIT = 10
-BITMAP_WORDS = 1 << 16  # of 64 bits
+COUNTED = "entairoh"  # letters whose numbers are compared before two lines are brought together
 
 
 def _bytes(line: Column) -> Column:
@@ -68,6 +71,16 @@ def segment_keys(b: Column, length: Column, max_edits: int, chars_per_edit: int)
     return F.array_compact(F.array(*found))
 
 
+def letter_counts(b: Column) -> Column:
+    """How often each counted letter stands in the line; one edit changes them by 2 together at most."""
+    return F.array(*[(F.length(b) - F.length(F.replace(b, F.lit(c), F.lit("")))).cast("int") for c in COUNTED])
+
+
+def counts_differ_little(x: Column, y: Column, max_edits: int) -> Column:
+    apart = sum((F.abs(F.get(x, i) - F.get(y, i)) for i in range(len(COUNTED))), F.lit(0))
+    return apart <= 2 * max_edits
+
+
 def _common(a: Column, b: Column, most: Column, steps: int, end: bool) -> Column:
     """Length of the common beginning (or end) of two strings, at most ``most``, by halving."""
     side = (lambda s, k: F.right(s, k)) if end else (lambda s, k: F.left(s, k))
@@ -129,7 +142,12 @@ def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
         F.lit((full << (width - max_edits - 1)) & full).alias("vp"), F.lit(0).alias("vn"), F.lit(max_edits).alias("d")
     )
     walked = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), start, step)["d"]
-    edits = F.when(F.col("n") - F.col("m") > max_edits, F.lit(max_edits + 1)).otherwise(walked)
+    # both ends of what is left take an edit each, so of max_edits - 1 equal parts between them one is whole
+    parts = max(1, max_edits - 1)
+    part = F.floor((F.col("m") - 2) / parts).cast("int")
+    whole = [F.col("q").contains(F.col("p").substr(F.lit(2) + part * k, part)) for k in range(parts)]
+    hopeless = F.when(F.col("m") > max_edits + 1, ~functools.reduce(lambda a, b: a | b, whole)).otherwise(F.lit(False))
+    edits = F.when((F.col("n") - F.col("m") > max_edits) | hopeless, F.lit(max_edits + 1)).otherwise(walked)
     return pairs.withColumn("edits", edits).drop("head", "tail", "p", "q", "m", "n", "pa", "qa")
 
 
@@ -166,8 +184,8 @@ def dedup_lines(
     lines = _lines(docs, id_column, text_column, chars_per_edit)
     b = F.col("b")
     described = lines.withColumn("b", _bytes(F.col("line"))).withColumn("size", F.length("b"))
-    described = described.select("of", "no", "lid", segment_keys(b, F.col("size"), max_edits, chars_per_edit).alias("keys"))
-    distinct = described.groupBy("lid").agg(F.min(F.struct("of", "no")).alias("pos"), F.first("keys").alias("keys"))
+    described = described.select("of", "no", "lid", segment_keys(b, F.col("size"), max_edits, chars_per_edit).alias("keys"), letter_counts(b).alias("letters"))
+    distinct = described.groupBy("lid").agg(F.min(F.struct("of", "no")).alias("pos"), F.first("keys").alias("keys"), F.first("letters").alias("letters"))
     distinct = materialize(distinct, "distinct_lines")
 
     sent = distinct.select("lid", "pos", F.explode("keys").alias("k")).select("lid", F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"))
@@ -178,10 +196,12 @@ def dedup_lines(
     matched = met.select("key", "lid", "indexed").unionByName(alone)
     # distinct rows, as a line may meet a key twice
     matched = matched.groupBy("key", "lid").agg(F.max("indexed").alias("indexed"))
-    matched = materialize(matched.join(distinct.select("lid", "pos"), "lid"), "matched_keys")
+    matched = materialize(matched.join(distinct.select("lid", "pos", "letters"), "lid"), "matched_keys")
 
-    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid")).alias("e"))
-    against = matched.join(earliest, "key").where(F.col("lid") != F.col("e.lid"))
+    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid", "letters")).alias("e"))
+    against = matched.join(earliest, "key").where(
+        (F.col("lid") != F.col("e.lid")) & counts_differ_little(F.col("letters"), F.col("e.letters"), max_edits)
+    )
     swap = F.col("e.pos") < F.col("pos")
     first = against.select(
         F.when(swap, F.col("e.lid")).otherwise(F.col("lid")).alias("early"),
@@ -191,21 +211,22 @@ def dedup_lines(
 
     wanted = matched.select("lid").distinct()
     wanted = materialize(wanted, "candidate_lines")
-    word = lambda c: F.pmod(c, F.lit(BITMAP_WORDS)).cast("int")
-    bit = lambda c: F.shiftrightunsigned(c, 16).bitwiseAND(F.lit(63)).cast("int")
-    bitmap = wanted.groupBy(word(F.col("lid")).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(lid, 16) & 63L AS int))")).alias("bits"))
-    seen = lines.withColumn("word", word(F.col("lid"))).join(F.broadcast(bitmap), "word")  # at most BITMAP_WORDS rows
-    seen = seen.where(F.getbit("bits", bit(F.col("lid"))) == 1).groupBy("lid").agg(F.first("line").alias("line"))
+    seen = maybe_in(lines, "lid", wanted, "lid").groupBy("lid").agg(F.first("line").alias("line"))
     texts = materialize(seen.join(wanted, "lid").select("lid", _bytes(F.col("line")).alias("line")), "candidate_texts")
 
     near = _near(first, texts, max_edits, chars_per_edit)
     gone = near.select(F.col("late").alias("lid")).distinct()
     # lines that are still there against all earlier lines of their keys, as probes and as indexed ones
-    still = matched.join(gone, "lid", "left_anti").join(earliest, "key").where(F.col("lid") != F.col("e.lid")).select("key", "lid", "pos", "indexed")
+    still = matched.join(gone, "lid", "left_anti").join(earliest, "key").where(F.col("lid") != F.col("e.lid")).select("key", "lid", "pos", "indexed", "letters")
     x, y = still.alias("x"), matched.alias("y")
     rest = (
         x.join(y, F.col("x.key") == F.col("y.key"))
-        .where((F.col("x.indexed") | F.col("y.indexed")) & (F.col("y.pos") < F.col("x.pos")) & (F.col("x.lid") != F.col("y.lid")))
+        .where(
+            (F.col("x.indexed") | F.col("y.indexed"))
+            & (F.col("y.pos") < F.col("x.pos"))
+            & (F.col("x.lid") != F.col("y.lid"))
+            & counts_differ_little(F.col("x.letters"), F.col("y.letters"), max_edits)
+        )
         .select(F.col("y.lid").alias("early"), F.col("x.lid").alias("late"))
         .distinct()
         .join(first, ["early", "late"], "left_anti")
@@ -222,19 +243,22 @@ def dedup_lines(
     text = F.col(text_column).cast("string")
     same = docs[id_column].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__text"))
     whole = docs.join(kept, same, "left")
-    split = F.split(text, "\n")
-    numbered = F.transform(split, lambda line, i: F.struct(line.alias("line"), i.alias("no")))
-    stays = F.filter(
-        numbered,
-        lambda s: (F.octet_length(s["line"]) < chars_per_edit) | F.array_contains(F.coalesce("__kept", F.array().cast("array<int>")), s["no"]),
+    numbers = F.sort_array(F.array_union(F.coalesce("__kept", F.array().cast("array<int>")), _short_lines(F.col("__lines"), chars_per_edit)))
+    report = F.struct(
+        F.when(text.isNotNull(), F.array_join(F.transform(numbers, lambda i: F.get("__lines", i)), "\n")).alias("__new"),
+        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__lines") - F.size(numbers), F.lit(0)).cast("long").alias("n_dropped"),
     )
-    whole = whole.withColumn("__stays", stays)
-    report = {
-        text_column: F.array_join(F.transform("__stays", lambda s: s["line"]), "\n"),
-        "n_lines": F.coalesce(F.size(split), F.lit(0)).cast("long"),
-        "n_dropped": F.coalesce(F.size(split) - F.size("__stays"), F.lit(0)).cast("long"),
-    }
-    return whole.withColumns(report).drop("__id", "__text", "__kept", "__stays")
+    # a generator, below which no later filter is pushed: it would split the text anew for every line
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    whole = whole.withColumn("__lines", F.split(text, "\n")).select(*own, F.inline(F.array(report)))
+    return whole.withColumn(text_column, F.col("__new")).drop("__new")
+
+
+def _short_lines(lines: Column, least: int) -> Column:
+    """Numbers of the lines that are layout."""
+    numbered = F.transform(lines, lambda line, i: F.when(F.octet_length(line) < least, i))
+    return F.array_compact(F.coalesce(numbered, F.array().cast("array<int>")))
 
 
 ORACLE = r"""
