@@ -120,13 +120,15 @@ def decontaminate(
     # the marker's print spreads markers over the tasks of a shuffled join
     marker = F.array(entry(F.xxhash64("row"), 0, F.size("w"), F.lit(None).cast("string"), F.lit(-1)))
     parts = [marker, F.transform("kept", around)]
-    for m in short:
-        parts.append(
-            F.transform(
-                _numbers(F.lit(0), F.size(w) - m),
-                lambda i, m=m: entry(F.shiftright(_gram_hash(w, i, m), POSITION_BITS), m, i, F.array_join(F.slice(w, i + 1, m), " "), i),
-            )
-        )
+
+    def brief_windows(m: int) -> Column:
+        def at(i: Column) -> Column:
+            hashed = F.shiftright(_gram_hash(w, i, m), POSITION_BITS)
+            return entry(hashed, m, i, F.array_join(F.slice(w, i + 1, m), " "), i)
+
+        return F.transform(_numbers(F.lit(0), F.size(w) - m), at)
+
+    parts += [brief_windows(m) for m in short]
     emitted = rows.select("row", "doc_id", F.explode(F.concat(*parts)).alias("e")).select("row", "doc_id", "e.*")
     hit = prints.withColumn("hit", F.lit(True))
     scanned = materialize(
