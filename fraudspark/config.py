@@ -10,6 +10,8 @@ class PipelineConfig:
     """Column roles and model settings; the defaults describe the card table."""
 
     input_path: str = ""
+    input_format: str = "csv"
+    input_schema: str | None = None  # a DDL string, "infer", or None: text, typed by numeric_types
     output_path: str = ""
 
     # column roles
@@ -50,7 +52,6 @@ class PipelineConfig:
     # features
     monday_first: bool = False
     encoding: str = "dense"
-    max_categories: int = 200
     null_features: str = "quarantine"
     correlate: bool = True
     colocate_column: str | None = None  # e.g. the amount, when its values repeat very often
@@ -64,13 +65,9 @@ class PipelineConfig:
     contamination: float = 0.15
     max_samples: int | str = "auto"
     tree_counts: tuple[int, ...] = (50, 100, 150, 200, 250)
-    pool_fraction: float = 0.2
-    pool_size: int = 50_000
     forest_categories: bool = True
     scale_forest_features: bool = False
     metric: str = "f1"
-    threshold_on: str = "pool"
 
     # output
     output_format: str = "csv"
-    single_file: bool = False

@@ -7,7 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 # The words that stand for a missing value.
-NULL_TOKENS = ("NA", "N/A", "NULL", "NONE", "")
+NULL_TOKENS = (
+    "", "NA", "N/A", "#N/A", "#N/A N/A", "#NA", "<NA>", "NAN", "-NAN", "1.#IND", "-1.#IND", "1.#QNAN", "-1.#QNAN",
+    "NULL", "NONE",
+)
 
 # Fixed value: the compact ISO 8601 form the default timestamp parser does not read.
 COMPACT_TIMESTAMP = "yyyyMMdd'T'HHmmss"
@@ -25,10 +28,21 @@ def null_if_token(column: Column, tokens: Iterable[str] = NULL_TOKENS) -> Column
 def parse_timestamp(column: Column) -> Column:
     """ISO-like text to a timestamp; null words and junk give null.
 
-    Text with no offset is read in the session time zone.
+    Text with an offset or Z is that instant, text without is read as UTC, in every session zone.
     """
-    text = F.regexp_replace(null_if_token(column.cast("string")), "Z$", "")
-    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit(COMPACT_TIMESTAMP)))
+    text = F.trim(null_if_token(column.cast("string")))
+    # hours and minutes alone get their seconds
+    text = F.regexp_replace(text, r"(?i)([T ]\d{1,2}:\d{1,2})(?=(\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?))?$)", "$1:00")
+    zoned = text.rlike(r"(?i)\d:\d+(:\d+)?(\.\d+)?\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$")
+    whole = (
+        F.when(zoned, text)
+        .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(text, F.lit("T00:00:00Z")))
+        .when(text.rlike(r"^\d{4}-\d{1,2}$"), F.concat(text, F.lit("-01T00:00:00Z")))
+        .when(text.rlike(r"^\d{4}$"), F.concat(text, F.lit("-01-01T00:00:00Z")))
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
+    compact = F.concat(F.regexp_replace(text, "(?i)z$", ""), F.lit("+0000"))
+    return F.coalesce(F.try_to_timestamp(whole), F.try_to_timestamp(compact, F.lit(COMPACT_TIMESTAMP + "xx")))
 
 
 def parse_boolean(column: Column) -> Column:

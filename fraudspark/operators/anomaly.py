@@ -10,17 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudspark.config import PipelineConfig
-from fraudspark.functions.parsing import named
+from fraudspark.functions.parsing import HASH_RANGE, named, row_hash
 from fraudspark.functions.trees import NODE_SCHEMA, forest_arrays, forest_scores, grow_tree
 from fraudspark.operators.cluster import prepare_rows, split_missing
 from fraudspark.operators.evaluate import choose_candidate, class_report, confusion_by_candidate
-from fraudspark.operators.explore import hash_sample
-from fraudspark.operators.features import model_columns, one_hot_name
+from fraudspark.operators.features import model_columns, one_hot_columns
 from fraudspark.operators.quantiles import exact_quantiles
 from fraudspark.session import materialize
 
-# Upper bounds of what is broadcast, in 8-byte cells: the pool and the node arrays.
-MAX_POOL_CELLS = 64_000_000
+# Upper bound of what is broadcast, in 8-byte cells: the node arrays.
 MAX_NODE_CELLS = 64_000_000
 
 
@@ -30,8 +28,8 @@ def forest_columns(df: DataFrame, cfg: PipelineConfig) -> list[str]:
     columns = model_columns(df, outside)
     if cfg.forest_categories:
         return columns
-    prefixes = tuple(one_hot_name(c, "") for c in cfg.category_features)
-    return [c for c in columns if not c.startswith(prefixes)]
+    made = one_hot_columns(df)
+    return [c for c in columns if c not in made]
 
 
 def scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,52 +50,81 @@ def training_pool(
     df: DataFrame,
     columns: Sequence[str],
     keys: Sequence[str],
-    fraction: float = 0.2,
-    size: int = 50_000,
+    fraction: float,
+    size: int,
     seed: int = 42,
     method: str = "xxhash64",
 ) -> DataFrame:
-    """A reproducible sample of complete rows, in hash order, at most ``size``."""
-    return hash_sample(df, columns, keys, fraction, size, seed, method)
+    """The ``size`` complete rows of least hash among a fraction, for sweeps over pool sizes.
+
+    The cut-off follows the row count, so the task that ends the top-k sees about twice ``size`` rows.
+    """
+    columns, keys = list(columns), list(keys)
+    wanted = list(dict.fromkeys(keys + columns))
+    rows = df.select(*[named(c) for c in wanted]).na.drop(subset=columns)
+    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.least(F.lit(float(fraction)), F.lit(2.0 * size + 1000.0) / F.greatest(total, F.lit(1)))
+    return (
+        rows.withColumn("sample_key", row_hash([named(c) for c in keys], seed, method))
+        .where(F.col("sample_key") < share * F.lit(HASH_RANGE))
+        .orderBy("sample_key", *[named(c) for c in wanted])
+        .limit(size)
+        .select(*[named(c) for c in columns])
+    )
 
 
 def resolve_samples(max_samples: int | str, pool_rows: int) -> int:
     return min(256 if max_samples == "auto" else int(max_samples), pool_rows)
 
 
+def tree_draws(rows: DataFrame, n_trees: int, sample_size: int, total: int, seed: int = 42) -> DataFrame:
+    """All rows' draws (tree_id, order and the row): about twice ``sample_size`` candidates for each tree.
+
+    A row is drawn by the hash of all its columns: of a large table for one tree at most, of a table
+    with fewer rows than candidates for every tree that draws it. No tree sees more than its candidates.
+    """
+    parts = [named(c) for c in rows.columns]
+    wide = lambda salt: F.pmod(F.xxhash64(*parts, F.lit(seed), salt), F.lit(1 << 32))
+    if total > 2 * sample_size * n_trees:
+        share = 2.0 * sample_size * n_trees / total
+        drawn = rows.where(wide(F.lit("in")) < F.lit(share * (1 << 32)))
+        return drawn.withColumns({"tree_id": (wide(F.lit("tree")) % n_trees).cast("long"), "order": wide(F.lit("order"))})
+    share = min(1.0, (2.0 * sample_size + 20) / total)
+    trees = F.filter(
+        F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: wide(t) < F.lit(share * (1 << 32))
+    )
+    drawn = rows.withColumn("tree_id", F.explode(trees))
+    return drawn.withColumns({"order": wide(F.col("tree_id")), "tree_id": F.col("tree_id").cast("long")})
+
+
 def grow_forest(
-    pool: DataFrame, n_trees: int, max_samples: int | str = "auto", seed: int = 42
+    rows: DataFrame, n_trees: int, max_samples: int | str = "auto", seed: int = 42, keys: Sequence[str] = ()
 ) -> tuple[DataFrame, int]:
-    """The forest as a node table, and the rows per tree.
+    """The forest as a node table, and the rows per tree, from all ``rows``.
 
-    The pool is a written table of bounded size; it travels once, as one broadcast
-    array. Tree *t* draws from its own generator seeded by (seed, t), so the
-    trees are the same however they are spread over tasks.
+    Each tree takes the rows of least hash among its draws and is one small group of its own; nothing
+    passes through the driver. ``keys`` take part in the draw, but not in the trees. Tree *t* splits by
+    a generator seeded by (seed, t), so the trees are the same however they are spread over tasks.
     """
-    spark = pool.sparkSession
-    size = pool.count()
-    if size == 0:
+    total = rows.count()
+    if total == 0:
         raise ValueError("no complete rows to grow trees from")
-    if size * len(pool.columns) > MAX_POOL_CELLS:
-        raise ValueError("the training pool is too large to broadcast: lower pool_size")
-    points = pool.toPandas().to_numpy(dtype=np.float64)
-    psi = resolve_samples(max_samples, len(points))
-    shared = spark.sparkContext.broadcast(points)
+    psi = resolve_samples(max_samples, total)
+    features = [c for c in rows.columns if c not in set(keys)]
 
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for tree in batch["id"]:
-                rng = np.random.default_rng([seed, int(tree)])
-                rows = shared.value[rng.choice(len(shared.value), psi, replace=False)]
-                nodes = pd.DataFrame(
-                    grow_tree(rows, rng),
-                    columns=["node_id", "feature", "threshold", "left", "right", "size", "depth"],
-                )
-                nodes.insert(0, "tree_id", int(tree))
-                yield nodes.astype({"left": "Int32", "right": "Int32"})
+    def grow(draws: pd.DataFrame) -> pd.DataFrame:
+        tree = int(draws["tree_id"].iloc[0])
+        points = draws[features].to_numpy(dtype=np.float64)
+        order = np.lexsort((*points.T, draws["order"].to_numpy()))[:psi]
+        nodes = pd.DataFrame(
+            grow_tree(points[order], np.random.default_rng([seed, tree])),
+            columns=["node_id", "feature", "threshold", "left", "right", "size", "depth"],
+        )
+        nodes.insert(0, "tree_id", tree)
+        return nodes.astype({"left": "Int32", "right": "Int32"})
 
-    tasks = min(n_trees, spark.sparkContext.defaultParallelism)
-    return spark.range(0, n_trees, 1, tasks).mapInPandas(grow, NODE_SCHEMA), psi
+    draws = tree_draws(rows, n_trees, psi, total, seed)
+    return draws.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA), psi
 
 
 def score_rows(
@@ -214,10 +241,9 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
     if cfg.scale_forest_features:
         inputs = [f"scaled_{i}" for i in range(len(columns))]
         rows = scaled(rows.withColumns({s: named(c).cast("double") for s, c in zip(inputs, columns)}), inputs)
-    pool = materialize(
-        training_pool(rows, inputs, [cfg.id_column], cfg.pool_fraction, cfg.pool_size, cfg.seed), "pool"
-    )
-    nodes, psi = grow_forest(pool, max(cfg.tree_counts), cfg.max_samples, cfg.seed)
+    keys = [cfg.id_column] if cfg.id_column in rows.columns else []
+    drawn = rows.select(*[named(c) for c in dict.fromkeys([*keys, *inputs])])
+    nodes, psi = grow_forest(drawn, max(cfg.tree_counts), cfg.max_samples, cfg.seed, keys)
     nodes = materialize(nodes, "forest")
     scored = score_rows(rows, inputs, nodes, psi, cfg.tree_counts)
     if cfg.scale_forest_features:
@@ -225,12 +251,7 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
     scored = materialize(scored, "scored")
 
     names = {f"n{n}": F.col(f"scores.n{n}") for n in sorted(set(cfg.tree_counts))}
-    if cfg.threshold_on == "pool":
-        thresholds = _pool_thresholds(pool, inputs, nodes, psi, names, cfg.contamination)
-    elif cfg.threshold_on == "all":
-        thresholds = contamination_thresholds(scored, names, cfg.contamination)
-    else:
-        raise ValueError(f"unknown choice: {cfg.threshold_on}")
+    thresholds = contamination_thresholds(scored, names, cfg.contamination)
     # a handful of rows, one per tree count
     sweep = sweep_counts(scored, thresholds, cfg.label_column)
     sweep = df.sparkSession.createDataFrame(sweep.collect(), sweep.schema)

@@ -123,11 +123,11 @@ def component_columns(df: DataFrame, k: int, features: str = "features_pca") ->
 
 
 def component_sample(
-    df: DataFrame, k: int, keys: Sequence[str], fraction: float = 0.05, size: int = 10_000, seed: int = 42
+    df: DataFrame, k: int, keys: Sequence[str], fraction: float = 0.05, seed: int = 42
 ) -> DataFrame:
     """A reproducible sample of points in PCA space with their labels."""
     wanted = [f"PC{i + 1}" for i in range(k)] + ["cluster_labels"]
-    return hash_sample(component_columns(df, k), wanted, keys, fraction, size, seed)
+    return hash_sample(component_columns(df, k), wanted, [*keys, *wanted], fraction, seed)
 
 
 def cluster_profile(

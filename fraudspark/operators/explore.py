@@ -45,27 +45,14 @@ def hash_sample(
     columns: Sequence[str],
     keys: Sequence[str],
     fraction: float = 0.05,
-    size: int = 5_000,
     seed: int = 42,
     method: str = "xxhash64",
 ) -> DataFrame:
-    """At most ``size`` of a ``fraction`` of the rows with all ``columns`` present.
+    """About a ``fraction`` of the rows with all ``columns`` present, at every table size.
 
-    A row is in or out by the hash of ``keys`` and ``columns``, so the sample
-    does not depend on files, partitions or retries. The cut-off is tightened to
-    about twice ``size`` rows by the row count before the top-k, so the single
-    task that ends a top-k sees a bounded number of rows.
+    A row is in or out by the hash of ``keys``, so the sample does not depend on files, partitions
+    or retries; rows that share all keys are in or out together, so name keys that tell rows apart.
     """
-    columns, keys = list(columns), list(keys)
-    wanted = list(dict.fromkeys(keys + columns))
-    rows = df.select(*[named(c) for c in wanted]).na.drop(subset=columns)
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.least(F.lit(float(fraction)), F.lit(2.0 * size + 1000.0) / F.greatest(total, F.lit(1)))
+    rows = df.na.drop(subset=list(columns))
     key = row_hash([named(c) for c in keys], seed, method)
-    return (
-        rows.withColumn("sample_key", key)
-        .where(F.col("sample_key") < share * F.lit(HASH_RANGE))
-        .orderBy("sample_key", *[named(c) for c in wanted])
-        .limit(size)
-        .select(*[named(c) for c in columns])
-    )
+    return rows.where(key < F.lit(fraction * HASH_RANGE)).select(*[named(c) for c in columns])

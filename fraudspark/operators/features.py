@@ -31,13 +31,13 @@ def booleans_to_int(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: named(c).cast("int") for c in columns if c in known})
 
 
-def category_counts(
-    df: DataFrame, columns: Sequence[str], max_categories: int = 200
-) -> dict[str, dict[str, int]]:
+ONE_HOT = "one_hot_of"
+
+
+def category_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, int]]:
     """Rows per distinct non-null value of each column, from one scan.
 
-    Values are counted per task before the shuffle, and at most
-    ``max_categories`` per column are ever fetched: more is an error, not a cut.
+    Values are counted per task before the shuffle; the distinct ones are what an encoder holds.
     """
     columns = list(columns)
     if not columns:
@@ -48,51 +48,61 @@ def category_counts(
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("rows"))
-        .limit(len(columns) * max_categories + 1)
         .collect()
     )
     counts: dict[str, dict[str, int]] = {c: {} for c in columns}
     for row in found:
         counts[row["column"]][row["value"]] = row["rows"]
-    for c in columns:
-        if len(counts[c]) > max_categories or len(found) > len(columns) * max_categories:
-            raise ValueError(f"{c} or a column next to it has more than {max_categories} categories")
     return counts
 
 
-def one_hot_name(column: str, value: str) -> str:
-    return f"{column}_{value}".replace(".", "_").replace("`", "_")
+def one_hot_names(columns: Sequence[str], categories: Mapping[str, Sequence[str]], taken: Iterable[str]) -> dict[tuple[str, str], str]:
+    """A name for each (column, value): ``<column>_<value>`` in safe letters, with a number where that is taken.
+
+    Spark compares names without case, so names are unique without it.
+    """
+    used, names = {c.lower() for c in taken}, {}
+    for c in columns:
+        for value in categories[c]:
+            plain = f"{c}_{value}".replace(".", "_").replace("`", "_")
+            name, again = plain, 1
+            while name.lower() in used:
+                again += 1
+                name = f"{plain}_{again}"
+            used.add(name.lower())
+            names[c, value] = name
+    return names
 
 
 def one_hot_dense(
-    df: DataFrame,
-    columns: Sequence[str],
-    categories: Mapping[str, Sequence[str]] | None = None,
-    max_categories: int = 200,
+    df: DataFrame, columns: Sequence[str], categories: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """A 0/1 column ``<column>_<value>`` per category, no level dropped, null rows all zero."""
     columns = [c for c in columns if c in df.columns]
     if categories is None:
-        categories = {c: sorted(found) for c, found in category_counts(df, columns, max_categories).items()}
-    return df.withColumns(
-        {
-            one_hot_name(c, value): F.when(named(c).cast("string") == value, 1).otherwise(0)
-            for c in columns
-            for value in categories[c]
-        }
-    )
+        categories = {c: sorted(found) for c, found in category_counts(df, columns).items()}
+    names = one_hot_names(columns, categories, df.columns)
+    made = {
+        name: F.when(named(c).cast("string") == value, 1).otherwise(0).alias(name, metadata={ONE_HOT: c})
+        for (c, value), name in names.items()
+    }
+    return df.select("*", *made.values())
+
+
+def one_hot_columns(df: DataFrame) -> set[str]:
+    """The columns that ``one_hot_dense`` made; the mark is kept in the schema, also in Parquet."""
+    return {f.name for f in df.schema.fields if ONE_HOT in f.metadata}
 
 
 def fit_index_encoder(
-    df: DataFrame, columns: Sequence[str], index_only: bool = False, max_categories: int = 200
+    df: DataFrame, columns: Sequence[str], index_only: bool = False
 ) -> PipelineModel:
     """Index by falling frequency (ties by value), then sparse one-hot with a slot for unseen values.
 
-    The labels come from the bounded category counts, so a column with too many
-    values is refused before its values reach the driver.
+    The labels come from the category counts of all columns, one scan.
     """
     columns = list(columns)
-    counts = category_counts(df, columns, max_categories)
+    counts = category_counts(df, columns)
     indexers = [
         StringIndexerModel.from_labels(
             sorted(counts[c], key=lambda value: (-counts[c][value], value)), c, f"{c}_idx", handleInvalid="keep"
@@ -108,23 +118,28 @@ def fit_index_encoder(
 
 
 def one_hot_sparse(
-    df: DataFrame, columns: Sequence[str], keep_index: bool = False, max_categories: int = 200
+    df: DataFrame, columns: Sequence[str], keep_index: bool = False
 ) -> DataFrame:
     """Sparse ``<column>_ohe`` vectors; the index columns go unless asked for."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    encoded = fit_index_encoder(df, columns, max_categories=max_categories).transform(df)
+    encoded = fit_index_encoder(df, columns).transform(df)
     return encoded if keep_index else encoded.drop(*[f"{c}_idx" for c in columns])
 
 
 def model_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Numeric columns by type; booleans, excluded names and category indexes are out."""
+    """Numeric columns by type; booleans, excluded names and category indexes are out.
+
+    An index is known by the nominal attribute in its metadata, not by its name.
+    """
     exclude = set(exclude)
     return [
         f.name
         for f in df.schema.fields
-        if isinstance(f.dataType, T.NumericType) and f.name not in exclude and not f.name.endswith("_idx")
+        if isinstance(f.dataType, T.NumericType)
+        and f.name not in exclude
+        and f.metadata.get("ml_attr", {}).get("type") != "nominal"
     ]
 
 
@@ -134,7 +149,7 @@ def add_features(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataF
         df = add_time_parts(df, cfg.timestamp_column, monday_first=cfg.monday_first)
     df = booleans_to_int(df, cfg.flag_features)
     if cfg.encoding == "dense":
-        return one_hot_dense(df, cfg.category_features, max_categories=cfg.max_categories)
+        return one_hot_dense(df, cfg.category_features)
     if cfg.encoding == "sparse":
-        return one_hot_sparse(df, cfg.category_features, max_categories=cfg.max_categories)
+        return one_hot_sparse(df, cfg.category_features)
     raise ValueError(f"unknown encoding: {cfg.encoding}")

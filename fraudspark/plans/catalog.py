@@ -392,7 +392,11 @@ def kmeans_silhouette(spark, folder):
 def kmeans_embeddings(spark, folder):
     """PCA and KMeans over the vectors of the embeddings table."""
     table = spark.read.parquet(f"{folder}/embeddings.parquet")
-    width = table.select(F.size("embedding").alias("n")).first()["n"]
+    # one aggregate over all rows: a vector of another length must not lose its tail
+    sizes = table.agg(F.min(F.size("embedding")).alias("least"), F.max(F.size("embedding")).alias("most")).first()
+    if sizes.least != sizes.most:
+        raise ValueError(f"vectors of {sizes.least} to {sizes.most} components")
+    width = sizes.most
     columns = [f"e{i}" for i in range(width)]
     table = table.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(columns)])
     points = cluster.fit_pca(table, columns, 2).transform(table).select("vec_id", "features_pca")
@@ -455,7 +459,7 @@ def forest_scaled_features(spark, folder):
 @query
 def training_pool(spark, folder):
     return anomaly.training_pool(
-        _cleaned(spark, folder), PAIR, ["transaction_id"], CONFIG.pool_fraction, 1000, method="md5"
+        _cleaned(spark, folder), PAIR, ["transaction_id"], 0.2, 1000, method="md5"
     )
 
 
@@ -472,9 +476,10 @@ def _forest(spark, folder):
     table = _feature_table(spark, folder)
     columns = anomaly.forest_columns(table, CONFIG)
     rows = cluster.prepare_rows(table, columns, CONFIG.null_features)
-    pool = anomaly.training_pool(rows, columns, ["transaction_id"], CONFIG.pool_fraction, CONFIG.pool_size)
-    pool = materialize(pool, "pool")
-    return rows, columns, *anomaly.grow_forest(pool, max(CONFIG.tree_counts), CONFIG.max_samples, CONFIG.seed)
+    keys = ["transaction_id"]
+    drawn = rows.select(*keys, *columns)
+    nodes, size = anomaly.grow_forest(drawn, max(CONFIG.tree_counts), CONFIG.max_samples, CONFIG.seed, keys)
+    return rows, columns, materialize(nodes, "forest"), size
 
 
 @query

@@ -229,6 +229,15 @@ z AS (SELECT transaction_id, cardholder_age, (transaction_amount - ma) / sa AS a
 """
 
 
+def _fraction_sample(columns: str, fraction: float) -> str:
+    return f"""{CLEAN},
+keyed AS (
+  SELECT *, CAST('0x' || substr(md5('42:' || CAST(transaction_id AS VARCHAR)), 1, 8) AS BIGINT) AS sample_key
+  FROM clean)
+SELECT {columns} FROM keyed WHERE sample_key < {fraction} * 4294967296
+"""
+
+
 def _hash_sample(columns: str, fraction: float, size: int) -> str:
     return f"""{CLEAN},
 keyed AS (
@@ -319,7 +328,7 @@ ORACLES: dict[str, str] = {
         f"CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS fraud_count FROM feats WHERE {d} IS NOT NULL GROUP BY {d}"
         for d in _DIMENSIONS
     ),
-    "amount_age_sample": _hash_sample("cardholder_age, transaction_amount", 0.05, 5000),
+    "amount_age_sample": _fraction_sample("cardholder_age, transaction_amount", 0.05),
     "kendall_amount_age": _kendall(CLEAN, "clean", "transaction_id", ["transaction_amount", "cardholder_age"]),
     "kendall_fraud_amount": _kendall(CLEAN, "clean", "transaction_id", ["is_fraud", "transaction_amount"]),
     "kendall_matrix": _kendall(FEATURES, "feats", "transaction_id", NUMERIC),

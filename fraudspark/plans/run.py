@@ -63,6 +63,7 @@ def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult
     clustering = cluster(features, cfg)
     detection = detect(keep_csv_columns(clustering.rows), cfg)
     correlation = None
+    pair = [cfg.age_column, cfg.amount_column]
     if cfg.correlate:
         columns = model_columns(features, [cfg.id_column])
         correlation = kendall_matrix(features, columns, colocate=cfg.colocate_column)
@@ -71,7 +72,9 @@ def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult
         cleaned=cleaned,
         features=features,
         fraud_counts=flag_count_by_dimension(features, cfg.count_dimensions, cfg.label_column),
-        amount_age=hash_sample(cleaned, [cfg.age_column, cfg.amount_column], [cfg.id_column], seed=cfg.seed),
+        amount_age=hash_sample(
+            cleaned, pair, [cfg.id_column, *pair], seed=cfg.seed
+        ),
         correlation=correlation,
         clustering=clustering,
         detection=detection,
@@ -87,10 +90,12 @@ def register_views(result: RunResult, prefix: str = "transactions") -> None:
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
     """Read ``cfg.input_path``, analyze, write rows and tables under ``cfg.output_path``."""
-    raw = read_table(spark, cfg.input_path, column_types=dict(cfg.numeric_types))
+    raw = read_table(
+        spark, cfg.input_path, schema=cfg.input_schema, column_types=dict(cfg.numeric_types), file_format=cfg.input_format
+    )
     result = analyze(raw, cfg)
     output = cfg.output_path.rstrip("/")
-    write_table(keep_csv_columns(result.scored), f"{output}/scored", cfg.output_format, cfg.single_file)
+    write_table(keep_csv_columns(result.scored), f"{output}/scored", cfg.output_format)
     write_table(keep_csv_columns(result.clustering.quarantined), f"{output}/quarantined", cfg.output_format)
     for name, table in result.tables().items():
         write_table(table, f"{output}/tables/{name}", cfg.output_format)

@@ -34,14 +34,16 @@ def read_table(
     schema: T.StructType | str | None = None,
     null_tokens: Iterable[str] = NULL_TOKENS,
     column_types: Mapping[str, str] | None = None,
+    file_format: str | None = None,
 ) -> DataFrame:
-    """CSV (default) or Parquet files, with trimmed names and normalised nulls.
+    """CSV or Parquet files or folders, also compressed, with trimmed names and normalised nulls.
 
+    Without ``file_format`` a path that ends in .parquet is Parquet and all others are CSV.
     Without a schema, CSV columns are read as text and typed later by the
     cleaning operators, so no pass over the files is spent on inference;
     ``schema="infer"`` asks for that pass.
     """
-    kind = path.rstrip("/").rsplit(".", 1)[-1].lower() if "." in path.rsplit("/", 1)[-1] else "csv"
+    kind = file_format or ("parquet" if path.rstrip("/").lower().endswith(".parquet") else "csv")
     if kind == "parquet":
         df = spark.read.parquet(path)
     elif kind == "csv":
@@ -52,6 +54,6 @@ def read_table(
             reader = reader.schema(schema)
         df = reader.csv(path)
     else:
-        raise ValueError(f"unsupported file type: {path}")
+        raise ValueError(f"unsupported file format: {kind}")
     df = normalize_nulls(strip_column_names(df), null_tokens)
     return cast_columns(df, column_types) if column_types else df

@@ -36,7 +36,7 @@ def cfg():
 
 @pytest.fixture(scope="session")
 def small_cfg(cfg):
-    return replace(cfg, tree_counts=(5, 20), pool_fraction=1.0)
+    return replace(cfg, tree_counts=(5, 20))
 
 
 @pytest.fixture(scope="session")

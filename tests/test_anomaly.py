@@ -114,9 +114,8 @@ def test_one_column(rows):
     assert psi == 64 and a.score_rows(rows, ["x"], nodes, psi, [5]).select("scores.n5").distinct().count() > 10
 
 
-@pytest.mark.parametrize("threshold_on", ["pool", "all"])
-def test_detect(rows, small_cfg, threshold_on):
-    cfg = replace(small_cfg, threshold_on=threshold_on)
+def test_detect(rows, small_cfg):
+    cfg = small_cfg
     found = a.detect(rows, cfg)
     types = dict(found.rows.dtypes)
     assert types["predictions"] == "int" and types["df_pred"] == "int"
@@ -176,6 +175,26 @@ def test_quality_over_seeds(clustering, cfg):
     """Recall gate of the job, and precision well above the base rate, without category columns."""
     base = clustering.rows.agg(F.avg(F.col("is_fraud").cast("int"))).first()[0]
     for seed in (42, 43, 44):
-        chosen = replace(cfg, seed=seed, forest_categories=False, tree_counts=(100, 200), pool_fraction=1.0)
+        chosen = replace(cfg, seed=seed, forest_categories=False, tree_counts=(100, 200))
         best = a.choose_candidate(a.detect(clustering.rows, chosen).sweep).first()
         assert best.recall >= 0.35 and best.precision >= 2 * base
+
+
+def test_draws_come_from_all_rows(spark):
+    """Every part of a large table is drawn from, each tree from about twice its rows."""
+    df = spark.range(60_000).select("id", (F.col("id") % 100).cast("double").alias("x"))
+    for trees, size in ((20, 64), (200, 256)):  # more rows than candidates, and fewer
+        drawn = a.tree_draws(df, trees, size, 60_000)
+        per_tree = {r.tree_id: r["count"] for r in drawn.groupBy("tree_id").count().collect()}
+        assert set(per_tree) == set(range(trees))
+        assert all(size < n < 3 * size for n in per_tree.values())
+        assert drawn.where("id >= 50000").count() > 0.1 * drawn.count()
+    nodes, psi = a.grow_forest(df, 10, keys=["id"])
+    roots = nodes.where("node_id = 0").collect()
+    assert psi == 256 and [r["size"] for r in roots] == [256] * 10
+
+
+def test_small_tables_fill_their_trees(spark):
+    df = spark.range(50).select("id", F.col("id").cast("double").alias("x"))
+    nodes, psi = a.grow_forest(df, 8, keys=["id"])
+    assert psi == 50 and [r["size"] for r in nodes.where("node_id = 0").collect()] == [50] * 8

@@ -46,6 +46,14 @@ def test_timestamps(spark):
     table = spark.createDataFrame([(s,) for s in cases], "s string")
     found = {r.s: r.t for r in table.select("s", parse_timestamp(named("s")).cast("timestamp_ntz").alias("t")).collect()}
     assert found == cases
+    seconds = table.select("s", parse_timestamp(named("s")).cast("long").alias("t"))
+    before = {r.s: r.t for r in seconds.collect()}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert {r.s: r.t for r in table.select("s", parse_timestamp(named("s")).cast("long").alias("t")).collect()} == before
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_booleans(spark):

@@ -35,15 +35,24 @@ def test_dense_one_hot(spark):
     assert [sum(r) for r in rows] == [1, 1, 0]
 
 
-def test_too_many_categories_is_an_error(spark):
-    table = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("one"))
-    with pytest.raises(ValueError, match="more than 49"):
-        f.one_hot_dense(table, ["k"], max_categories=49)
-    with pytest.raises(ValueError, match="more than 30"):
-        f.one_hot_dense(table, ["k", "one"], max_categories=30)
-    with pytest.raises(ValueError, match="more than 49"):
-        f.one_hot_sparse(table, ["k"], max_categories=49)
-    assert len(f.one_hot_dense(table, ["k", "one"], max_categories=50).columns) == 53
+def test_names_that_would_clash(spark):
+    table = spark.createDataFrame([("a.b",), ("a_b",), ("A_B",)], "k string").withColumn("K_a_b", F.lit(7))
+    made = f.one_hot_dense(table, ["k"])
+    rows = made.collect()
+    assert len(set(c.lower() for c in made.columns)) == 5 and all(sum(r[2:]) == 1 and r[1] == 7 for r in rows)
+    assert f.one_hot_columns(made) == set(made.columns[2:])
+
+
+def test_many_categories(spark):
+    table = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    assert len(f.one_hot_dense(table, ["k"]).columns) == 1001
+    assert f.one_hot_sparse(table, ["k"]).first()["k_ohe"].size == 1001
+
+
+def test_columns_named_like_an_index_are_model_columns(spark):
+    table = spark.createDataFrame([("a", 1.0)], "k string, risk_idx double")
+    made = f.one_hot_sparse(table, ["k"], keep_index=True)
+    assert f.model_columns(made) == ["risk_idx"]
 
 
 def test_sparse_one_hot_has_a_slot_for_unseen_values(spark):

@@ -24,7 +24,7 @@ def test_csv_inference_and_schema(spark, tmp_path):
 
 def test_unknown_file_type(spark):
     with pytest.raises(ValueError, match="unsupported"):
-        read_table(spark, "/data/in.xlsx")
+        read_table(spark, "/data/in.xlsx", file_format="xlsx")
 
 
 def test_csv_columns(spark):
@@ -42,12 +42,19 @@ def test_write_and_overwrite(spark, tmp_path, file_format):
     assert read_table(spark, path).count() == 20
 
 
-def test_single_file_is_bounded(spark, tmp_path):
-    out = tmp_path / "one"
-    write_table(spark.range(20), str(out), single_file=True, single_file_rows=20)
-    assert len(list(out.glob("part-*.csv"))) == 1
-    with pytest.raises(ValueError, match="more than 19 rows"):
-        write_table(spark.range(20), str(out), single_file=True, single_file_rows=19)
+def test_folders_and_compressed_files(spark, tmp_path):
+    out = str(tmp_path / "scored.v2")
+    write_table(spark.range(20), out, "parquet")
+    assert read_table(spark, out, file_format="parquet").count() == 20
+    spark.range(20).write.option("header", True).option("compression", "gzip").csv(out + ".z")
+    assert read_table(spark, out + ".z").count() == 20
+
+
+@pytest.mark.parametrize("word", ["nan", "<NA>", "#N/A", "N/A", "null", " NA "])
+def test_null_words(spark, word):
+    from fraudspark.sources.tables import normalize_nulls
+
+    assert normalize_nulls(spark.createDataFrame([(word,)], "v string")).first().v is None
 
 
 def test_written_tables_go_to_the_named_folder(spark):

@@ -1,4 +1,5 @@
 import math
+import os
 
 import duckdb
 import pytest
@@ -6,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "orders", "events", "embeddings"]
+TABLES = sorted(name.removesuffix(".parquet") for name in os.listdir(FOLDER))
 
 
 @pytest.fixture(scope="module")
