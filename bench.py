@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -38,6 +39,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
             "spark.log.level": "ERROR",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     QUERIES["label_totals"](spark, folder).collect()  # start the JVM and the workers

@@ -78,7 +78,9 @@ def parquet_round_trip(spark, folder):
 
 @query
 def csv_safe_columns(spark, folder):
-    encoded = features.one_hot_sparse(_cleaned(spark, folder), ["transaction_type", "entry_mode"])
+    # written first: the encoders count the categories before they encode
+    table = materialize(_cleaned(spark, folder), "cleaned")
+    encoded = features.one_hot_sparse(table, ["transaction_type", "entry_mode"])
     return keep_csv_columns(encoded)
 
 
@@ -207,16 +209,15 @@ def flags_as_int(spark, folder):
 
 @query
 def one_hot(spark, folder):
-    table = features.one_hot_dense(
-        _cleaned(spark, folder).select("transaction_id", *CONFIG.category_features), CONFIG.category_features
-    )
+    table = materialize(_cleaned(spark, folder).select("transaction_id", *CONFIG.category_features), "cleaned")
+    table = features.one_hot_dense(table, CONFIG.category_features)
     return table.drop(*CONFIG.category_features)
 
 
 @query
 def string_index(spark, folder):
     columns = list(CONFIG.category_features)
-    table = _cleaned(spark, folder).select("transaction_id", *columns)
+    table = materialize(_cleaned(spark, folder).select("transaction_id", *columns), "cleaned")
     indexed = features.fit_index_encoder(table, columns, index_only=True).transform(table)
     return indexed.drop(*columns)
 
@@ -224,7 +225,8 @@ def string_index(spark, folder):
 @query
 def one_hot_sparse(spark, folder):
     columns = list(CONFIG.category_features)
-    encoded = features.one_hot_sparse(_cleaned(spark, folder).select("transaction_id", *columns), columns)
+    table = materialize(_cleaned(spark, folder).select("transaction_id", *columns), "cleaned")
+    encoded = features.one_hot_sparse(table, columns)
     cells = {c: vector_to_array(f"{c}_ohe") for c in columns}
     return encoded.select(
         "transaction_id",
@@ -235,12 +237,12 @@ def one_hot_sparse(spark, folder):
 
 @query
 def feature_table(spark, folder):
-    return features.add_features(_cleaned(spark, folder), CONFIG)
+    return features.add_features(materialize(_cleaned(spark, folder), "cleaned"), CONFIG)
 
 
 @query
 def numeric_features(spark, folder):
-    table = features.add_features(_cleaned(spark, folder), CONFIG)
+    table = features.add_features(materialize(_cleaned(spark, folder), "cleaned"), CONFIG)
     return table.select("transaction_id", *features.model_columns(table, [CONFIG.id_column]))
 
 
@@ -405,7 +407,7 @@ def kmeans_embeddings(spark, folder):
 
 @query
 def quarantined_rows(spark, folder):
-    table = features.add_features(_cleaned(spark, folder), CONFIG)
+    table = features.add_features(materialize(_cleaned(spark, folder), "cleaned"), CONFIG)
     return cluster.split_missing(table, cluster.cluster_columns(table, CONFIG))[1]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +26,17 @@ class RunResult:
     features: DataFrame
     fraud_counts: DataFrame
     amount_age: DataFrame
-    correlation: DataFrame | None
     clustering: Clustering
     detection: Detection
+    cfg: PipelineConfig
+
+    @cached_property
+    def correlation(self) -> DataFrame | None:
+        """Kendall's tau of the model columns, computed when first asked for."""
+        if not self.cfg.correlate:
+            return None
+        columns = model_columns(self.features, [self.cfg.id_column])
+        return kendall_matrix(self.features, columns, colocate=self.cfg.colocate_column)
 
     @property
     def scored(self) -> DataFrame:
@@ -62,11 +71,7 @@ def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult
     features = add_features(cleaned, cfg)
     clustering = cluster(features, cfg)
     detection = detect(keep_csv_columns(clustering.rows), cfg)
-    correlation = None
     pair = [cfg.age_column, cfg.amount_column]
-    if cfg.correlate:
-        columns = model_columns(features, [cfg.id_column])
-        correlation = kendall_matrix(features, columns, colocate=cfg.colocate_column)
     return RunResult(
         raw=raw,
         cleaned=cleaned,
@@ -75,7 +80,7 @@ def analyze(raw: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> RunResult
         amount_age=hash_sample(
             cleaned, pair, [cfg.id_column, *pair], seed=cfg.seed
         ),
-        correlation=correlation,
+        cfg=cfg,
         clustering=clustering,
         detection=detection,
     )
