@@ -347,7 +347,8 @@ def _enough_in_front(pairs: DataFrame, full: DataFrame, percent: int, name: str)
     needed overlap less the larger rest must be shared in front.
     """
     wanted = materialize(_ends(pairs), f"{name}_ids")
-    fronts = maybe_in(full.select("set", "n", "first"), "set", wanted, "set").join(wanted, "set", "left_semi")
+    # a semi-join here would be moved before the bitmap and shuffle every prefix; rows too many do no harm
+    fronts = maybe_in(full.select("set", "n", "first"), "set", wanted, "set")
     fronts = materialize(fronts.dropDuplicates(["set"]), f"{name}_sets")
     of = lambda end: fronts.select(F.col("set").alias(end), F.col("n").alias(f"n_{end}"), F.col("first").alias(f"first_{end}"))
     rows = pairs.join(of("b"), "b").join(of("a"), "a")
