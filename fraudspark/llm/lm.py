@@ -1,21 +1,25 @@
-"""LM scoring: a word trigram model in an Elias-Fano n-gram trie.
+"""LM scoring: a word trigram model of all n-grams, dealt by context into Elias-Fano levels.
 
-Counts are exact over all training documents and are made in passes of one scan and one shuffle of
-pre-aggregated rows each. A word enters the vocabulary with a share of at least ``word_share`` of all
-tokens, a longer n-gram the trie with ``gram_share``; the rest is <unk> or backs off. So the model has
-at most 1 / share entries a level whatever the corpus, and may be broadcast. Longer n-grams are counted
-only where all their parts are kept, which loses none that could be kept itself.
+Counts are exact over all training documents and nothing is cut: every word, bigram and trigram that
+was seen is in the model, which therefore grows with the corpus. No process holds it whole. The n-grams
+of each document (START START w1 ... wn END, so each token ends one trigram) are summed per document
+and sent once, packed, to the bucket of their context's hash; buckets hold about ``BUCKET_TOKENS``
+tokens. A bucket's task sums the training counts of its contexts, builds the level set of its trigrams
+and looks up its own queries in it, which wait in an unlinked file meanwhile. What it does not hold
+(trigrams of held-out texts) is scored by joins: back-off weight of the context, then the bigram, or
+the back-off weight of its first word and the last word alone.
 
-Levels: the words with probabilities, and for each context its successors. Pointers into the next
-level and the successors' numbers (made monotone by adding the last number of the context before) are
-Elias-Fano sequences: low bits packed, high bits in unary. A trigram's last word is written as its
-rank among the successors of the middle word, so the search is relative to the context. Log
-probabilities and back-off weights are quantised to 8 bits a level. Probabilities are discounted
-relative frequencies; back-off weights give each context a total of 1; <unk> shares its probability
-evenly among the words outside the vocabulary. Tasks map the levels from a file that is unlinked at once.
+Levels: for each context its successors. Pointers and the successors' numbers (made monotone by adding
+the last number of the context before) are Elias-Fano sequences: low bits packed, high bits in unary.
+Log probabilities of trigrams are quantised to 8 bits a bucket. Probabilities are discounted relative
+frequencies; back-off weights give each context a total of 1; words never seen in training are <unk>.
+``Trie`` is the same model in one process with 8 bits for every level.
 
-The base score needs the exact count of every token: those of the vocabulary are broadcast with it,
-all other tokens are joined by shuffle.
+Logs are summed in billionths, so no order of rows changes a score. Texts are named by a 64-bit hash in
+between; equal texts get equal scores.
+
+The base score needs the exact count of every token: words with a share of at least ``word_share`` (at
+most 1 / word_share of them) are broadcast with their counts, all other tokens are joined by shuffle.
 
 Defined results: a null or empty text is the end token alone; repeated rows count and are scored each;
 with nothing to learn from, all counts are 0; other columns are not read.
@@ -32,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudspark.llm.text import Block, blocks, hash_spans, lower_ascii, space_words
+from fraudspark.llm.text import Block, blocks, hash_spans, lower_ascii, mix, space_words
 from fraudspark.llm.toxicity import held_out
 from fraudspark.session import materialize
 
 WORD_SHARE = 1e-6
-GRAM_SHARE = 5e-7
+BUCKET_TOKENS = 1 << 20
+MERGE_ROWS = 1 << 21
+UNIT = 1e9
 DISCOUNT = 0.75
 HELD_OUT = (7, 2)
 ID_BITS = 20
@@ -343,17 +349,228 @@ def _fetch(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return key[order], n[order]
 
 
+def _distinct_rows(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order that sorts the rows (first column first), and the places in it where a new row begins."""
+    order = np.lexsort(columns[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for x in columns:
+        x = x[order]
+        new[1:] |= x[1:] != x[:-1]
+    return order, np.flatnonzero(new)
+
+
+def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    mixed = mix(a.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
+    return mix(mixed).view(np.int64)
+
+
+def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, its trigrams): texts, whether they train, and each text's distinct trigrams with their times."""
+    hashes, doc = _words(block)
+    n = len(block)
+    ids, begins = _sequences(hashes, doc, n)
+    owner = np.repeat(np.arange(n), np.diff(np.append(begins, len(ids))))
+    ends = np.ones(len(ids), bool)
+    ends[begins] = False
+    at = np.flatnonzero(ends)
+    first = at == begins[owner[at]] + 1
+    a, b, c, owner = np.where(first, START, ids[at - 1 - ~first]), ids[at - 1], ids[at], owner[at]
+    context = _pair_key(a, b)
+    bucket = (context.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
+    order, new = _distinct_rows(bucket, owner, context, c)
+    times = np.diff(np.append(new, len(order)))
+    order = order[new]
+    texts = hash_spans(block.data, block.starts[:-1], block.starts[1:]).view(np.int64)
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for i, j in zip(edges, np.append(edges[1:], len(order)), strict=True):
+        rows = order[i:j]
+        own, of = np.unique(owner[rows], return_inverse=True)
+        words, number = np.unique(np.concatenate((a[rows], b[rows], c[rows])), return_inverse=True)
+        head = np.array([len(own), len(rows), len(words)])
+        columns = [head, texts[own], words, *(x.astype(np.uint32) for x in (trains[own], of, times[i:j], number))]
+        raw = b"".join(x.tobytes() for x in columns)
+        yield int(bucket[rows[0]]), np.array([len(raw)]).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
+    """texts, trains, of, times, context, b, c."""
+    raw = pa.decompress(packed[8:], int(np.frombuffer(packed, np.int64, 1)[0]), "zstd", asbytes=True)
+    n_texts, n, n_words = np.frombuffer(raw, np.int64, 3).tolist()
+    texts, words = np.split(np.frombuffer(raw, np.int64, n_texts + n_words, 24), [n_texts])
+    small = np.frombuffer(raw, np.uint32, offset=24 + 8 * (n_texts + n_words)).astype(np.int64)
+    trains, of, times, a, b, c = np.split(small, np.cumsum([n_texts, n, n, n, n]))
+    a, b, c = words[a], words[b], words[c]
+    return texts, trains, of, times, _pair_key(a, b), b, c
+
+
+class Bucket:
+    """The trigrams of some contexts: counts first, then a level set that answers the queries of the same file."""
+
+    def __init__(self):
+        self.file, self.parts, self.waiting = tempfile.TemporaryFile(), [], 0
+
+    def add(self, packed: bytes) -> None:
+        self.file.write(np.array([len(packed)]).tobytes() + packed)
+        _, trains, of, times, context, b, c = _unpacked(packed)
+        own = trains[of] > 0
+        self.parts.append((context[own], b[own], c[own], times[own]))
+        self.waiting += int(own.sum())
+        if self.waiting > MERGE_ROWS:
+            self._merge()
+
+    def _merge(self) -> None:
+        context, b, c, times = (np.concatenate([x[i] for x in self.parts]) for i in range(4))
+        order, new = _distinct_rows(context, c)
+        summed = np.add.reduceat(times[order], new) if len(order) else times
+        order = order[new]
+        # rows that are distinct already wait no more, so merging takes turns with doubled input
+        self.parts, self.waiting = [(context[order], b[order], c[order], summed)], -len(order)
+
+    def answers(self) -> Iterator[dict[str, np.ndarray]]:
+        """Sums of found trigrams per text, trigrams not found, and the successors of their contexts."""
+        self.parts = self.parts or [(np.zeros(0, np.int64),) * 4]
+        self._merge()
+        context, b, c, n = self.parts[0]
+        contexts, begin, of = np.unique(context, return_index=True, return_inverse=True)
+        words, number = np.unique(c, return_inverse=True)
+        total = np.bincount(of, n, len(contexts))
+        level = _level(of, number + 1, max(len(contexts), 1), np.log10((n - DISCOUNT) / total[of]), np.zeros(len(n)))
+        left = DISCOUNT * np.bincount(of, minlength=len(contexts)) / np.maximum(total, 1)
+        units = np.rint(level.prob_book * UNIT).astype(np.int64)
+        missed = np.zeros(len(contexts), bool)
+
+        def place(sorted_keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+            if not len(sorted_keys):
+                return np.full(len(asked), -1, np.int64)
+            at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
+            return np.where(sorted_keys[at] == asked, at, -1)
+
+        self.file.seek(0)
+        while head := self.file.read(8):
+            texts, _, owner, times, asked, middle, last = _unpacked(self.file.read(int(np.frombuffer(head, np.int64)[0])))
+            ctx = place(contexts, asked)
+            at = level.find(ctx, place(words, last) + 1)
+            hit = at >= 0
+            sums = np.zeros(len(texts), np.int64)
+            np.add.at(sums, owner[hit], units[level.prob[at[hit]]] * times[hit])
+            yield {"kind": np.zeros(len(texts), np.int64), "text": texts, "units": sums}
+            miss = ~hit
+            missed[ctx[miss & (ctx >= 0)]] = True
+            if miss.any():
+                yield {"kind": np.ones(int(miss.sum()), np.int64), "text": texts[owner[miss]], "units": times[miss], "context": asked[miss], "b": middle[miss], "c": last[miss]}
+        self.file.close()
+        rows = missed[of] if len(of) else np.zeros(0, bool)
+        if rows.any():
+            yield {"kind": np.full(int(rows.sum()), 2), "context": context[rows], "b": b[rows], "c": c[rows], "rest": left[of[rows]]}
+
+
+_ANSWER = {"kind": pa.int64(), "text": pa.int64(), "units": pa.int64(), "context": pa.int64(), "b": pa.int64(), "c": pa.int64(), "rest": pa.float64()}
+
+
+def _answer_batches(found: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for x in found:
+        n = len(x["kind"])
+        for i in range(0, n, MERGE_ROWS):
+            arrays = [pa.array(x[k][i : i + MERGE_ROWS], t) if k in x else pa.nulls(min(n - i, MERGE_ROWS), t) for k, t in _ANSWER.items()]
+            yield pa.RecordBatch.from_arrays(arrays, list(_ANSWER))
+
+
+def _trigram_answers(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """Answers of all buckets; one shuffle of packed trigrams."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            trains = np.asarray(batch.column(1))
+            for block in blocks(batch.column(0)):
+                found = list(_packed_grams(block, trains[block.first : block.first + len(block)], n_buckets))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["bucket", "packed"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state = None, None
+        for batch in batches:
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if bucket != now:
+                    if state is not None:
+                        yield from _answer_batches(state.answers())
+                    now, state = bucket, Bucket()
+                state.add(packed.as_buffer().to_pybytes())
+        if state is not None:
+            yield from _answer_batches(state.answers())
+
+    rows = docs.select("text", (~held_out(F.col("doc_id"), *HELD_OUT)).alias("trains"))
+    sent = rows.mapInArrow(send, "bucket long, packed binary").repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    schema = "kind long, text long, units long, context long, b long, c long, rest double"
+    return materialize(sent.mapInArrow(answer, schema), "trigram_answers")
+
+
+def _bigrams(training: DataFrame) -> DataFrame:
+    """(b, c, n) of all bigrams of the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                hashes, doc = _words(block)
+                ids, begins = _sequences(hashes, doc, len(block))
+                at = np.delete(np.arange(len(ids)), begins)
+                b, c = ids[at - 1], ids[at]
+                order, new = _distinct_rows(b, c)
+                n = np.diff(np.append(new, len(order)))
+                columns = [pa.array(x) for x in (b[order[new]], c[order[new]], n)]
+                yield pa.RecordBatch.from_arrays(columns, ["b", "c", "n"])
+
+    found = training.mapInArrow(run, "b long, c long, n long")
+    return materialize(found.groupBy("b", "c").agg(F.sum("n").alias("n")), "bigrams")
+
+
+def _score_units(docs: DataFrame, training: DataFrame, counts: DataFrame, ends: int, total: int, distinct: int) -> DataFrame:
+    """(text, units): the log probability of each text in billionths, summed over its copies."""
+    spark = docs.sparkSession
+    found = _trigram_answers(docs, max(1, -(-(total + 1) // BUCKET_TOKENS)))
+    missing = found.where("kind = 1").select("text", F.col("units").alias("times"), "context", "b", "c")
+    nexts = found.where("kind = 2").select("context", "b", "c", "rest")
+
+    # words: as many new ones are to come as came once
+    once = counts.where("n = 1").count()
+    mass = total + 0.5 * (distinct - (ends > 0)) + 0.5 + 0.5 + once
+    words = counts.select(F.col("key").alias("c"), ((F.col("n") + 0.5) / mass).alias("p1"))
+    words = words.unionByName(spark.createDataFrame([(END, (ends + 0.5) / mass)], "c long, p1 double"))
+    unseen = (once + 0.5) / mass
+
+    # bigrams and the back-off weights of their first words; sums in fixed point do not depend on the order
+    pairs = _bigrams(training)
+    fixed = lambda p: F.sum(F.round(p * 1e15).cast("long")) / 1e15
+    firsts = pairs.join(words, "c").groupBy("b").agg(F.sum("n").alias("m"), F.count("*").alias("k"), fixed(F.col("p1")).alias("seen"))
+    weight = F.least(F.greatest(DISCOUNT * F.col("k") / F.col("m"), F.lit(1e-9)) / F.greatest(1 - F.col("seen"), F.lit(1e-9)), F.lit(1e3))
+    firsts = materialize(firsts.select("b", "m", weight.alias("back1")), "word_weights")
+    asked = missing.select("b", "c").unionByName(nexts.select("b", "c")).distinct()
+    p2 = F.coalesce((F.col("n") - DISCOUNT) / F.col("m"), F.coalesce("back1", F.lit(1.0)) * F.coalesce("p1", F.lit(unseen)))
+    asked = asked.join(pairs, ["b", "c"], "left").join(firsts, "b", "left").join(words, "c", "left").select("b", "c", p2.alias("p2"))
+    asked = materialize(asked, "asked_bigrams")
+
+    weights = nexts.join(asked, ["b", "c"]).groupBy("context").agg(F.first("rest").alias("rest"), fixed(F.col("p2")).alias("seen"))
+    back2 = F.least(F.greatest("rest", F.lit(1e-9)) / F.greatest(1 - F.col("seen"), F.lit(1e-9)), F.lit(1e3))
+    weights = materialize(weights.select("context", back2.alias("back2")), "context_weights")
+    log = F.log10("p2") + F.coalesce(F.log10("back2"), F.lit(0.0))
+    backed = missing.join(asked, ["b", "c"]).join(weights, "context", "left").select(
+        "text", (F.round(log * UNIT).cast("long") * F.col("times")).alias("units")
+    )
+    return found.where("kind = 0").select("text", "units").unionByName(backed).groupBy("text").agg(F.sum("units").alias("units"))
+
+
 def lm_score(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     word_share: float = WORD_SHARE,
-    gram_share: float = GRAM_SHARE,
+    gram_share: float | None = None,
 ) -> DataFrame:
-    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``word_share`` says which words' counts are broadcast instead of joined and changes no result;
+    ``gram_share`` was the share below which n-grams were cut and is not used any more.
+    """
     spark = docs.sparkSession
-    if word_share < 1.0 / ((1 << ID_BITS) - FIRST_WORD):
-        raise ValueError("word_share is too small for the ids")
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     training = docs.where(~held_out(F.col("doc_id"), *HELD_OUT)).select("text")
 
@@ -364,43 +581,15 @@ def lm_score(
     least = max(1, int(np.ceil(word_share * total)))
     words, word_counts = _fetch(counts.where(F.col("n") >= least))  # at most 1 / word_share rows
     shared_words = spark.sparkContext.broadcast((words, word_counts))
-
-    def sequences(block: Block) -> np.ndarray:
-        hashes, doc = _words(block)
-        return _sequences(_ids(hashes, shared_words.value[0]), doc, len(block))[0]
-
-    def pairs(block: Block) -> np.ndarray:
-        ids = sequences(block)
-        return ((ids[:-1] << ID_BITS) | ids[1:])[ids[1:] != START]
-
-    frequent = F.col("n") >= max(1, int(np.ceil(gram_share * total)))
-    bigrams, bigram_counts = _fetch(_count(training, pairs).where(frequent))  # at most 1 / gram_share rows
-    shared_pairs = spark.sparkContext.broadcast(bigrams)
-
-    def triples(block: Block) -> np.ndarray:
-        ids, kept = sequences(block), shared_pairs.value
-        if len(ids) < 3 or not len(kept):
-            return np.zeros(0, np.int64)
-        pair = (ids[:-1] << ID_BITS) | ids[1:]
-        at = np.minimum(np.searchsorted(kept, pair), len(kept) - 1)
-        known = kept[at] == pair
-        inner = known[:-1] & known[1:] & (ids[1:-1] != START) & (ids[2:] != START)
-        return ((pair[:-1] << ID_BITS) | ids[2:])[inner]
-
-    trigrams, trigram_counts = _fetch(_count(training, triples).where(frequent))
-    unk = total - ends - int(word_counts.sum())
-    trie = Trie.build(words, word_counts, unk, ends, bigrams, bigram_counts, trigrams, trigram_counts, seen.v - len(words))
-    shared_trie = spark.sparkContext.broadcast(trie.dump())
+    units = _score_units(docs, training, counts, ends, total, distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Trie.load(shared_trie.value)
-        in_words = np.log10(shared_words.value[1] + 1.0)
+        frequent, frequent_counts = shared_words.value
+        in_words = np.log10(frequent_counts + 1.0)
         for batch in batches:
             for block in blocks(batch.column(1)):
                 hashes, doc = _words(block)
-                n, ids = len(block), _ids(hashes, model.words)
-                sequence, begins = _sequences(ids, doc, n)
-                score = np.add.reduceat(model.log_probs(sequence, begins), begins)
+                n, ids = len(block), _ids(hashes, frequent)
                 known = ids >= FIRST_WORD
                 logs = np.zeros(len(ids))
                 logs[known] = in_words[ids[known] - FIRST_WORD]
@@ -416,14 +605,14 @@ def lm_score(
                     "n_tokens": pa.array(np.bincount(doc, minlength=n) + 1),
                     "n_in": pa.array(np.bincount(doc[known], minlength=n).astype(np.int64)),
                     "logs": pa.array(np.bincount(doc, logs, n)),
-                    "score": pa.array(score),
+                    "text": pa.array(hash_spans(block.data, block.starts[:-1], block.starts[1:]).view(np.int64)),
                     "rare": pa.ListArray.from_arrays(pa.array(reach), pa.array(rare[first])),
                     "times": pa.ListArray.from_arrays(pa.array(reach), pa.array(times.astype(np.int64))),
                 }
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, n_in long, logs double, score double, rare array<long>, times array<long>"
+    schema = f"doc_id {kind}, n_tokens long, n_in long, logs double, text long, rare array<long>, times array<long>"
     scored = docs.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
     scored = materialize(scored, "scored_texts")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("key"), "r.times")
@@ -432,9 +621,12 @@ def lm_score(
         .groupBy("row")
         .agg(F.sum("times").alias("n_more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs_more"))
     )
+    # each copy of a text has sent the same sum
+    scores = scored.groupBy("text").agg(F.count("*").alias("copies")).join(units, "text")
+    scores = scores.select("text", (F.col("units") / F.col("copies") / UNIT).alias("score"))
     end_log = float(np.log10(ends + 1.0))
     norm = float(np.log10(total + distinct + 1.0))
-    return scored.drop("rare", "times").join(more, "row", "left").select(
+    return scored.drop("rare", "times").join(more, "row", "left").join(scores, "text").select(
         "doc_id",
         held_out(F.col("doc_id"), *HELD_OUT).alias("held_out"),
         "n_tokens",

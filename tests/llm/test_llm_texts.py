@@ -267,6 +267,49 @@ def test_lm_rare_words_are_joined(docs):
     assert key(lm.lm_score(docs, word_share=0.05, gram_share=0.05)) == key(lm.lm_score(docs))
 
 
+def trigram_scores(rows):
+    """log10 probability of each text under all n-grams of the training rows."""
+    of = lambda text: ["<s>", "<s>", *spaced(text), "</s>"]
+    training = [of(text) for i, text in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    n3 = Counter((*g,) for s in training for g in zip(s, s[1:], s[2:], strict=False))
+    n2, n1, follow1, follow2 = Counter(), Counter(), {}, {}
+    for (a, b, c), n in n3.items():
+        n2[b, c] += n
+        n1[c] += n
+        follow1.setdefault(b, set()).add(c)
+        follow2.setdefault((a, b), set()).add(c)
+    once = sum(n == 1 for w, n in n1.items() if w != "</s>")
+    mass = sum(n1.values()) + 0.5 * len(n1) + 0.5 + once
+    p1 = lambda c: ((n1[c] or once) + 0.5) / mass
+    m1 = {b: sum(n2[b, c] for c in own) for b, own in follow1.items()}
+    m2 = {k: sum(n3[(*k, c)] for c in own) for k, own in follow2.items()}
+    back1 = {b: min(max(0.75 * len(own) / m1[b], 1e-9) / max(1 - sum(map(p1, own)), 1e-9), 1e3) for b, own in follow1.items()}
+    p2 = lambda b, c: (n2[b, c] - 0.75) / m1[b] if n2[b, c] else back1.get(b, 1) * p1(c)
+    back2 = {k: min(max(0.75 * len(own) / m2[k], 1e-9) / max(1 - sum(p2(k[1], c) for c in own), 1e-9), 1e3) for k, own in follow2.items()}
+
+    def p3(a, b, c):
+        return (n3[a, b, c] - 0.75) / m2[a, b] if n3[a, b, c] else back2.get((a, b), 1) * p2(b, c)
+
+    return {i: sum(math.log10(p3(*g)) for g in zip(of(text), of(text)[1:], of(text)[2:], strict=False)) for i, text in rows}
+
+
+@pytest.mark.parametrize("tokens", [1 << 20, 500])
+def test_lm_keeps_every_gram(spark, monkeypatch, tokens):
+    """Beyond a million tokens words seen once and their n-grams are still in the model, in one bucket or in many."""
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", tokens)
+    monkeypatch.setattr(lm, "MERGE_ROWS", 100)
+    rng = random.Random(9)
+    texts = [sentence(rng, rng.randint(1, 40)) + f" only{k} " + sentence(rng, 5) for k in range(60)]
+    texts += [None, "", texts[3], "never seen words", "fill " * (2_200_000 if tokens > 500 else 3_000)]
+    rows = [(k if k < 64 else 65, text) for k, text in enumerate(texts)]
+    assert zlib.crc32(b"65") % 7 != 2
+    expected = trigram_scores(rows)
+    found = lm.lm_score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(rows) and any(r.held_out for r in found)
+    for r in found:  # 8 bits over about 6 decades
+        assert abs(r.score - expected[r.doc_id]) <= 0.015 * r.n_tokens + 1e-6, (r, expected[r.doc_id])
+
+
 def test_elias_fano():
     import numpy as np
 
