@@ -7,7 +7,7 @@ folder and reads it again for the next stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudspark.llm.decontaminate import decontaminate
@@ -19,10 +19,22 @@ from fraudspark.llm.toxicity import toxicity
 from fraudspark.session import materialize
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not listed; the ids are written, so Spark knows whether they can be broadcast."""
-    ids = materialize(ids.distinct().withColumnRenamed("doc_id", "__id"), "listed_ids")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Adds ``__row``: id (nulls last) and two hashes of the text; rows with equal keys are copies of each other."""
+    text = F.col("text").cast("string")
+    hashes = [F.xxhash64(F.lit(k), text.isNull(), text).alias(f"k{k}") for k in (1, 2)]
+    return docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *hashes))
+
+
+def _same(a: Column, b: Column) -> Column:
+    """Whether two keys are equal: the hashes deal the rows out, ids may be null."""
+    return (a["k1"] == b["k1"]) & (a["k2"] == b["k2"]) & a["id"].eqNullSafe(b["id"])
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose ``__row`` is not listed; the keys are written, so Spark knows whether they can be broadcast."""
+    keys = materialize(keys.distinct().withColumnRenamed("__row", "__gone"), "listed_rows")
+    return docs.join(keys, _same(F.col("__row"), F.col("__gone")), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,20 +53,24 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of linked documents, and one of rows that repeat its id and text."""
-    found = materialize(jaccard_components(docs), "components")
-    kept = _without(docs, found.where(F.col("component_id") != F.col("doc_id")).select("doc_id"))
-    again = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialize(again.withColumnRenamed("doc_id", "__again"), "repeated_ids")
-    same = docs["doc_id"].eqNullSafe(again["__again"])
-    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, same, "left_anti").unionByName(once)
+    """The row of least id, then text hash, of each group of linked rows, and one of rows that repeat its id and text."""
+    keyed = _keyed(docs)
+    found = jaccard_components(keyed, id_column="__row").withColumnRenamed("doc_id", "__row")
+    found = materialize(found.select("__row", "component_id"), "components")
+    head = _same(F.col("component_id"), F.col("__row"))
+    kept = _without(keyed, found.where(~head).select("__row"))
+    again = found.groupBy("__row").count().where("count > 1").select(F.col("__row").alias("__again"))
+    again = materialize(again, "repeated_rows")
+    same = _same(F.col("__row"), F.col("__again"))
+    once = kept.join(again, same, "left_semi").dropDuplicates(["__row"])
+    return kept.join(again, same, "left_anti").unionByName(once).drop("__row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    keyed = _keyed(docs)
+    found = decontaminate(keyed, table(spark, sf_dir, "benchmark"), id_column="__row")
+    return _without(keyed, found.where("contaminated").select(F.col("doc_id").alias("__row"))).drop("__row")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

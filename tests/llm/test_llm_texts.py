@@ -435,3 +435,23 @@ def test_pipeline(spark, docs, rows, labels, tmp_path):
         if name == "benchmark_decontamination":
             assert not any(rows[8][1] in (r.text or "") for r in after)
     assert {r.doc_id for r in after} == {r.doc_id for r in before}
+
+
+def test_pipeline_drops_rows_not_ids(spark, tmp_path):
+    """Null and repeated ids: a contaminated or near row takes no other text along, and near rows without ids meet."""
+    rng = random.Random(12)
+    item, long = sentence(rng, 30), [sentence(rng, 200) for _ in range(5)]
+    near = long[1] + " changed"
+    rows = [
+        (None, item), (None, long[0]), (7, "before " + item), (7, long[2]), (8, long[3]),
+        (None, long[1]), (None, near), (3, long[3] + " changed"), (8, long[4]), (8, long[4]), (None, None), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert Counter((*r,) for r in clean) == Counter(r for r in rows if r[1] is None or item not in r[1])
+    kept = Counter((*r,) for r in corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)).collect())
+    expected = Counter(set(rows) - {(None, item), (None, long[1]), (None, near), (8, long[3])})
+    heads = [r for r in ((None, long[1]), (None, near)) if kept[r]]
+    assert len(heads) == 1  # either, by the hash of its text
+    assert kept == expected + Counter(heads)
