@@ -76,6 +76,12 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_approximate_nearest_neighbours": op8_approximate_nearest_neighbours,
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
