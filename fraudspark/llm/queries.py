@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudspark.llm import decontaminate, lines
+from fraudspark.llm import decontaminate, lines, ranked
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,6 +82,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -94,9 +98,11 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": lines.ORACLE,
     "op7_benchmark_decontamination": decontaminate.ORACLE,
+    "op12_ranked_search": ranked.ORACLE,
 }
