@@ -6,7 +6,7 @@ a list an asked term, and the greatest impact of every list in every block of ``
 For an item the lists of at most ``SHORT_SHARE`` of a chunk's documents are summed into accumulators,
 which from then on are one iterator more, with an exact bound a block. Blocks come in document order;
 one is left out if the bounds of accumulators and long lists together stay below the item's k-th score
-so far (from all chunks the task has seen), so nothing that could be listed is skipped. What is
+so far (from all chunks the task has seen) or below the k-th accumulator, so nothing that could be listed is skipped. What is
 visited adds its long lists to its accumulator. Each task returns at most k rows an item, and the
 lists of all tasks are merged by Spark.
 
@@ -170,7 +170,9 @@ def search_chunk(chunk: Chunk, terms: np.ndarray, weights: np.ndarray, best: Bes
             ceiling += weight * chunk.bound(term, where)
     ceiling += summed.reshape(-1, BLOCK_ROWS).max(axis=1)
     names, by_name = np.array(long_terms, np.int64), np.array(long_weights, np.int64)
-    waiting, visited = np.flatnonzero(ceiling >= best.least), 0
+    # the long lists only add, so k accumulators of this height are k documents at or above it
+    floor = int(np.partition(summed, -best.k)[-best.k]) if len(summed) >= best.k else 0
+    waiting, visited = np.flatnonzero(ceiling >= max(floor, best.least)), 0
     while len(waiting):
         now, waiting = waiting[:BLOCKS_AT_ONCE], waiting[BLOCKS_AT_ONCE:]
         visited += len(now)
@@ -187,7 +189,7 @@ def search_chunk(chunk: Chunk, terms: np.ndarray, weights: np.ndarray, best: Bes
             score = score + total[stop] - total[stop - size]
         some = score > 0
         best.add(score[some], chunk.ids[rows[some]], chunk.no_id[rows[some]])
-        waiting = waiting[ceiling[waiting] >= best.least]
+        waiting = waiting[ceiling[waiting] >= max(floor, best.least)]
     return visited
 
 
