@@ -86,6 +86,12 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    from fraudspark.llm.template import extract
+
+    return extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -99,6 +105,7 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_ranked_search": op12_ranked_search,
+    "op13_html_extraction": op13_html_extraction,
 }
 
 ORACLES: dict[str, str] = {
