@@ -1,15 +1,20 @@
 """Isolation trees on arrays: grow one from a sample, walk many rows down all of them.
 
-After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008).
+After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008). Random choices are digests of seed, tree
+and node, and path lengths are summed in whole billionths, so any engine that has MD5 grows the same
+trees and adds up the same scores in any order.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 import numpy as np
 
 EULER_GAMMA = 0.5772156649015329
+PATH_UNITS = 1e9  # path lengths are whole multiples of one billionth
+DRAW_DIGITS = 13  # hexadecimal digits of a uniform draw: 52 bits
 
 NODE_SCHEMA = (
     "tree_id int, node_id int, feature int, threshold double, left int, right int, size int, depth int"
@@ -26,29 +31,37 @@ def mean_path(size) -> np.ndarray:
     return path
 
 
-def grow_tree(points: np.ndarray, rng: np.random.Generator) -> list[tuple]:
+def node_draws(seed: int, tree: int, node: int) -> tuple[float, float]:
+    """Two uniform draws from [0, 1) for a node's column and cut."""
+    digest = hashlib.md5(f"{seed}:{tree}:{node}".encode()).hexdigest()
+    parts = digest[:DRAW_DIGITS], digest[DRAW_DIGITS : 2 * DRAW_DIGITS]
+    return int(parts[0], 16) / 16.0**DRAW_DIGITS, int(parts[1], 16) / 16.0**DRAW_DIGITS
+
+
+def grow_tree(points: np.ndarray, seed: int, tree: int) -> list[tuple]:
     """Nodes (node_id, feature, threshold, left, right, size, depth); a leaf has feature -1.
 
-    A node splits at a uniform cut of a random feature that varies in it. The
-    children of a split are numbered next to each other.
+    A node splits at a uniform cut of a random feature that varies in it. The root is 0, the
+    children of node k are 2k+1 and 2k+2.
     """
     limit = int(np.ceil(np.log2(max(len(points), 2))))
     nodes: list[tuple] = []
-    waiting = [(points, 0)]
-    for node_id, (rows, depth) in enumerate(waiting):  # grows while it is walked
+    waiting = [(0, points, 0)]
+    for node, rows, depth in waiting:  # grows while it is walked
         low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (None, None)
         varying = np.flatnonzero(low < high) if len(rows) > 1 and depth < limit else ()
         if len(varying) == 0:
-            nodes.append((node_id, -1, None, None, None, len(rows), depth))
+            nodes.append((node, -1, None, None, None, len(rows), depth))
             continue
-        feature = int(rng.choice(varying))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        which, where = node_draws(seed, tree, node)
+        feature = int(varying[int(which * len(varying))])
+        cut = float(low[feature] + (high[feature] - low[feature]) * where)
         if cut <= low[feature]:
             cut = float(high[feature])
         right = rows[:, feature] >= cut
-        left_id = len(waiting)
-        waiting += [(rows[~right], depth + 1), (rows[right], depth + 1)]
-        nodes.append((node_id, feature, cut, left_id, left_id + 1, len(rows), depth))
+        left_id = 2 * node + 1
+        waiting += [(left_id, rows[~right], depth + 1), (left_id + 1, rows[right], depth + 1)]
+        nodes.append((node, feature, cut, left_id, left_id + 1, len(rows), depth))
     return nodes
 
 
@@ -72,7 +85,7 @@ def forest_arrays(nodes, sample_size: int) -> dict:
         "feature": spread(np.where(leaf, 0, nodes["feature"]), 0, np.int64),
         "threshold": spread(np.where(leaf, np.inf, nodes["threshold"].astype(float)), np.inf, np.float64),
         "left": spread(np.where(leaf, nodes["node_id"], nodes["left"].astype(float).fillna(0)), 0, np.int64),
-        "path": spread(np.where(leaf, nodes["depth"] + mean_path(nodes["size"]), 0.0), 0.0, np.float64),
+        "path": spread(np.where(leaf, np.rint((nodes["depth"] + mean_path(nodes["size"])) * PATH_UNITS), 0), 0, np.int64),
         "depth": int(nodes["depth"].max()),
         "norm": max(float(mean_path(sample_size)[0]), 1e-12),
     }
@@ -90,7 +103,7 @@ def forest_scores(forest: dict, rows: np.ndarray, tree_counts: Sequence[int]) ->
     offsets = forest["feature"] * n
     at, node = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
     value, cut, right = np.empty(n), np.empty(n), np.empty(n, dtype=bool)
-    total = np.zeros(n)
+    path, total = np.empty(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     result = {}
     for t in range(max(tree_counts)):
         offset, threshold, left = offsets[t], forest["threshold"][t], forest["left"][t]
@@ -103,7 +116,7 @@ def forest_scores(forest: dict, rows: np.ndarray, tree_counts: Sequence[int]) ->
             np.greater_equal(value, cut, out=right)
             left.take(node, out=at, mode="clip")
             np.add(at, right, out=node)
-        total += forest["path"][t].take(node, out=value, mode="clip")
+        total += forest["path"][t].take(node, out=path, mode="clip")
         if t + 1 in tree_counts:
-            result[t + 1] = np.exp2(-total / ((t + 1) * forest["norm"]))
+            result[t + 1] = np.exp2(-total / ((t + 1) * forest["norm"] * PATH_UNITS))
     return result

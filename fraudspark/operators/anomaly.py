@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fraudspark.config import PipelineConfig
 from fraudspark.functions.parsing import HASH_RANGE, named, row_hash
@@ -77,34 +77,88 @@ def resolve_samples(max_samples: int | str, pool_rows: int) -> int:
     return min(256 if max_samples == "auto" else int(max_samples), pool_rows)
 
 
-def tree_draws(rows: DataFrame, n_trees: int, sample_size: int, total: int, seed: int = 42) -> DataFrame:
+def least_prime(n: int) -> int:
+    """The smallest prime that is n or more."""
+    n = max(n, 2)
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def _digits(digest: Column, first: int, size: int) -> Column:
+    return F.conv(F.substring(digest, first, size), 16, 10).cast("long")
+
+
+def _row_text(columns: Sequence[str]) -> Column:
+    """The row as text that a digest can be taken of; numbers to two decimals, nulls empty."""
+    return F.concat_ws(
+        ":", *[F.coalesce(F.expr(f"try_cast({_quoted(c)} AS decimal(38,2))").cast("string"), F.lit("")) for c in columns]
+    )
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def numbered_copies(rows: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """``rows`` with the number of each among its equals as ``copy``, whatever their order or partitions.
+
+    Equal rows are counted, map-side first, and made again; a group beyond ``block`` is made by many tasks.
+    """
+    counted = rows.groupBy(*[named(c) for c in rows.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    blocks = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(block).cast("long"))
+    # only blocks of a repeated row move; rows that are few stay where they were counted
+    dealt = counted.where(F.col("copies") > block).withColumn("first", F.explode(blocks))
+    dealt = dealt.repartition(*[named(c) for c in rows.columns], "first")
+    few = counted.where(F.col("copies") <= block).withColumn("first", F.lit(0).cast("long"))
+    last = F.least(F.col("copies"), F.col("first") + block) - 1
+    made = few.unionByName(dealt).withColumn("copy", F.explode(F.sequence("first", last)))
+    return made.drop("copies", "first")
+
+
+def tree_draws(
+    rows: DataFrame, n_trees: int, sample_size: int, total: int, seed: int = 42, keys: Sequence[str] = (), first_tree: int = 0
+) -> DataFrame:
     """All rows' draws (tree_id, order and the row): about twice ``sample_size`` candidates for each tree.
 
-    A row is drawn by the hash of all its columns: of a large table for one tree at most, of a table
-    with fewer rows than candidates for every tree that draws it. No tree sees more than its candidates.
+    One rule at every size: a row is drawn by a share of the trees, rounded up or down by chance, and
+    takes them in steps of its own from a start of its own, modulo a prime. So each tree draws each row
+    with the same chance, and any two trees share no more rows than if they were drawn apart. The chances are digits of the
+    MD5 of seed and row; without ``keys`` equal rows are told apart by the number of their copy.
     """
-    parts = [named(c) for c in rows.columns]
-    wide = lambda salt: F.pmod(F.xxhash64(*parts, F.lit(seed), salt), F.lit(1 << 32))
-    if total > 2 * sample_size * n_trees:
-        share = 2.0 * sample_size * n_trees / total
-        drawn = rows.where(wide(F.lit("in")) < F.lit(share * (1 << 32)))
-        return drawn.withColumns({"tree_id": (wide(F.lit("tree")) % n_trees).cast("long"), "order": wide(F.lit("order"))})
+    columns = list(rows.columns)
+    numbered = rows if keys else numbered_copies(rows)
+    names = [F.coalesce(named(k).cast("string"), F.lit("")) for k in (keys or ["copy"])]
+    rest = [c for c in columns if c not in set(keys)]
+    text = F.concat_ws(":", F.lit(f"{seed}:{first_tree}"), *names, _row_text(rest))
     share = min(1.0, (2.0 * sample_size + 20) / total)
-    trees = F.filter(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: wide(t) < F.lit(share * (1 << 32))
+    prime = least_prime(n_trees)
+    digest = F.col("__digest")
+    drawn = numbered.withColumn("__digest", F.md5(text)).withColumn(
+        "__times", F.floor(F.lit(prime * share) + _digits(digest, 1, 13) / F.lit(16.0**13))
+    )
+    step = 1 + _digits(digest, 22, 8) % (prime - 1)
+    taken = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("__times") - 1), lambda i: (_digits(digest, 14, 8) + i * step) % prime
     )
-    drawn = rows.withColumn("tree_id", F.explode(trees))
-    return drawn.withColumns({"order": wide(F.col("tree_id")), "tree_id": F.col("tree_id").cast("long")})
+    drawn = drawn.where(F.col("__times") > 0).withColumn("tree_id", F.explode(taken)).where(F.col("tree_id") < n_trees)
+    order = _digits(F.md5(F.concat_ws(":", digest, F.col("tree_id").cast("string"))), 1, 13)
+    return drawn.withColumns({"order": order, "tree_id": F.col("tree_id") + first_tree}).select(*[named(c) for c in columns], "tree_id", "order")
 
 
 def grow_forest(
-    rows: DataFrame, n_trees: int, max_samples: int | str = "auto", seed: int = 42, keys: Sequence[str] = ()
+    rows: DataFrame,
+    n_trees: int,
+    max_samples: int | str = "auto",
+    seed: int = 42,
+    keys: Sequence[str] = (),
+    first_tree: int = 0,
 ) -> tuple[DataFrame, int]:
     """The forest as a node table, and the rows per tree, from all ``rows``.
 
     Each tree takes the rows of least hash among its draws and is one small group of its own; nothing
-    passes through the driver. ``keys`` take part in the draw, but not in the trees. Tree *t* splits by
-    a generator seeded by (seed, t), so the trees are the same however they are spread over tasks.
+    passes through the driver. ``keys`` name a row; they take part in the draw, but not in the trees.
+    Tree *t* splits by digests of (seed, t, node), so the trees are the same however they are spread.
     """
     total = rows.count()
     if total == 0:
@@ -117,16 +171,41 @@ def grow_forest(
         points = draws[features].to_numpy(dtype=np.float64)
         order = np.lexsort((*points.T, draws["order"].to_numpy()))[:psi]
         nodes = pd.DataFrame(
-            grow_tree(points[order], np.random.default_rng([seed, tree])),
+            grow_tree(points[order], seed, tree),
             columns=["node_id", "feature", "threshold", "left", "right", "size", "depth"],
         )
         nodes.insert(0, "tree_id", tree)
         return nodes.astype({"left": "Int32", "right": "Int32"})
 
-    draws = tree_draws(rows, n_trees, psi, total, seed)
+    draws = tree_draws(rows, n_trees, psi, total, seed, keys, first_tree)
     return draws.groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA), psi
 
 
+def score_function(spark, forests: dict[str, tuple[dict, Sequence[int]]]):
+    """A vectorised function of the model columns: a struct with a score for each forest's name and tree count.
+
+    ``forests`` maps a name's beginning to node arrays and tree counts; the score of n leading trees of
+    forest "p" is named "pn<n>". The arrays are broadcast, bounded by trees times rows a tree.
+    """
+    shared = spark.sparkContext.broadcast(forests)
+
+    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = np.array([c.to_numpy(dtype=np.float64) for c in batch]).T
+            found = {}
+            for prefix, (arrays, counts) in shared.value.items():
+                found |= {f"{prefix}n{n}": s for n, s in forest_scores(arrays, rows, counts).items()}
+            yield pd.DataFrame(found)
+
+    schema = ", ".join(f"`{prefix}n{n}` double" for prefix, (_, counts) in forests.items() for n in sorted(counts))
+    return F.pandas_udf(_as_series_iterator(score), schema)
+
+
+def check_forest_size(n_trees: int, sample_size: int) -> None:
+    if 4 * n_trees * 2 * sample_size > MAX_NODE_CELLS:
+        raise ValueError("the forest is too large to broadcast: fewer trees or samples")
+
+
 def score_rows(
     df: DataFrame, columns: Sequence[str], nodes: DataFrame, sample_size: int, tree_counts: Sequence[int]
 ) -> DataFrame:
@@ -137,19 +216,11 @@ def score_rows(
     batches; the node table is bounded by trees times rows per tree.
     """
     counts = sorted(set(tree_counts))
-    if 4 * max(counts) * 2 * sample_size > MAX_NODE_CELLS:
-        raise ValueError("the forest is too large to broadcast: fewer trees or samples")
-    shared = df.sparkSession.sparkContext.broadcast(forest_arrays(nodes.toPandas(), sample_size))
-
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = np.array([c.to_numpy(dtype=np.float64) for c in batch]).T
-            yield pd.DataFrame({f"n{n}": s for n, s in forest_scores(shared.value, rows, counts).items()})
-
+    check_forest_size(max(counts), sample_size)
+    wanted = nodes.where(F.col("tree_id") < max(counts)).toPandas()
+    score = score_function(df.sparkSession, {"": (forest_arrays(wanted, sample_size), counts)})
     # one argument per column reaches the walk as one Arrow column each
-    schema = ", ".join(f"n{n} double" for n in counts)
-    score_udf = F.pandas_udf(_as_series_iterator(score), schema)
-    return df.withColumn("scores", score_udf(*[named(c).cast("double") for c in columns]))
+    return df.withColumn("scores", score(*[named(c).cast("double") for c in columns]))
 
 
 def _as_series_iterator(score):
@@ -161,34 +232,14 @@ def _as_series_iterator(score):
     return adapted
 
 
-def contamination_thresholds(
-    df: DataFrame, scores: dict[str, Column], contamination: float = 0.15, bounded: bool = False
-) -> dict[str, float]:
-    """Per score, the exact quantile above which a row counts as an anomaly.
-
-    ``bounded`` says that the rows are a size-limited pool: their values fit in
-    one buffer, so one plain aggregate does.
-    """
+def contamination_thresholds(df: DataFrame, scores: dict[str, Column], contamination: float = 0.15) -> dict[str, float]:
+    """Per score, the exact quantile above which a row counts as an anomaly; nulls count nowhere."""
     share = 1.0 - contamination
-    if bounded:
-        return df.agg(*[F.percentile(c, share).alias(name) for name, c in scores.items()]).first().asDict()
     table = df.select(*[c.alias(name) for name, c in scores.items()])
     found = exact_quantiles(table, list(scores), [share])
     return {name: values[0] for name, values in found.items()}
 
 
-def _pool_thresholds(
-    pool: DataFrame,
-    columns: Sequence[str],
-    nodes: DataFrame,
-    sample_size: int,
-    names: dict[str, Column],
-    contamination: float,
-) -> dict[str, float]:
-    judged = score_rows(pool, columns, nodes, sample_size, [int(name[1:]) for name in names])
-    return contamination_thresholds(judged, names, contamination, bounded=True)
-
-
 def add_predictions(df: DataFrame, score: Column, threshold: float) -> DataFrame:
     """``predictions`` -1 for an anomaly, 1 otherwise; ``df_pred`` the same as 1 and 0."""
     anomaly = score > threshold
@@ -209,6 +260,7 @@ class Detection:
     sweep: DataFrame
     report: DataFrame
     nodes: DataFrame
+    columns: list[str]
     sample_size: int
     best_count: int
     threshold: float
@@ -227,9 +279,9 @@ def sweep_counts(scored: DataFrame, thresholds: dict[str, float], label: str = "
 def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Sequence[str] | None = None) -> Detection:
     """The full anomaly step over the feature table.
 
-    Every row is walked down the forest once. The scored rows are written to the
-    shared folder, and the sweep, the choice and the final predictions read them
-    from there.
+    Every row is walked down the forest once for the sweep, of which only the label and the scores
+    are written to the shared folder. The scored rows are not written here: whoever reads them walks
+    the chosen trees, so the only full copy is the one that is asked for.
     """
     columns = list(columns) if columns is not None else forest_columns(df, cfg)
     if not columns:
@@ -245,48 +297,90 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
     drawn = rows.select(*[named(c) for c in dict.fromkeys([*keys, *inputs])])
     nodes, psi = grow_forest(drawn, max(cfg.tree_counts), cfg.max_samples, cfg.seed, keys)
     nodes = materialize(nodes, "forest")
-    scored = score_rows(rows, inputs, nodes, psi, cfg.tree_counts)
-    if cfg.scale_forest_features:
-        scored = scored.drop(*inputs)
-    scored = materialize(scored, "scored")
+    judged = score_rows(rows, inputs, nodes, psi, cfg.tree_counts)
+    judged = materialize(judged.select(named(cfg.label_column), "scores"), "sweep_scores")
 
     names = {f"n{n}": F.col(f"scores.n{n}") for n in sorted(set(cfg.tree_counts))}
-    thresholds = contamination_thresholds(scored, names, cfg.contamination)
+    thresholds = contamination_thresholds(judged, names, cfg.contamination)
     # a handful of rows, one per tree count
-    sweep = sweep_counts(scored, thresholds, cfg.label_column)
+    sweep = sweep_counts(judged, thresholds, cfg.label_column)
     sweep = df.sparkSession.createDataFrame(sweep.collect(), sweep.schema)
     best = choose_candidate(sweep, cfg.metric).first()["n_estimators"]
-    result = add_predictions(scored, names[f"n{best}"], thresholds[f"n{best}"])
-    result = result.withColumn("anomaly_score", names[f"n{best}"]).drop("scores")
+    limit = thresholds[f"n{best}"]
+    report = class_report(add_predictions(judged, names[f"n{best}"], limit), cfg.label_column)
+    result = score_rows(rows, inputs, nodes, psi, [best])
+    result = add_predictions(result, names[f"n{best}"], limit).withColumn("anomaly_score", names[f"n{best}"])
     return Detection(
-        rows=result,
+        rows=result.drop("scores", *(inputs if cfg.scale_forest_features else ())),
         quarantined=split_missing(df, columns)[1] if cfg.null_features == "quarantine" else df.limit(0),
         sweep=sweep,
-        report=class_report(result, cfg.label_column),
+        report=report,
         nodes=nodes,
+        columns=columns,
         sample_size=psi,
         best_count=best,
-        threshold=thresholds[f"n{best}"],
+        threshold=limit,
     )
 
 
+def ranked_pool(
+    df: DataFrame, columns: Sequence[str], keys: Sequence[str], size: int, seed: int = 42
+) -> DataFrame:
+    """The ``size`` complete rows of least digest with their rank from 1: each smaller pool is a part of it.
+
+    The cut-off follows the row count, so the task that ranks sees about twice ``size`` rows.
+    """
+    columns, keys = list(columns), list(keys)
+    wanted = list(dict.fromkeys(keys + columns))
+    rows = df.select(*[named(c) for c in wanted]).na.drop(subset=columns)
+    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.least(F.lit(1.0), F.lit(2.0 * size + 1000.0) / F.greatest(total, F.lit(1)))
+    keyed = rows.withColumn("sample_key", row_hash([named(c) for c in keys], seed, "md5"))
+    first = Window.orderBy("sample_key", *[named(c) for c in wanted])
+    near = keyed.where(F.col("sample_key") < share * F.lit(HASH_RANGE))
+    return near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= size).drop("sample_key")
+
+
 def sweep_pools(
     df: DataFrame, pool_sizes: Sequence[int], cfg: PipelineConfig = PipelineConfig()
 ) -> DataFrame:
-    """(pool, n_estimators, …): the tree-count sweep repeated for several training pool sizes."""
+    """(pool, n_estimators, …): the tree-count sweep of a forest for each training pool size.
+
+    The pools are parts of one ranked pool, their forests one node table with running tree numbers. All
+    rows are walked down all forests in one scan, and one aggregate counts every pool and tree count.
+    """
     columns = forest_columns(df, cfg)
     rows = prepare_rows(df, columns, cfg.null_features)
-    tables = []
-    for size in pool_sizes:
-        pool = materialize(training_pool(rows, columns, [cfg.id_column], 1.0, size, cfg.seed), "pool")
-        nodes, psi = grow_forest(pool, max(cfg.tree_counts), cfg.max_samples, cfg.seed)
-        nodes = materialize(nodes, "forest")
-        names = {f"n{n}": F.col(f"scores.n{n}") for n in sorted(set(cfg.tree_counts))}
-        thresholds = _pool_thresholds(pool, columns, nodes, psi, names, cfg.contamination)
-        scored = score_rows(rows, columns, nodes, psi, cfg.tree_counts)
-        table = sweep_counts(scored, thresholds, cfg.label_column)
-        tables.append(table.select(F.lit(int(size)).alias("pool"), *table.columns))
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result
+    keys, trees, counts = [cfg.id_column], max(cfg.tree_counts), sorted(set(cfg.tree_counts))
+    pool = materialize(ranked_pool(rows, columns, keys, max(pool_sizes), cfg.seed), "pool")
+    nodes, sizes = None, []
+    for i, size in enumerate(pool_sizes):
+        part = pool.where(F.col("rank") <= size).drop("rank")
+        grown, psi = grow_forest(part, trees, cfg.max_samples, cfg.seed, keys, first_tree=i * trees)
+        nodes = grown if nodes is None else nodes.unionByName(grown)
+        sizes.append(psi)
+        check_forest_size(trees * len(pool_sizes), psi)
+    table = materialize(nodes, "pool_forests").toPandas()
+    of = table["tree_id"] // trees
+    forests = {}
+    for i, psi in enumerate(sizes):
+        own = table[of == i].assign(tree_id=lambda t: t["tree_id"] % trees)
+        forests[f"p{i}"] = (forest_arrays(own, psi), counts)
+    score = score_function(df.sparkSession, forests)
+    walk = score(*[named(c).cast("double") for c in columns])
+
+    candidates = [(i, n) for i in range(len(sizes)) for n in counts]
+    limits = {
+        f"p{i}n{n}": F.when(F.col("rank") <= pool_sizes[i], F.col(f"scores.p{i}n{n}")) for i, n in candidates
+    }
+    judged = materialize(pool.select("rank", walk.alias("scores")), "pool_scores")
+    thresholds = contamination_thresholds(judged, limits, cfg.contamination)
+    guesses = {k: F.col(f"scores.p{i}n{n}") > thresholds[f"p{i}n{n}"] for k, (i, n) in enumerate(candidates)}
+    label = rows.select(named(cfg.label_column), walk.alias("scores"))
+    found = confusion_by_candidate(label, guesses, cfg.label_column, key="candidate")
+    at = F.col("candidate") + 1
+    size = F.element_at(F.array(*[F.lit(int(pool_sizes[i])) for i, _ in candidates]), at)
+    count = F.element_at(F.array(*[F.lit(int(n)) for _, n in candidates]), at)
+    rest = [F.col(c) for c in found.columns if c != "candidate"]
+    table = found.select(size.alias("pool"), count.alias("n_estimators"), *rest)
+    return table.withColumn("no_positives", F.col("tp") + F.col("fn") == 0)

@@ -21,6 +21,8 @@ CONFIG = PipelineConfig()
 # Fixed rule of the label-free quality checks, and fixed cluster labels.
 RULE_LIMIT = 600_000
 FIXED_CLUSTERS = 4
+# The training pools that are compared: sizes are what that operator varies.
+POOL_SIZES = (1_000, 10_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -486,72 +488,35 @@ def _forest(spark, folder):
 
 @query
 def iforest_nodes(spark, folder):
-    return _forest(spark, folder)[2]
+    return _rounded(_forest(spark, folder)[2])
 
 
 @query
 def iforest_scores(spark, folder):
     rows, columns, nodes, sample_size = _forest(spark, folder)
     scored = anomaly.score_rows(rows, columns, nodes, sample_size, CONFIG.tree_counts)
-    return scored.select("transaction_id", "scores.*")
-
-
-@query
-def iforest_tree_sizes(spark, folder):
-    """What must hold of any forest: each tree starts with the sample and its leaves share it out."""
-    nodes = _forest(spark, folder)[2]
-    leaf = F.col("feature") < 0
-    return nodes.groupBy("tree_id").agg(
-        F.max(F.when(F.col("node_id") == 0, F.col("size"))).alias("root_size"),
-        F.sum(F.when(leaf, F.col("size"))).alias("leaf_sizes"),
-        (F.count_if(leaf) - F.count_if(~leaf)).alias("leaves_beyond_splits"),
-        F.count_if(F.col("depth") > 8).alias("too_deep"),
-    )
-
-
-@query
-def iforest_score_range(spark, folder):
-    """Every complete row has a score strictly between 0 and 1 for every tree count."""
-    rows, columns, nodes, sample_size = _forest(spark, folder)
-    scored = anomaly.score_rows(rows, columns, nodes, sample_size, CONFIG.tree_counts).select("scores.*")
-    cells = F.array(*[F.struct(F.lit(n).alias("n_estimators"), F.col(f"n{n}").alias("score")) for n in CONFIG.tree_counts])
-    return scored.select(F.inline(cells)).groupBy("n_estimators").agg(
-        F.count("score").alias("scored"),
-        F.count_if((F.col("score") <= 0) | (F.col("score") >= 1)).alias("out_of_range"),
-    )
-
-
-@query
-def iforest_sweep_totals(spark, folder):
-    """The four counts of every tree count must add up to the table's rows and frauds."""
-    sweep = anomaly.detect(_feature_table(spark, folder), CONFIG).sweep
-    return sweep.select(
-        "n_estimators",
-        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("rows"),
-        (F.col("tp") + F.col("fn")).alias("frauds"),
-        "no_positives",
-    )
+    return _rounded(scored.select("transaction_id", "scores.*"))
 
 
 @query
 def iforest_predictions(spark, folder):
     rows = anomaly.detect(_feature_table(spark, folder), CONFIG).rows
-    return rows.select("transaction_id", "anomaly_score", "predictions", "df_pred")
+    return _rounded(rows.select("transaction_id", "anomaly_score", "predictions", "df_pred"))
 
 
 @query
 def iforest_report(spark, folder):
-    return anomaly.detect(_feature_table(spark, folder), CONFIG).report
+    return _rounded(anomaly.detect(_feature_table(spark, folder), CONFIG).report)
 
 
 @query
 def iforest_sweep(spark, folder):
-    return anomaly.detect(_feature_table(spark, folder), CONFIG).sweep
+    return _rounded(anomaly.detect(_feature_table(spark, folder), CONFIG).sweep)
 
 
 @query
 def iforest_pool_sweep(spark, folder):
-    return anomaly.sweep_pools(_feature_table(spark, folder), [1_000, 10_000], CONFIG)
+    return _rounded(anomaly.sweep_pools(_feature_table(spark, folder), POOL_SIZES, CONFIG))
 
 
 # the whole job
@@ -563,10 +528,10 @@ def scored_transactions(spark, folder):
 
 
 @query
-def scored_inputs(spark, folder):
-    """The scored table without what the models add: all complete rows, unchanged."""
-    scored = analyze(read_transactions(spark, folder), CONFIG).scored
-    return scored.drop("cluster_labels", "predictions", "df_pred", "anomaly_score")
+def scored_anomalies(spark, folder):
+    """All cleaned rows with what the forest adds; cluster labels are left out, as they have no SQL here."""
+    scored = analyze(read_transactions(spark, folder), CONFIG).scored.drop("cluster_labels")
+    return scored.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
 @query

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from fraudspark.plans.catalog import CONFIG, FIXED_CLUSTERS, RULE_LIMIT
+from collections.abc import Sequence
+
+from fraudspark.plans import forest_sql
+from fraudspark.plans.catalog import CONFIG, FIXED_CLUSTERS, POOL_SIZES, RULE_LIMIT
 
 TRANSACTIONS = """
 WITH b AS (
@@ -258,6 +261,40 @@ def _index(column: str) -> str:
 
 _INDEX_JOINS = " ".join(f"JOIN {_index(c)} AS j_{c} ON clean.{c} = j_{c}.v" for c in CATEGORIES)
 
+_GROWN = ",\n".join(
+    [
+        FEATURES.rstrip(),
+        forest_sql.vectors("f", "feats", NUMERIC, CONFIG.label_column, CONFIG.id_column),
+        forest_sql.forest("f", "f_m", len(NUMERIC), max(CONFIG.tree_counts), CONFIG.seed),
+    ]
+)
+_SCORED_FOREST = f"{_GROWN},\n{forest_sql.scores('f', 'f_m', CONFIG.tree_counts)}"
+_SWEPT = f"{_SCORED_FOREST},\n{forest_sql.sweep('f', CONFIG.tree_counts, CONFIG.contamination)}"
+_CHOSEN = f"{_SWEPT},\n{forest_sql.chosen('f', CONFIG.tree_counts)}"
+_FLAGS = (
+    "CASE WHEN score IS NULL THEN NULL WHEN score > lim THEN -1 ELSE 1 END AS predictions, "
+    "CASE WHEN score IS NULL THEN NULL WHEN score > lim THEN 1 ELSE 0 END AS df_pred"
+)
+
+
+def _pool_sweep(sizes: Sequence[int]) -> str:
+    """The sweep of a forest for each pool of least digests; thresholds come from the pool's own rows."""
+    counts, trees = CONFIG.tree_counts, max(CONFIG.tree_counts)
+    parts = [FEATURES.rstrip(), forest_sql.vectors("f", "feats", NUMERIC, CONFIG.label_column, CONFIG.id_column)]
+    for i, size in enumerate(sizes):
+        p, first = f"p{i}", i * trees
+        parts.append(f"""{p}_m AS MATERIALIZED (
+  SELECT * FROM f_m ORDER BY CAST('0x' || substr(md5('{CONFIG.seed}:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT), id LIMIT {size})""")
+        parts.append(forest_sql.forest(p, f"{p}_m", len(NUMERIC), trees, CONFIG.seed, first))
+        parts.append(forest_sql.scores(p, "f_m", counts, first))
+        share = f"CAST({1.0 - CONFIG.contamination!r} AS DOUBLE)"
+        limits = ", ".join(f"quantile_cont(n{n}, {share}) AS l{n}" for n in counts)
+        limits = f"SELECT {limits} FROM {p}_scores WHERE id IN (SELECT id FROM {p}_m)"
+        parts.append(forest_sql.sweep(p, counts, CONFIG.contamination, limits))
+    rows = " UNION ALL ".join(f"SELECT CAST({size} AS INT) AS pool, {forest_sql.SWEEP_COLUMNS} FROM p{i}_sweep" for i, size in enumerate(sizes))
+    return ",\n".join(parts) + "\n" + rows
+
+
 ORACLES: dict[str, str] = {
     "raw_transactions": f"{TRANSACTIONS} SELECT * FROM tx",
     "csv_round_trip": f"""{TRANSACTIONS} SELECT * REPLACE (nullif(transaction_datetime, 'N/A') AS transaction_datetime)
@@ -368,24 +405,24 @@ ORACLES: dict[str, str] = {
         SELECT round(sum(transaction_amount), 2) AS amount, round(CAST(sum(cardholder_age) AS DOUBLE), 2) AS age,
                CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS frauds
         FROM feats WHERE transaction_month IS NOT NULL""",
-    "iforest_tree_sizes": f"""
-        SELECT CAST(range AS INT) AS tree_id, CAST(256 AS INT) AS root_size, CAST(256 AS BIGINT) AS leaf_sizes,
-               CAST(1 AS BIGINT) AS leaves_beyond_splits, CAST(0 AS BIGINT) AS too_deep
-        FROM range({max(CONFIG.tree_counts)})""",
-    "iforest_score_range": FEATURES
-    + " UNION ALL ".join(
-        f"SELECT CAST({n} AS INT) AS n_estimators, CAST(count(*) AS BIGINT) AS scored, "
-        "CAST(0 AS BIGINT) AS out_of_range FROM feats WHERE transaction_month IS NOT NULL"
-        for n in CONFIG.tree_counts
-    ),
-    "iforest_sweep_totals": FEATURES
+    "iforest_nodes": f"{_GROWN} SELECT {forest_sql.NODE_COLUMNS} FROM f_nodes",
+    "iforest_scores": f"{_SCORED_FOREST} SELECT id AS transaction_id, "
+    + ", ".join(f"round(n{n}, 6) AS n{n}" for n in CONFIG.tree_counts)
+    + " FROM f_scores",
+    "iforest_sweep": f"{_SWEPT} SELECT {forest_sql.SWEEP_COLUMNS} FROM f_sweep",
+    "iforest_predictions": f"{_CHOSEN} SELECT id AS transaction_id, round(score, 6) AS anomaly_score, {_FLAGS} FROM f_chosen",
+    "iforest_report": f"""{_CHOSEN},
+        c AS (SELECT count(*) FILTER (WHERE score > lim AND label) AS tp, count(*) FILTER (WHERE score > lim AND NOT label) AS fp,
+                     count(*) FILTER (WHERE score <= lim AND label) AS fn, count(*) FILTER (WHERE score <= lim AND NOT label) AS tn
+              FROM f_chosen),
+        n AS (SELECT *, tp + fp + fn + tn AS n FROM c) """
     + " UNION ALL ".join(
-        f"SELECT CAST({n} AS INT) AS n_estimators, CAST(count(*) AS BIGINT) AS rows, "
-        "CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS frauds, sum(CAST(is_fraud AS INT)) = 0 AS no_positives "
-        "FROM feats WHERE transaction_month IS NOT NULL"
-        for n in CONFIG.tree_counts
+        f"SELECT '{c}' AS class, '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value FROM n"
+        for (c, m), e in _CLASS_ROWS.items()
     ),
-    "scored_inputs": f"{FEATURES} SELECT * FROM feats WHERE transaction_month IS NOT NULL",
+    "iforest_pool_sweep": _pool_sweep(POOL_SIZES),
+    "scored_anomalies": f"""{_CHOSEN} SELECT feats.*, round(score, 6) AS anomaly_score, {_FLAGS}
+        FROM feats LEFT JOIN f_chosen ON transaction_id = id""",
     "quarantined_rows": f"{FEATURES} SELECT * FROM feats WHERE transaction_month IS NULL",
     "silhouette_fixed_clusters": f"""{CLEAN}, {_SCALED},
         p AS (SELECT transaction_id, cardholder_age % {FIXED_CLUSTERS} AS k, a, g FROM z),

@@ -40,7 +40,11 @@ class RunResult:
 
     @property
     def scored(self) -> DataFrame:
-        return self.detection.rows
+        """All cleaned rows; those with a null model column have neither label, score nor prediction."""
+        rows = self.detection.rows
+        for left_out in (self.clustering.quarantined, self.detection.quarantined):
+            rows = rows.unionByName(keep_csv_columns(left_out), allowMissingColumns=True)
+        return rows
 
     def tables(self) -> dict[str, DataFrame]:
         """The small tables behind the charts and the reports."""

@@ -14,7 +14,7 @@ NODE = ["node_id", "feature", "threshold", "left", "right", "size", "depth"]
 def nodes_of(points, trees, seed=0):
     tables = []
     for t in range(trees):
-        table = pd.DataFrame(grow_tree(points, np.random.default_rng([seed, t])), columns=NODE)
+        table = pd.DataFrame(grow_tree(points, seed, t), columns=NODE)
         table.insert(0, "tree_id", t)
         tables.append(table)
     return pd.concat(tables, ignore_index=True)
@@ -180,11 +180,36 @@ def test_quality_over_seeds(clustering, cfg):
         assert best.recall >= 0.35 and best.precision >= 2 * base
 
 
+def test_equal_rows_are_drawn_apart(spark):
+    """A third of all rows are equal and nothing names them: each of their copies has its own draw."""
+    df = spark.range(90_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(0).cast("double").alias("x"))
+    results = []
+    for partitions in (1, 7):
+        drawn = a.tree_draws(df.repartition(partitions), 50, 64, 90_000, seed=7)
+        results.append(sorted(map(tuple, drawn.collect())))
+        per_tree = drawn.groupBy("tree_id").agg(F.count("*").alias("n"), F.count_if(F.col("x") == 0).alias("equal")).collect()
+        assert len(per_tree) == 50 and all(90 < r.n < 210 for r in per_tree)
+        assert 0.28 < sum(r.equal for r in per_tree) / sum(r.n for r in per_tree) < 0.39
+    assert results[0] == results[1]
+    copies = a.numbered_copies(df, block=1000)
+    assert copies.count() == 90_000 and copies.distinct().count() == 90_000
+    assert copies.where("x = 0").agg(F.max("copy")).first()[0] == 30_000 - 1
+
+
+def test_no_two_trees_share_more_rows_than_if_drawn_apart(spark):
+    df = spark.range(20_000).select("id", F.col("id").cast("double").alias("x"))
+    drawn = a.tree_draws(df, 20, 2500, 20_000, keys=["id"]).select("id", "tree_id")
+    share = 5020 / 20_000
+    pairs = drawn.alias("l").join(drawn.alias("r"), "id").where("l.tree_id < r.tree_id").groupBy("l.tree_id", "r.tree_id").count()
+    found = [r["count"] for r in pairs.collect()]
+    assert len(found) == 190 and 0.8 < np.mean(found) / (20_000 * share**2) <= 1.02 and max(found) < 1.2 * 20_000 * share**2
+
+
 def test_draws_come_from_all_rows(spark):
     """Every part of a large table is drawn from, each tree from about twice its rows."""
     df = spark.range(60_000).select("id", (F.col("id") % 100).cast("double").alias("x"))
     for trees, size in ((20, 64), (200, 256)):  # more rows than candidates, and fewer
-        drawn = a.tree_draws(df, trees, size, 60_000)
+        drawn = a.tree_draws(df, trees, size, 60_000, keys=["id"])
         per_tree = {r.tree_id: r["count"] for r in drawn.groupBy("tree_id").count().collect()}
         assert set(per_tree) == set(range(trees))
         assert all(size < n < 3 * size for n in per_tree.values())
