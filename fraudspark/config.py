@@ -54,7 +54,6 @@ class PipelineConfig:
     encoding: str = "dense"
     null_features: str = "quarantine"
     correlate: bool = True
-    colocate_column: str | None = None  # e.g. the amount, when its values repeat very often
 
     # clustering
     n_clusters: int = 4

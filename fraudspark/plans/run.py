@@ -36,7 +36,7 @@ class RunResult:
         if not self.cfg.correlate:
             return None
         columns = model_columns(self.features, [self.cfg.id_column])
-        return kendall_matrix(self.features, columns, colocate=self.cfg.colocate_column)
+        return kendall_matrix(self.features, columns)
 
     @property
     def scored(self) -> DataFrame:

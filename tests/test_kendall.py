@@ -4,6 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from fraudspark.functions.inversions import exact_dot, heavier_before
+from fraudspark.operators import kendall
 from fraudspark.operators.kendall import kendall_matrix, kendall_tau
 
 
@@ -50,7 +51,7 @@ def sample(n):
 def test_matches_all_pairs_under_any_partitioning(spark, n):
     table = sample(n)
     df = spark.createDataFrame(table)
-    for blocks in (1, 4, 16):
+    for blocks in (1, 7):
         for r in kendall_matrix(df.repartition(blocks), list(table), blocks).collect():
             expected = all_pairs(table[r.col_a].to_numpy(), table[r.col_b].to_numpy())
             if expected is None:
@@ -78,8 +79,22 @@ def test_full_matrix_of_features(featured):
     assert all(-1 <= v <= 1 and cells[b, a] == v for (a, b), v in cells.items())
 
 
-def test_bringing_rows_together_first_changes_nothing(spark):
+@pytest.mark.parametrize("few", [0, 2, 63])
+def test_every_kind_of_pair_gives_the_same(spark, few):
+    """Few-valued or not, small blocks that make cells split again, a value that spans several parts."""
     table = sample(300)
-    df = spark.createDataFrame(table)
-    plain = {(r.col_a, r.col_b): r.tau for r in kendall_matrix(df, list(table)).collect()}
-    assert plain == {(r.col_a, r.col_b): r.tau for r in kendall_matrix(df, list(table), colocate="atom").collect()}
+    df = spark.createDataFrame(table).repartition(3)
+    found = kendall_matrix(df, list(table), few=few, points_per_block=20)
+    for r in found.collect():
+        expected = all_pairs(table[r.col_a].to_numpy(), table[r.col_b].to_numpy())
+        assert r.tau is None if expected is None else r.tau == pytest.approx(expected, abs=1e-12)
+
+
+def test_rows_are_not_sent_once_a_pair(spark):
+    """Few-valued columns are counted where they are, a many-valued one is dealt out once with all others."""
+    df = spark.createDataFrame(sample(200))
+    rows = kendall._numbers(df, list(df.columns))
+    values = kendall._few_values(rows, 63)
+    assert sorted(values) == [0, 2, 4] and values[4] == [1.0]
+    plan = kendall._count_tables(rows, values, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.index("MapInPandas") < len(plan)
