@@ -59,14 +59,25 @@ def _numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _few_values(rows: DataFrame, few: int) -> dict[int, list[float]]:
-    """The sorted values of each column that has at most ``few``; sets are gathered only where a sketch says so."""
-    n = len(rows.columns)
-    about = rows.agg(*[F.approx_count_distinct(f"v{i}", 0.02).alias(f"v{i}") for i in range(n)]).first()
-    likely = [i for i in range(n) if about[i] <= 1.2 * few]
-    if not likely:
-        return {}
-    found = rows.agg(*[F.sort_array(F.collect_set(f"v{i}")).alias(f"v{i}") for i in likely]).first()
-    return {i: found[f"v{i}"] for i in likely if len(found[f"v{i}"]) <= few}
+    """The sorted values of each column that has at most ``few``; a task sends no more than that a column."""
+    names = list(rows.columns)
+
+    def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = {i: np.zeros(0) for i in range(len(names))}
+        for batch in batches:
+            for i in [i for i, v in seen.items() if len(v) <= few]:
+                values = batch[names[i]].to_numpy(np.float64)
+                seen[i] = np.unique(np.r_[seen[i], values[~np.isnan(values)]])
+        # one value beyond the limit is enough to show that there are too many
+        yield pd.DataFrame([(i, v) for i, found in seen.items() for v in found[: few + 1]], columns=["i", "value"])
+
+    found = rows.mapInPandas(distinct, "i int, value double").distinct()
+    counts = {r["i"]: r["count"] for r in found.groupBy("i").count().collect()}
+    short = [i for i in range(len(names)) if counts.get(i, 0) <= few]
+    values: dict[int, list[float]] = {i: [] for i in short}
+    for row in found.where(F.col("i").isin(short)).orderBy("i", "value").collect():
+        values[row["i"]].append(row["value"])
+    return values
 
 
 def _codes(values: np.ndarray, known: Sequence[float]) -> np.ndarray:
