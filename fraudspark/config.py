@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from fraudspark.functions.parsing import NULL_TOKENS
+
 
 @dataclass(frozen=True)
 class PipelineConfig:
@@ -12,6 +14,7 @@ class PipelineConfig:
     input_path: str = ""
     input_format: str = "csv"
     input_schema: str | None = None  # a DDL string, "infer", or None: text, typed by numeric_types
+    null_tokens: tuple[str, ...] = NULL_TOKENS
     output_path: str = ""
 
     # column roles
@@ -47,6 +50,7 @@ class PipelineConfig:
     # cleaning
     default_on_type: str = "withdrawal"
     default_scope: str = "matching"
+    default_category: str | None = None  # None: looked up in the rows
     string_fill: str = "NA"
 
     # features
@@ -70,3 +74,4 @@ class PipelineConfig:
 
     # output
     output_format: str = "csv"
+    partition_columns: tuple[str, ...] = ()  # of the scored rows, e.g. the month

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fraudspark.config import PipelineConfig
 from fraudspark.functions.parsing import HASH_RANGE, named, row_hash
 from fraudspark.functions.trees import NODE_SCHEMA, forest_arrays, forest_scores, grow_tree
-from fraudspark.operators.cluster import prepare_rows, split_missing
+from fraudspark.operators.cluster import column_medians, prepare_rows, split_missing
 from fraudspark.operators.evaluate import choose_candidate, class_report, confusion_by_candidate
 from fraudspark.operators.features import model_columns, one_hot_columns
 from fraudspark.operators.quantiles import exact_quantiles
@@ -32,17 +32,20 @@ def forest_columns(df: DataFrame, cfg: PipelineConfig) -> list[str]:
     return [c for c in columns if c not in made]
 
 
-def scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each column to mean 0 and sample standard deviation 1, constants to 0, from one aggregate."""
+def scaling(df: DataFrame, columns: Sequence[str]) -> list[tuple[float, float]]:
+    """Mean and sample standard deviation of each column, from one aggregate."""
     stats = df.agg(
         *[F.avg(named(c)).alias(f"mean{i}") for i, c in enumerate(columns)],
         *[F.stddev_samp(named(c)).alias(f"std{i}") for i, c in enumerate(columns)],
     ).first()
+    return [(stats[f"mean{i}"], stats[f"std{i}"]) for i in range(len(columns))]
+
+
+def scaled(df: DataFrame, columns: Sequence[str], stats: Sequence[tuple[float, float]] | None = None) -> DataFrame:
+    """Each column to mean 0 and sample standard deviation 1, constants to 0; by ``stats`` if given."""
+    stats = scaling(df, columns) if stats is None else stats
     return df.withColumns(
-        {
-            c: (named(c) - stats[f"mean{i}"]) / stats[f"std{i}"] if stats[f"std{i}"] else F.lit(0.0)
-            for i, c in enumerate(columns)
-        }
+        {c: (named(c) - mean) / std if std else F.lit(0.0) for c, (mean, std) in zip(columns, stats, strict=True)}
     )
 
 
@@ -264,6 +267,8 @@ class Detection:
     sample_size: int
     best_count: int
     threshold: float
+    medians: dict[str, float] | None = None
+    scaling: list[tuple[float, float]] | None = None
 
 
 def sweep_counts(scored: DataFrame, thresholds: dict[str, float], label: str = "is_fraud") -> DataFrame:
@@ -288,11 +293,14 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
         raise ValueError("no model columns")
     if cfg.label_column not in df.columns:
         raise ValueError(f"the label column {cfg.label_column} is needed to choose the tree count")
-    rows = prepare_rows(df, columns, cfg.null_features)
-    inputs = columns
+    medians = column_medians(df, columns) if cfg.null_features == "median" else None
+    rows = prepare_rows(df, columns, cfg.null_features, medians)
+    inputs, stats = columns, None
     if cfg.scale_forest_features:
         inputs = [f"scaled_{i}" for i in range(len(columns))]
-        rows = scaled(rows.withColumns({s: named(c).cast("double") for s, c in zip(inputs, columns)}), inputs)
+        rows = rows.withColumns({s: named(c).cast("double") for s, c in zip(inputs, columns)})
+        stats = scaling(rows, inputs)
+        rows = scaled(rows, inputs, stats)
     keys = [cfg.id_column] if cfg.id_column in rows.columns else []
     drawn = rows.select(*[named(c) for c in dict.fromkeys([*keys, *inputs])])
     nodes, psi = grow_forest(drawn, max(cfg.tree_counts), cfg.max_samples, cfg.seed, keys)
@@ -320,6 +328,8 @@ def detect(df: DataFrame, cfg: PipelineConfig = PipelineConfig(), columns: Seque
         sample_size=psi,
         best_count=best,
         threshold=limit,
+        medians=medians,
+        scaling=stats,
     )
 
 

@@ -44,19 +44,23 @@ def fill_default(
     order_column: str | None = None,
     scope: str = "matching",
     source: DataFrame | None = None,
+    default: str | None = None,
 ) -> DataFrame:
     """Fill nulls of ``column`` with its first value among the rows that meet ``condition``.
 
     ``scope="matching"`` fills only rows that meet the condition, ``"all"`` every
     null. The default is a scalar subquery over ``source`` (``df`` if not given);
-    nothing is filled when no row offers one.
+    nothing is filled when no row offers one. A given ``default`` is taken as it is.
     """
     if scope not in ("matching", "all"):
         raise ValueError(f"unknown scope: {scope}")
-    default = first_value((df if source is None else source).where(condition), column, order_column).scalar()
+    if default is None:
+        filler = first_value((df if source is None else source).where(condition), column, order_column).scalar()
+    else:
+        filler = F.lit(default)
     value = named(column)
     gap = value.isNull() & condition if scope == "matching" else value.isNull()
-    return df.withColumn(column, F.when(gap, default).otherwise(value))
+    return df.withColumn(column, F.when(gap, filler).otherwise(value))
 
 
 def fill_strings(df: DataFrame, value: str = "NA") -> DataFrame:
@@ -108,6 +112,7 @@ def clean(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
             order_column=cfg.id_column,
             scope=cfg.default_scope,
             source=df,
+            default=cfg.default_category,
         )
     rows = rows.transform(cast_columns, dict(cfg.numeric_types))
     rows = rows.transform(parse_timestamps, [cfg.timestamp_column])
@@ -115,3 +120,11 @@ def clean(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     rows = rows.transform(drop_invalid_flags, cfg.required_flags)
     rows = rows.transform(add_and_flags, {n: (a, b) for n, a, b in cfg.derived_flags})
     return rows.transform(fill_strings, cfg.string_fill)
+
+
+def default_category(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> str | None:
+    """The value that ``clean`` fills in, so that later rows get the same one."""
+    if cfg.default_category is not None or not {cfg.category_column, cfg.type_column} <= set(df.columns):
+        return cfg.default_category
+    rows = drop_missing(df, cfg.required_columns).where(named(cfg.type_column) == cfg.default_on_type)
+    return first_value(rows, cfg.category_column, cfg.id_column).first()[0]

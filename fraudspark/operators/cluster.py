@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -42,18 +42,27 @@ def split_missing(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Dat
     return df.where(~bad), df.where(bad)
 
 
-def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls of numeric columns become the column's approximate median; columns with no value stay."""
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Approximate median of each numeric column that has a value."""
     columns = [c for c in columns if c in dict(df.dtypes) and dict(df.dtypes)[c] != "vector"]
-    model = Imputer(strategy="median", inputCols=columns, outputCols=columns).fit(df)
-    return model.transform(df)
+    found = Imputer(strategy="median", inputCols=columns, outputCols=columns).fit(df).surrogateDF.first().asDict()
+    return {c: v for c, v in found.items() if v is not None}
 
 
-def prepare_rows(df: DataFrame, columns: Sequence[str], null_features: str = "quarantine") -> DataFrame:
+def impute_median(df: DataFrame, columns: Sequence[str], medians: Mapping[str, float] | None = None) -> DataFrame:
+    """Nulls of numeric columns become the column's median, of ``df`` unless given; columns with no value stay."""
+    medians = column_medians(df, columns) if medians is None else medians
+    types = dict(df.dtypes)
+    return df.withColumns({c: F.coalesce(named(c), F.lit(v).cast(types[c])) for c, v in medians.items()})
+
+
+def prepare_rows(
+    df: DataFrame, columns: Sequence[str], null_features: str = "quarantine", medians: Mapping[str, float] | None = None
+) -> DataFrame:
     if null_features == "quarantine":
         return split_missing(df, columns)[0]
     if null_features == "median":
-        return impute_median(df, columns)
+        return impute_median(df, columns, medians)
     raise ValueError(f"unknown choice: {null_features}")
 
 
@@ -103,10 +112,36 @@ def pca_loadings(model: PCAModel, df: DataFrame, names: Sequence[str]) -> DataFr
     return df.sparkSession.createDataFrame(rows, "feature string, component int, loading double")
 
 
-def centroids(model: KMeansModel, df: DataFrame) -> DataFrame:
-    """(cluster, component, value)."""
+def component_signs(model: PCAModel) -> list[int]:
+    """The sign that makes each component's first non-zero loading positive, as in the loadings table."""
+    loadings = model.pc.toArray()
+    leads = [next((v for v in loadings[:, j] if abs(v) > 1e-12), 1.0) for j in range(loadings.shape[1])]
+    return [1 if lead > 0 else -1 for lead in leads]
+
+
+def cluster_numbers(model: KMeansModel, signs: Sequence[int]) -> list[int]:
+    """A number for each fitted cluster: centroids in order of their first component, then the next ones.
+
+    So equal clusterings have equal numbers, whatever the seed and the sign of a component.
+    """
+    centers = [tuple(s * float(v) for s, v in zip(signs, center)) for center in model.clusterCenters()]
+    order = sorted(range(len(centers)), key=lambda i: centers[i])
+    return [order.index(i) for i in range(len(centers))]
+
+
+def label_rows(df: DataFrame, model: KMeansModel, numbers: Sequence[int], labels: str = "cluster_labels") -> DataFrame:
+    """Labels of ``model`` by the numbers of the clusters."""
+    number = F.element_at(F.array(*[F.lit(n) for n in numbers]), F.col("__fitted") + 1)
+    found = model.copy({model.getParam("predictionCol"): "__fitted"}).transform(df)
+    return found.withColumn(labels, number).drop("__fitted")
+
+
+def centroids(model: KMeansModel, df: DataFrame, signs: Sequence[int], numbers: Sequence[int]) -> DataFrame:
+    """(cluster, component, value), each component with the sign of the loadings table."""
     rows = [
-        (i, j + 1, float(v)) for i, center in enumerate(model.clusterCenters()) for j, v in enumerate(center)
+        (numbers[i], j + 1, signs[j] * float(v))
+        for i, center in enumerate(model.clusterCenters())
+        for j, v in enumerate(center)
     ]
     return df.sparkSession.createDataFrame(rows, "cluster int, component int, value double")
 
@@ -116,18 +151,21 @@ def silhouette(df: DataFrame, features: str = "features_pca", labels: str = "clu
     return ClusteringEvaluator(featuresCol=features, predictionCol=labels, metricName="silhouette").evaluate(df)
 
 
-def component_columns(df: DataFrame, k: int, features: str = "features_pca") -> DataFrame:
+def component_columns(
+    df: DataFrame, k: int, features: str = "features_pca", signs: Sequence[int] | None = None
+) -> DataFrame:
     """PC1, PC2, … as plain double columns in place of the vector."""
     parts = vector_to_array(named(features))
-    return df.withColumns({f"PC{i + 1}": parts[i] for i in range(k)}).drop(features)
+    signs = signs or [1] * k
+    return df.withColumns({f"PC{i + 1}": parts[i] * signs[i] for i in range(k)}).drop(features)
 
 
 def component_sample(
-    df: DataFrame, k: int, keys: Sequence[str], fraction: float = 0.05, seed: int = 42
+    df: DataFrame, k: int, keys: Sequence[str], fraction: float = 0.05, seed: int = 42, signs: Sequence[int] | None = None
 ) -> DataFrame:
-    """A reproducible sample of points in PCA space with their labels."""
+    """A reproducible sample of points in PCA space with their labels; rows are in or out by their keys."""
     wanted = [f"PC{i + 1}" for i in range(k)] + ["cluster_labels"]
-    return hash_sample(component_columns(df, k), wanted, [*keys, *wanted], fraction, seed)
+    return hash_sample(component_columns(df, k, signs=signs), wanted, list(keys) or wanted, fraction, seed, "md5" if keys else "xxhash64")
 
 
 def cluster_profile(
@@ -157,6 +195,11 @@ class Clustering:
     silhouette: float | None
     sample: DataFrame
     profile: DataFrame
+    columns: list[str]
+    medians: dict[str, float] | None
+    projection: PipelineModel
+    kmeans: KMeansModel
+    numbers: list[int]
 
 
 def cluster(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Clustering:
@@ -169,24 +212,35 @@ def cluster(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Clustering
     columns = cluster_columns(df, cfg)
     if not columns:
         raise ValueError("no model columns")
-    rows = prepare_rows(df, columns, cfg.null_features)
+    medians = column_medians(df, columns) if cfg.null_features == "median" else None
+    rows = prepare_rows(df, columns, cfg.null_features, medians)
     projection = fit_pca(rows, columns, cfg.pca_components)
     points = projection.transform(rows).select("features_pca").persist()
-    kmeans = fit_kmeans(points, cfg.n_clusters, cfg.seed)
-    filled = sum(size > 0 for size in kmeans.summary.clusterSizes)
-    score = silhouette(kmeans.transform(points)) if filled > 1 else None
-    points.unpersist()
-    labelled = kmeans.transform(projection.transform(rows))
+    try:
+        kmeans = fit_kmeans(points, cfg.n_clusters, cfg.seed)
+        filled = sum(size > 0 for size in kmeans.summary.clusterSizes)
+        score = silhouette(kmeans.transform(points)) if filled > 1 else None
+    finally:
+        points.unpersist()
     pca = projection.stages[-1]
+    signs = component_signs(pca)
+    numbers = cluster_numbers(kmeans, signs)
+    labelled = label_rows(projection.transform(rows), kmeans, numbers)
+    keys = [cfg.id_column] if cfg.id_column in df.columns else []
     return Clustering(
         rows=labelled,
         quarantined=split_missing(df, columns)[1] if cfg.null_features == "quarantine" else df.limit(0),
         variance=explained_variance(pca, df),
         loadings=pca_loadings(pca, df, feature_names(df, columns)),
-        centroids=centroids(kmeans, df),
+        centroids=centroids(kmeans, df, signs, numbers),
         silhouette=score,
-        sample=component_sample(labelled, cfg.pca_components, [cfg.id_column], seed=cfg.seed),
+        sample=component_sample(labelled, cfg.pca_components, keys, seed=cfg.seed, signs=signs),
         profile=cluster_profile(
             labelled, amount=cfg.amount_column, age=cfg.age_column, flag=cfg.label_column
         ),
+        columns=columns,
+        medians=medians,
+        projection=projection,
+        kmeans=kmeans,
+        numbers=numbers,
     )

@@ -15,8 +15,8 @@ from fraudspark.functions.parsing import named
 def add_time_parts(
     df: DataFrame, column: str, prefix: str = "transaction", monday_first: bool = False
 ) -> DataFrame:
-    """Month, day of week and hour. Days run 1=Sunday..7=Saturday, or 0=Monday..6=Sunday."""
-    stamp = named(column)
+    """Month, day of week and hour in UTC, whatever the session zone. Days run 1=Sunday..7=Saturday, or 0=Monday..6=Sunday."""
+    stamp = F.convert_timezone(F.current_timezone(), F.lit("UTC"), named(column).cast("timestamp_ntz"))
     return df.withColumns(
         {
             f"{prefix}_month": F.month(stamp),
@@ -94,18 +94,24 @@ def one_hot_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if ONE_HOT in f.metadata}
 
 
+def by_frequency(counts: Mapping[str, int]) -> list[str]:
+    """Values by falling frequency, ties by value."""
+    return sorted(counts, key=lambda value: (-counts[value], value))
+
+
 def fit_index_encoder(
-    df: DataFrame, columns: Sequence[str], index_only: bool = False
+    df: DataFrame, columns: Sequence[str], index_only: bool = False, categories: Mapping[str, Sequence[str]] | None = None
 ) -> PipelineModel:
     """Index by falling frequency (ties by value), then sparse one-hot with a slot for unseen values.
 
-    The labels come from the category counts of all columns, one scan.
+    The labels come from the category counts of all columns, one scan, unless they are given.
     """
     columns = list(columns)
-    counts = category_counts(df, columns)
+    if categories is None:
+        categories = {c: by_frequency(found) for c, found in category_counts(df, columns).items()}
     indexers = [
         StringIndexerModel.from_labels(
-            sorted(counts[c], key=lambda value: (-counts[c][value], value)), c, f"{c}_idx", handleInvalid="keep"
+            list(categories[c]), c, f"{c}_idx", handleInvalid="keep"
         )
         for c in columns
     ]
@@ -118,13 +124,13 @@ def fit_index_encoder(
 
 
 def one_hot_sparse(
-    df: DataFrame, columns: Sequence[str], keep_index: bool = False
+    df: DataFrame, columns: Sequence[str], keep_index: bool = False, categories: Mapping[str, Sequence[str]] | None = None
 ) -> DataFrame:
     """Sparse ``<column>_ohe`` vectors; the index columns go unless asked for."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    encoded = fit_index_encoder(df, columns).transform(df)
+    encoded = fit_index_encoder(df, columns, categories=categories).transform(df)
     return encoded if keep_index else encoded.drop(*[f"{c}_idx" for c in columns])
 
 
@@ -143,13 +149,22 @@ def model_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ]
 
 
-def add_features(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """The full feature step: time parts, flags as 0/1, categories encoded."""
+def fit_categories(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> dict[str, list[str]]:
+    """The categories that ``add_features`` encodes, in its order."""
+    columns = [c for c in cfg.category_features if c in df.columns]
+    order = by_frequency if cfg.encoding == "sparse" else sorted
+    return {c: list(order(found)) for c, found in category_counts(df, columns).items()}
+
+
+def add_features(
+    df: DataFrame, cfg: PipelineConfig = PipelineConfig(), categories: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """The full feature step: time parts, flags as 0/1, categories encoded (found in ``df`` unless given)."""
     if cfg.timestamp_column in df.columns:
         df = add_time_parts(df, cfg.timestamp_column, monday_first=cfg.monday_first)
     df = booleans_to_int(df, cfg.flag_features)
     if cfg.encoding == "dense":
-        return one_hot_dense(df, cfg.category_features)
+        return one_hot_dense(df, cfg.category_features, categories)
     if cfg.encoding == "sparse":
-        return one_hot_sparse(df, cfg.category_features)
+        return one_hot_sparse(df, cfg.category_features, categories=categories)
     raise ValueError(f"unknown encoding: {cfg.encoding}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from fraudspark.functions.parsing import named
 from fraudspark.operators.quantiles import exact_quantiles, number
@@ -72,6 +72,15 @@ def schema_info(df: DataFrame) -> DataFrame:
     )
 
 
+def observed_schema_info(df: DataFrame, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """What ``write`` returns, and ``schema_info`` of it, counted while the rows were written."""
+    types, seen = dict(df.dtypes), Observation()
+    counts = [F.count(named(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    written = write(df.observe(seen, *counts))
+    rows = [(c, types[c], seen.get[f"n{i}"]) for i, c in enumerate(df.columns)]
+    return written, df.sparkSession.createDataFrame(rows, "column string, type string, non_null long")
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, nulls), in one pass."""
     columns = list(columns) if columns is not None else df.columns

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudspark.config import PipelineConfig
 from fraudspark.operators import anomaly, clean, cluster, evaluate, explore, features, kendall, profile
+from fraudspark.plans.model import FraudModel, register_score_function
 from fraudspark.plans.run import analyze
 from fraudspark.session import materialize, scratch_dir
 from fraudspark.sources.sinks import keep_csv_columns, write_table
-from fraudspark.sources.tables import read_table
+from fraudspark.sources.tables import read_table, split_malformed
 from fraudspark.sources.transactions import read_transactions
 
 CONFIG = PipelineConfig()
@@ -78,6 +79,41 @@ def parquet_round_trip(spark, folder):
     return read_table(spark, path)
 
 
+@query
+def malformed_lines(spark, folder):
+    """Lines of a customer file with a cell too few, one too many, or a word for a number, by key class."""
+    customers = spark.read.parquet(f"{folder}/customer.parquet")
+    key, balance = F.col("c_custkey"), F.format_string("%.2f", "c_acctbal")
+    line = (
+        F.when(key % 17 == 3, F.concat_ws(",", key, "c_mktsegment"))
+        .when(key % 19 == 5, F.concat_ws(",", key, "c_mktsegment", balance, F.lit("more")))
+        .when(key % 23 == 7, F.concat_ws(",", key, "c_mktsegment", F.lit("much")))
+        .otherwise(F.concat_ws(",", key, "c_mktsegment", balance))
+    )
+    path = f"{scratch_dir(spark)}/lines-{uuid.uuid4().hex}"
+    customers.select(line.alias("line")).write.text(path)
+    raw = spark.read.schema("key long, segment string, balance double, bad string")
+    raw = raw.option("columnNameOfCorruptRecord", "bad").csv(path)
+    good, bad = split_malformed(materialize(raw, "lines"), "bad")
+    return good.groupBy("segment").agg(F.count("*").alias("lines"), F.round(F.sum("balance"), 2).alias("balance")).unionByName(
+        bad.agg(F.lit("malformed").alias("segment"), F.count("*").alias("lines"), F.lit(None).cast("double").alias("balance"))
+    )
+
+
+@query
+def partitioned_output(spark, folder):
+    """One month of the partitioned feature files; only that folder is listed and read."""
+    path = f"{scratch_dir(spark)}/by-month-{uuid.uuid4().hex}"
+    write_table(features.add_time_parts(_cleaned(spark, folder), "transaction_datetime"), path, "parquet", ["transaction_month"])
+    spark.read.parquet(path).createOrReplaceTempView("transactions_by_month")
+    return spark.sql(
+        """
+        SELECT transaction_hour, count(*) AS transactions, count_if(is_fraud) AS frauds
+        FROM transactions_by_month WHERE transaction_month = 3 GROUP BY transaction_hour
+        """
+    )
+
+
 @query
 def csv_safe_columns(spark, folder):
     # written first: the encoders count the categories before they encode
@@ -387,6 +423,43 @@ def kmeans_sample(spark, folder):
     return _clustering(spark, folder).sample
 
 
+def _separated(spark, folder) -> cluster.Clustering:
+    """The clustering step over four groups so far apart that only one clustering into four is best."""
+    group = F.col("transaction_id") % 4
+    table = _amount_and_age(spark, folder).withColumns(
+        {
+            "transaction_amount": F.col("transaction_amount") + group * 1e8,
+            "cardholder_age": F.col("cardholder_age") + (group % 2) * 3e4,
+        }
+    )
+    return cluster.cluster(materialize(table, "separated"), CONFIG)
+
+
+@query
+def separated_labels(spark, folder):
+    return _separated(spark, folder).rows.select("transaction_id", "cluster_labels")
+
+
+@query
+def separated_centroids(spark, folder):
+    return _rounded(_separated(spark, folder).centroids, 4)
+
+
+@query
+def separated_profile(spark, folder):
+    return _rounded(_separated(spark, folder).profile, 4)
+
+
+@query
+def separated_sample(spark, folder):
+    return _rounded(_separated(spark, folder).sample, 4)
+
+
+@query
+def separated_silhouette(spark, folder):
+    return _rounded(spark.createDataFrame([(_separated(spark, folder).silhouette,)], "silhouette double"))
+
+
 @query
 def kmeans_silhouette(spark, folder):
     return spark.createDataFrame([(_clustering(spark, folder).silhouette,)], "silhouette double")
@@ -534,6 +607,34 @@ def scored_anomalies(spark, folder):
     return scored.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
+def _saved_model(spark, folder) -> str:
+    path = f"{scratch_dir(spark)}/model-{uuid.uuid4().hex}"
+    analyze(read_transactions(spark, folder), CONFIG).model.save(path)
+    return path
+
+
+@query
+def rescored_transactions(spark, folder):
+    """The raw rows scored anew by the saved and loaded model: the same table as the first run's."""
+    model = FraudModel.load(spark, _saved_model(spark, folder))
+    scored = model.score(read_transactions(spark, folder)).drop("cluster_labels")
+    return scored.withColumn("anomaly_score", F.round("anomaly_score", 6))
+
+
+@query
+def anomaly_score_in_sql(spark, folder):
+    """The loaded forest as a SQL function over the feature table."""
+    model = FraudModel.load(spark, _saved_model(spark, folder))
+    inputs = ", ".join(f"CAST(`{c}` AS double)" for c in register_score_function(spark, model))
+    _feature_table(spark, folder).createOrReplaceTempView("transactions_features")
+    return spark.sql(
+        f"""
+        SELECT transaction_id, round(anomaly_score({inputs}).n{model.best_count}, 6) AS anomaly_score
+        FROM transactions_features WHERE transaction_month IS NOT NULL
+        """
+    )
+
+
 @query
 def sql_on_clean_view(spark, folder):
     _cleaned(spark, folder).createOrReplaceTempView("transactions_clean")

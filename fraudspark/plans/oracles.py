@@ -261,6 +261,15 @@ def _index(column: str) -> str:
 
 _INDEX_JOINS = " ".join(f"JOIN {_index(c)} AS j_{c} ON clean.{c} = j_{c}.v" for c in CATEGORIES)
 
+_SEPARATED = f"""{CLEAN},
+g AS (SELECT transaction_id, is_fraud, transaction_id % 4 AS grp, transaction_amount + (transaction_id % 4) * CAST(1e8 AS DOUBLE) AS amount,
+             cardholder_age + (transaction_id % 4 % 2) * CAST(3e4 AS DOUBLE) AS age FROM clean),
+gs AS (SELECT avg(amount) AS ma, stddev_samp(amount) AS sa, avg(age) AS mg, stddev_samp(age) AS sg, sign(corr(amount, age)) AS r FROM g),
+gp AS (SELECT g.*, ((amount - ma) / sa + r * (age - mg) / sg) / sqrt(2.0) AS pc1, ((amount - ma) / sa - r * (age - mg) / sg) / sqrt(2.0) AS pc2
+       FROM g, gs),
+numbers AS (SELECT grp, CAST(row_number() OVER (ORDER BY avg(pc1), avg(pc2)) - 1 AS INT) AS cluster_labels FROM gp GROUP BY grp),
+labelled AS (SELECT gp.*, cluster_labels FROM gp JOIN numbers USING (grp))
+"""
 _GROWN = ",\n".join(
     [
         FEATURES.rstrip(),
@@ -405,6 +414,34 @@ ORACLES: dict[str, str] = {
         SELECT round(sum(transaction_amount), 2) AS amount, round(CAST(sum(cardholder_age) AS DOUBLE), 2) AS age,
                CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS frauds
         FROM feats WHERE transaction_month IS NOT NULL""",
+    "malformed_lines": """
+        WITH l AS (SELECT c_mktsegment AS segment, round(c_acctbal, 2) AS balance,
+                          c_custkey % 17 = 3 OR c_custkey % 19 = 5 OR c_custkey % 23 = 7 AS bad FROM customer)
+        SELECT segment, CAST(count(*) AS BIGINT) AS lines, round(sum(balance), 2) AS balance FROM l WHERE NOT bad GROUP BY segment
+        UNION ALL SELECT 'malformed', CAST(count(*) AS BIGINT), NULL FROM l WHERE bad""",
+    "partitioned_output": f"""{FEATURES}
+        SELECT transaction_hour, CAST(count(*) AS BIGINT) AS transactions, CAST(count(*) FILTER (WHERE is_fraud) AS BIGINT) AS frauds
+        FROM feats WHERE transaction_month = 3 GROUP BY transaction_hour""",
+    "separated_labels": f"{_SEPARATED} SELECT transaction_id, cluster_labels FROM labelled",
+    "separated_centroids": f"""{_SEPARATED}
+        SELECT cluster_labels AS cluster, CAST(1 AS INT) AS component, round(avg(pc1), 4) AS value FROM labelled GROUP BY 1
+        UNION ALL SELECT cluster_labels, CAST(2 AS INT), round(avg(pc2), 4) FROM labelled GROUP BY 1""",
+    "separated_profile": f"""{_SEPARATED}
+        SELECT cluster_labels, round(avg(amount), 4) AS mean_amount, round(avg(age), 4) AS mean_age,
+               CAST(sum(CAST(is_fraud AS INT)) AS BIGINT) AS fraud_sum FROM labelled GROUP BY 1""",
+    "separated_sample": f"""{_SEPARATED}
+        SELECT round(pc1, 4) AS "PC1", round(pc2, 4) AS "PC2", cluster_labels FROM labelled
+        WHERE CAST('0x' || substr(md5('{CONFIG.seed}:' || CAST(transaction_id AS VARCHAR)), 1, 8) AS BIGINT) < 0.05 * 4294967296""",
+    "separated_silhouette": f"""{_SEPARATED},
+        c AS (SELECT grp AS k, count(*) AS n, sum(pc1) AS t1, sum(pc2) AS t2, sum(pc1 * pc1 + pc2 * pc2) AS tq FROM labelled GROUP BY 1),
+        d AS (SELECT transaction_id, l.grp = c.k AS own,
+                     (c.n * (pc1 * pc1 + pc2 * pc2) - 2 * (pc1 * t1 + pc2 * t2) + tq) / (CASE WHEN l.grp = c.k THEN n - 1 ELSE n END) AS d
+              FROM labelled l, c),
+        m AS (SELECT transaction_id, min(d) FILTER (WHERE own) AS ao, min(d) FILTER (WHERE NOT own) AS bo FROM d GROUP BY 1)
+        SELECT round(avg((bo - ao) / greatest(ao, bo)), 6) AS silhouette FROM m""",
+    "rescored_transactions": f"""{_CHOSEN} SELECT feats.*, round(score, 6) AS anomaly_score, {_FLAGS}
+        FROM feats LEFT JOIN f_chosen ON transaction_id = id""",
+    "anomaly_score_in_sql": f"{_CHOSEN} SELECT id AS transaction_id, round(score, 6) AS anomaly_score FROM f_chosen",
     "iforest_nodes": f"{_GROWN} SELECT {forest_sql.NODE_COLUMNS} FROM f_nodes",
     "iforest_scores": f"{_SCORED_FOREST} SELECT id AS transaction_id, "
     + ", ".join(f"round(n{n}, 6) AS n{n}" for n in CONFIG.tree_counts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -27,9 +29,17 @@ def keep_csv_columns(df: DataFrame, vectors_as_json: bool = False) -> DataFrame:
     return df.select(*kept)
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "csv") -> None:
-    """Overwrite ``path`` with CSV (with header) or Parquet, a file for each task."""
+def write_table(df: DataFrame, path: str, file_format: str = "csv", partition_columns: Sequence[str] = ()) -> None:
+    """Overwrite ``path`` with CSV (with header) or Parquet, a file for each task.
+
+    With partition columns a folder for each of their values; rows of one value come together first,
+    a frequent one in several tasks, so that files are few and of one size.
+    """
+    if partition_columns:
+        df = df.hint("rebalance", *[named(c) for c in partition_columns])
     writer = df.write.mode("overwrite")
+    if partition_columns:
+        writer = writer.partitionBy(*partition_columns)
     if file_format == "csv":
         writer.option("header", True).csv(path)
     elif file_format == "parquet":

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from fraudspark.operators.cluster import component_signs
 from fraudspark.operators import cluster as k
 from fraudspark.operators.features import add_features
 
@@ -26,7 +27,8 @@ def test_labels(clustering, cfg):
 def test_every_row_is_with_its_nearest_centroid(clustering):
     centers = clustering.centroids.toPandas().pivot(index="cluster", columns="component", values="value").to_numpy()
     rows = clustering.rows.select("cluster_labels", vector_to_array("features_pca").alias("v")).toPandas()
-    points = np.array(rows["v"].tolist())
+    points = np.array(rows["v"].tolist()) * component_signs(clustering.projection.stages[-1])
+    assert [tuple(c) for c in centers] == sorted(tuple(c) for c in centers)
     distances = ((points[:, None, :] - centers[None]) ** 2).sum(axis=2)
     assert (distances.argmin(axis=1) == rows["cluster_labels"]).all()
 

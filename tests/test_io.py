@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fraudspark.session import materialize, scratch_dir
 from fraudspark.sources.sinks import keep_csv_columns, write_table
-from fraudspark.sources.tables import read_table
+from fraudspark.sources.tables import read_table, split_malformed
 
 
 def test_csv_names_nulls_and_types(spark, tmp_path):
@@ -62,3 +62,21 @@ def test_written_tables_go_to_the_named_folder(spark):
     assert folder == spark.conf.get("spark.checkpoint.dir")
     df = materialize(spark.range(3).withColumn("v", array_to_vector(F.array(F.col("id").cast("double")))), "t")
     assert df.inputFiles()[0].startswith("file:" + "//" + folder) and df.count() == 3
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id, name ,amount\n1,a,2.5\n2,b\n3,c,1,9\n4,\"d,d\",3\n")
+    df = read_table(spark, str(tmp_path / "in.csv"), malformed_column="bad")
+    good, bad = split_malformed(df.cache(), "bad")
+    assert good.columns == ["id", "name", "amount"]
+    assert {tuple(r) for r in good.collect()} == {("1", "a", "2.5"), ("4", "d,d", "3")}
+    assert sorted(r.bad for r in bad.collect()) == ["2,b", "3,c,1,9"]
+
+
+def test_partitions_are_pruned(spark, tmp_path):
+    df = spark.range(1000).select("id", (F.col("id") % 10).cast("int").alias("m"))
+    write_table(df, str(tmp_path / "out"), "parquet", ["m"])
+    month = spark.read.parquet(str(tmp_path / "out")).where("m = 3")
+    assert month.count() == 100
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(m" in plan and "(m#" in plan.split("PartitionFilters")[1]

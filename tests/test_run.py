@@ -3,6 +3,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from fraudspark.operators.profile import schema_info
+from fraudspark.plans.model import FraudModel
 from fraudspark.plans.run import register_views, run
 from fraudspark.sources.sinks import write_table
 from fraudspark.sources.tables import read_table
@@ -49,3 +51,22 @@ def test_views(spark, result):
         "SELECT (SELECT count(*) FROM card_raw) r, (SELECT count(*) FROM card_clean) c, (SELECT count(*) FROM card_scored) s"
     ).first()
     assert counts.r > counts.c == counts.s > 0
+
+
+def test_saved_model_scores_the_same_in_another_session(spark, result):
+    done, out = result
+    model = FraudModel.load(spark.newSession(), str(out / "model"))
+    again = model.score(done.raw)
+    first = done.scored
+    assert set(again.columns) == set(first.columns)
+    again = again.select(*first.columns)
+    assert first.count() > 0 and first.exceptAll(again).count() == again.exceptAll(first).count() == 0
+    one = model.score(done.raw.limit(3))
+    assert one.count() <= 3 and "anomaly_score" in one.columns
+
+
+def test_profiles_come_with_the_written_rows(result):
+    done = result[0]
+    expected = {tuple(r) for r in schema_info(done.cleaned).collect()}
+    assert {tuple(r) for r in done.profile_schema.collect()} == expected
+    assert done.tables()["silhouette"].first()[0] == done.clustering.silhouette
