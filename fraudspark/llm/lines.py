@@ -1,22 +1,26 @@
 """Line dedup by a segment-partition edit join, in DataFrame functions only.
 
-A line goes if an earlier line (by id, text hash, line number) of any document is within a few edits
-of its bytes: ``chars_per_edit`` bytes of the shorter line allow one edit, up to ``max_edits``.
-Shorter lines are layout and stay.
-
-Equal lines are collapsed first, before anything is shuffled whole. Every distinct line is cut into
-threshold + 1 segments; two lines within the threshold share a segment at places that differ by few
-bytes, so each line sends the hashes of its segments (the index) and of the substrings that
-could be a segment of an equally long or somewhat shorter line (the probes), keyed by that length and
-the segment's number. Of a key's lines only the earliest is compared with all first; lines that fall
-to it need no other, so no bucket sends all its pairs. What remains is compared with the earlier lines
-of its keys, as far as the numbers of some letters allow so few edits. Candidates are verified by the banded bit-parallel edit distance on what is left between
-their common beginning and end.
+A line goes if an earlier line (by id, text hash, line number) of any document is within a few edits.
+Two lines of at least ``LONG_WORDS`` words are compared word by word, one edit for each ``words_per_edit``
+words of the shorter; two shorter lines byte by byte, one edit for each ``chars_per_edit`` bytes; both up
+to ``max_edits``. A word edit may change any number of bytes. Lines under ``chars_per_edit`` bytes are
+layout and stay.
+
+Equal lines are collapsed before keys are sent. Every distinct line is cut into threshold + 1 segments
+(of bytes or words); two lines within the threshold share a segment at places that differ by few
+symbols, so each line sends the hashes of its segments (the index) and of the runs that could be a
+segment of an equally long or somewhat shorter line (the probes), keyed by that length and the
+segment's number. Of a key's lines only the earliest is compared with all first; lines that fall to it
+need no other. What remains is compared with the earlier lines of its keys. So that many lines that
+share a segment, but are far apart, do not all meet, symbols are dealt into
+2 max_edits + 2 groups: an edit changes two groups at most, so near lines have two groups of equal symbols. Within keys
+of more than ``HOT`` lines that is part of the join's key. Candidates are verified by the banded
+bit-parallel edit distance on what is left between their common beginning and end.
 
 The texts of candidate lines are found by a second scan, filtered by a bitmap of fixed size. The
 texts themselves are shuffled once, to meet the numbers of their kept lines.
 
-Lines, texts and segments are named by 64-bit hashes. Defined results: null texts stay null and empty
+Lines, words, texts and segments are named by 64-bit hashes. Defined results: null texts stay null and empty
 ones empty; rows that repeat id and text are one document and get equal results; a text without kept
 lines becomes empty; input columns with the names of the report are replaced; all others stay.
 """
@@ -24,6 +28,8 @@ lines becomes empty; input columns with the names of the report are replaced; al
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +39,9 @@ from fraudspark.session import materialize
 
 MAX_EDITS = 2
 CHARS_PER_EDIT = 10
-COUNTED = "entairoh"  # letters whose numbers are compared before two lines are brought together
+WORDS_PER_EDIT = 10
+LONG_WORDS = 10
+HOT = 32  # lines of a key that may all be compared
 
 
 def _bytes(line: Column) -> Column:
@@ -41,22 +49,24 @@ def _bytes(line: Column) -> Column:
     return F.decode(F.encode(line, "UTF-8"), "ISO-8859-1")
 
 
-def edits_allowed(length: Column, max_edits: int, chars_per_edit: int) -> Column:
-    return F.least(F.floor(length / chars_per_edit), F.lit(max_edits)).cast("int")
+def edits_allowed(length: Column, max_edits: int, symbols_per_edit: int) -> Column:
+    return F.least(F.floor(length / symbols_per_edit), F.lit(max_edits)).cast("int")
 
 
-def segment_keys(b: Column, length: Column, max_edits: int, chars_per_edit: int) -> Column:
-    """Array of (key, indexed): hashes of the line's segments and of its possible segments of shorter lines.
+def segment_keys(
+    part: Callable[[Column, Column], Column], length: Column, least: int, max_edits: int, symbols_per_edit: int
+) -> tuple[list[Column], list[Column]]:
+    """Hashes of the line's segments, and of its possible segments of equally long and shorter lines.
 
-    Segment i of t + 1 starts at p; in a line longer by d it can only start between
-    max(p - i, p + d - (t - i)) and min(p + i, p + d + (t - i)), else the edits left and right of it
-    are too many (i from 0).
+    ``part(at, size)`` is a run of symbols. Segment i of t + 1 starts at p; in a line longer by d it can
+    only start between max(p - i, p + d - (t - i)) and min(p + i, p + d + (t - i)), else the edits left
+    and right of it are too many (i from 0). Shorter lines have at least ``least`` symbols.
     """
-    found = []
+    index, probes = [], []
     for d in range(max_edits + 1):
         short = length - d
         for t in range(max(d, 1), max_edits + 1):
-            applies = (short >= chars_per_edit) & (edits_allowed(short, max_edits, chars_per_edit) == t)
+            applies = (short >= least) & (edits_allowed(short, max_edits, symbols_per_edit) == t)
             base, longer = F.floor(short / (t + 1)).cast("int"), (short % (t + 1)).cast("int")
             for i in range(t + 1):
                 # the last segments are longer by one
@@ -65,25 +75,43 @@ def segment_keys(b: Column, length: Column, max_edits: int, chars_per_edit: int)
                 for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
                     at = start + shift
                     inside = applies & (at >= 1) & (at + size - 1 <= length)
-                    key = F.xxhash64(F.lit(i), short.cast("int"), b.substr(at, size))
-                    entry = F.struct(key.alias("key"), F.lit(d == 0 and shift == 0).alias("indexed"))
-                    found.append(F.when(inside, entry))
-    return F.array_compact(F.array(*found))
-
-
-def letter_counts(b: Column) -> Column:
-    """How often each counted letter stands in the line; one edit changes them by 2 together at most."""
-    return F.array(*[(F.length(b) - F.length(F.replace(b, F.lit(c), F.lit("")))).cast("int") for c in COUNTED])
-
-
-def counts_differ_little(x: Column, y: Column, max_edits: int) -> Column:
-    apart = sum((F.abs(F.get(x, i) - F.get(y, i)) for i in range(len(COUNTED))), F.lit(0))
-    return apart <= 2 * max_edits
-
-
-def _common(a: Column, b: Column, most: Column, steps: int, end: bool) -> Column:
-    """Length of the common beginning (or end) of two strings, at most ``most``, by halving."""
-    side = (lambda s, k: F.right(s, k)) if end else (lambda s, k: F.left(s, k))
+                    key = F.xxhash64(F.lit(least), F.lit(i), short.cast("int"), part(at, size))
+                    (index if d == 0 and shift == 0 else probes).append(F.when(inside, key))
+    return index, probes
+
+
+def with_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, words_per_edit: int) -> DataFrame:
+    """Adds the arrays ``index`` and ``probes`` of a line's keys, by words or by bytes."""
+    rows = lines.withColumn("words", F.transform(F.split("line", " "), lambda w: F.xxhash64(w)))
+    rows = rows.withColumns({"b": F.encode("line", "UTF-8"), "n_words": F.size("words"), "n_bytes": F.octet_length("line")})
+    by_word = segment_keys(lambda at, size: F.slice("words", at, size), F.col("n_words"), LONG_WORDS, max_edits, words_per_edit)
+    # one code less than the word's, so that keys of the two kinds never agree
+    by_byte = segment_keys(lambda at, size: F.substring("b", at, size), F.col("n_bytes"), chars_per_edit, max_edits, chars_per_edit)
+    long = F.col("n_words") >= LONG_WORDS
+    kinds = zip(("index", "probes"), by_word, by_byte, strict=True)
+    found = {name: F.array_compact(F.when(long, F.array(*w)).otherwise(F.array(*b))) for name, w, b in kinds}
+    return rows.withColumns(found).drop("words", "b", "n_words", "n_bytes")
+
+
+def group_marks(line: Column, groups: int) -> Column:
+    """A mark of the symbols of each group: lines within t edits differ in the marks of at most 2 t groups."""
+    long = F.size(F.split(line, " ")) >= LONG_WORDS
+    symbols = F.transform(F.when(long, F.split(line, " ")).otherwise(F.split(line, "")), lambda w: F.xxhash64(w))
+    own = lambda g: F.filter(symbols, lambda h: F.pmod(h, F.lit(groups)) == g)
+    return F.array(*[F.aggregate(own(g), F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(h)) for g in range(groups)])
+
+
+def _marks_alike(x: Column, y: Column, max_edits: int) -> Column:
+    same = sum(((F.get(x, g) == F.get(y, g)).cast("int") for g in range(2 * max_edits + 2)), F.lit(0))
+    return same >= 2
+
+
+def _common(a: Column, b: Column, most: Column, steps: int, end: bool, words: bool) -> Column:
+    """Length of the common beginning (or end) of two strings or arrays, at most ``most``, by halving."""
+    if words:
+        side = (lambda s, k: F.slice(s, F.size(s) - k + 1, k)) if end else (lambda s, k: F.slice(s, F.lit(1), k))
+    else:
+        side = (lambda s, k: F.right(s, k)) if end else (lambda s, k: F.left(s, k))
     return F.aggregate(
         F.array(*[F.lit(1 << k) for k in reversed(range(steps))]),
         F.lit(0),
@@ -91,23 +119,26 @@ def _common(a: Column, b: Column, most: Column, steps: int, end: bool) -> Column
     )
 
 
-def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
-    """Adds ``edits``: the edit distance of the strings x (not longer) and y if at most max_edits, else more.
+def edit_distance(pairs: DataFrame, max_edits: int, words: bool = False) -> DataFrame:
+    """Adds ``edits``: the edit distance of x (not longer) and y if at most max_edits, else more.
 
-    A bit-parallel band of 2 max_edits + 1 rows moves along the diagonal, one column for each byte of
-    y; bit k of a column's vectors stands for row column - max_edits + k. Common ends are cut off before,
-    as far as x keeps more than max_edits bytes.
+    x and y are strings of bytes, or with ``words`` arrays of words. A bit-parallel band of
+    2 max_edits + 1 rows moves along the diagonal, one column for each symbol of y; bit k of a column's
+    vectors stands for row column - max_edits + k. Common ends are cut off before, as far as x keeps
+    more than max_edits symbols.
     """
     width = 2 * max_edits + 1
     full = (1 << width) - 1
-    m = F.length("x")
+    length = F.size if words else F.length
+    m = length("x")
     spare = F.greatest(m - max_edits - 1, F.lit(0))
-    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare, 24, False))
-    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), spare - F.col("head"), 24, True))
-    cut = lambda c: F.substring(c, F.col("head") + 1, F.length(c) - F.col("head") - F.col("tail"))
+    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare, 24, False, words))
+    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), spare - F.col("head"), 24, True, words))
+    piece = F.slice if words else F.substring
+    cut = lambda c: piece(c, F.col("head") + 1, length(c) - F.col("head") - F.col("tail"))
     pairs = pairs.withColumn("p", cut(F.col("x"))).withColumn("q", cut(F.col("y")))
-    pairs = pairs.withColumn("m", F.length("p")).withColumn("n", F.length("q"))
-    pairs = pairs.withColumn("pa", F.split("p", "")).withColumn("qa", F.split("q", ""))
+    pairs = pairs.withColumn("m", length("p")).withColumn("n", length("q"))
+    pairs = pairs.withColumn("pa", F.col("p") if words else F.split("p", "")).withColumn("qa", F.col("q") if words else F.split("q", ""))
 
     def step(s: Column, i: Column) -> Column:
         letter = F.get("qa", i)
@@ -142,11 +173,13 @@ def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
         F.lit((full << (width - max_edits - 1)) & full).alias("vp"), F.lit(0).alias("vn"), F.lit(max_edits).alias("d")
     )
     walked = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), start, step)["d"]
-    # both ends of what is left take an edit each, so of max_edits - 1 equal parts between them one is whole
-    parts = max(1, max_edits - 1)
-    part = F.floor((F.col("m") - 2) / parts).cast("int")
-    whole = [F.col("q").contains(F.col("p").substr(F.lit(2) + part * k, part)) for k in range(parts)]
-    hopeless = F.when(F.col("m") > max_edits + 1, ~functools.reduce(lambda a, b: a | b, whole)).otherwise(F.lit(False))
+    hopeless = F.lit(False)
+    if not words:
+        # both ends of what is left take an edit each, so of max_edits - 1 equal parts between them one is whole
+        parts = max(1, max_edits - 1)
+        part = F.floor((F.col("m") - 2) / parts).cast("int")
+        whole = [F.col("q").contains(F.col("p").substr(F.lit(2) + part * k, part)) for k in range(parts)]
+        hopeless = F.when(F.col("m") > max_edits + 1, ~functools.reduce(lambda a, b: a | b, whole)).otherwise(F.lit(False))
     edits = F.when((F.col("n") - F.col("m") > max_edits) | hopeless, F.lit(max_edits + 1)).otherwise(walked)
     return pairs.withColumn("edits", edits).drop("head", "tail", "p", "q", "m", "n", "pa", "qa")
 
@@ -161,16 +194,45 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, least: int) -> Dat
     return rows.where(F.octet_length("line") >= least).select("of", "no", "line", F.xxhash64("line").alias("lid"))
 
 
-def _near(pairs: DataFrame, texts: DataFrame, max_edits: int, chars_per_edit: int) -> DataFrame:
+def _near(pairs: DataFrame, texts: DataFrame, max_edits: int, chars_per_edit: int, words_per_edit: int) -> DataFrame:
     """The pairs (early, late) of line ids within the allowed edits."""
     of = lambda name, column: texts.select(F.col("lid").alias(name), F.col("line").alias(column))
     rows = pairs.join(of("early", "a"), "early").join(of("late", "b"), "late")
-    first = F.length("a") <= F.length("b")
-    rows = rows.select("early", "late", F.when(first, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("y"))
-    rows = edit_distance(rows, max_edits).select("early", "late", F.length("x").alias("size"), "edits")
+    rows = rows.withColumn("long", F.size(F.split("a", " ")) >= LONG_WORDS)
+    found = None
+    for words in (False, True):
+        a, b = (F.split(c, " ") if words else F.col(c) for c in ("a", "b"))
+        length = F.size if words else F.length
+        first = length(a) <= length(b)
+        kind = rows.where(F.col("long") == words).select(
+            "early", "late", F.when(first, a).otherwise(b).alias("x"), F.when(first, b).otherwise(a).alias("y")
+        )
+        allowed = edits_allowed(length("x"), max_edits, words_per_edit if words else chars_per_edit)
+        kind = edit_distance(kind, max_edits, words).select("early", "late", (F.col("edits") <= allowed).alias("near"))
+        found = kind if found is None else found.unionByName(kind)
     # written before the filter, which would else be pushed below and repeat the walk for every use of a column
-    rows = materialize(rows, "line_edits")
-    return rows.where(F.col("edits") <= edits_allowed(F.col("size"), max_edits, chars_per_edit)).select("early", "late")
+    return materialize(found, "line_edits").where("near").select("early", "late")
+
+
+def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs (early, late) of lines still there with earlier lines of their keys whose marks are alike."""
+    crowd = matched.groupBy("key").count().where(F.col("count") > HOT).select("key")
+    crowd = materialize(crowd, "hot_keys")
+    late, early = still.alias("x"), matched.alias("y")
+    fits = (F.col("x.indexed") | F.col("y.indexed")) & (F.col("y.pos") < F.col("x.pos")) & (F.col("x.lid") != F.col("y.lid"))
+    alike = _marks_alike(F.col("x.marks"), F.col("y.marks"), max_edits)
+    pair = [F.col("y.lid").alias("early"), F.col("x.lid").alias("late")]
+    plain = late.join(crowd, "key", "left_anti").alias("x").join(early, F.col("x.key") == F.col("y.key")).where(fits & alike).select(*pair)
+
+    # lines of a hot key meet only where two groups have equal symbols
+    sets = F.array(*[F.array(*[F.lit(g) for g in c]) for c in combinations(range(2 * max_edits + 2), 2)])
+    shared = lambda rows: (
+        rows.join(crowd, "key", "left_semi").withColumn("chosen", F.explode(sets))
+        .withColumn("mark", F.xxhash64("key", "chosen", F.transform("chosen", lambda g: F.get("marks", g))))
+    )
+    x, y = shared(still).alias("x"), shared(matched).alias("y")
+    hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & (F.col("x.key") == F.col("y.key"))).select(*pair)
+    return plain.unionByName(hot).distinct()
 
 
 def dedup_lines(
@@ -179,28 +241,36 @@ def dedup_lines(
     text_column: str = "text",
     max_edits: int = MAX_EDITS,
     chars_per_edit: int = CHARS_PER_EDIT,
+    words_per_edit: int = WORDS_PER_EDIT,
 ) -> DataFrame:
     """The documents with their kept lines as text, and n_lines and n_dropped."""
     lines = _lines(docs, id_column, text_column, chars_per_edit)
-    b = F.col("b")
-    described = lines.withColumn("b", _bytes(F.col("line"))).withColumn("size", F.length("b"))
-    described = described.select("of", "no", "lid", segment_keys(b, F.col("size"), max_edits, chars_per_edit).alias("keys"), letter_counts(b).alias("letters"))
-    distinct = described.groupBy("lid").agg(F.min(F.struct("of", "no")).alias("pos"), F.first("keys").alias("keys"), F.first("letters").alias("letters"))
+    described = with_keys(lines, max_edits, chars_per_edit, words_per_edit)
+    distinct = described.groupBy("lid").agg(
+        F.min(F.struct("of", "no")).alias("pos"), F.first("index").alias("index"), F.first("probes").alias("probes")
+    )
     distinct = materialize(distinct, "distinct_lines")
 
-    sent = distinct.select("lid", "pos", F.explode("keys").alias("k")).select("lid", F.col("k.key").alias("key"), F.col("k.indexed").alias("indexed"))
-    index = sent.where("indexed").groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("some"))
+    own = distinct.select("lid", F.explode("index").alias("key"), F.lit(True).alias("indexed"))
+    sent = own.unionByName(distinct.select("lid", F.explode("probes").alias("key"), F.lit(False).alias("indexed")))
+    index = own.groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("some"))
     met = sent.join(index, "key").where((F.col("n") > 1) | (F.col("some") != F.col("lid")))
     met = materialize(met, "met_keys")
     alone = met.where(F.col("n") == 1).select("key", F.col("some").alias("lid"), F.lit(True).alias("indexed"))
     matched = met.select("key", "lid", "indexed").unionByName(alone)
     # distinct rows, as a line may meet a key twice
-    matched = matched.groupBy("key", "lid").agg(F.max("indexed").alias("indexed"))
-    matched = materialize(matched.join(distinct.select("lid", "pos", "letters"), "lid"), "matched_keys")
+    matched = materialize(matched.groupBy("key", "lid").agg(F.max("indexed").alias("indexed")), "matched_keys")
 
-    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid", "letters")).alias("e"))
+    wanted = materialize(matched.select("lid").distinct(), "candidate_lines")
+    seen = maybe_in(lines, "lid", wanted, "lid").groupBy("lid").agg(F.first("line").alias("line"))
+    texts = seen.join(wanted, "lid").select("lid", _bytes(F.col("line")).alias("line"))
+    texts = materialize(texts.withColumn("marks", group_marks(F.col("line"), 2 * max_edits + 2)), "candidate_texts")
+    places = distinct.select("lid", "pos").join(texts.select("lid", "marks"), "lid")
+    matched = materialize(matched.join(places, "lid"), "matched_lines")
+
+    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid", "marks")).alias("e"))
     against = matched.join(earliest, "key").where(
-        (F.col("lid") != F.col("e.lid")) & counts_differ_little(F.col("letters"), F.col("e.letters"), max_edits)
+        (F.col("lid") != F.col("e.lid")) & _marks_alike(F.col("marks"), F.col("e.marks"), max_edits)
     )
     swap = F.col("e.pos") < F.col("pos")
     first = against.select(
@@ -208,31 +278,12 @@ def dedup_lines(
         F.when(swap, F.col("lid")).otherwise(F.col("e.lid")).alias("late"),
     ).distinct()
     first = materialize(first, "line_pairs")
-
-    wanted = matched.select("lid").distinct()
-    wanted = materialize(wanted, "candidate_lines")
-    seen = maybe_in(lines, "lid", wanted, "lid").groupBy("lid").agg(F.first("line").alias("line"))
-    texts = materialize(seen.join(wanted, "lid").select("lid", _bytes(F.col("line")).alias("line")), "candidate_texts")
-
-    near = _near(first, texts, max_edits, chars_per_edit)
+    near = _near(first, texts, max_edits, chars_per_edit, words_per_edit)
     gone = near.select(F.col("late").alias("lid")).distinct()
     # lines that are still there against all earlier lines of their keys, as probes and as indexed ones
-    still = matched.join(gone, "lid", "left_anti").join(earliest, "key").where(F.col("lid") != F.col("e.lid")).select("key", "lid", "pos", "indexed", "letters")
-    x, y = still.alias("x"), matched.alias("y")
-    rest = (
-        x.join(y, F.col("x.key") == F.col("y.key"))
-        .where(
-            (F.col("x.indexed") | F.col("y.indexed"))
-            & (F.col("y.pos") < F.col("x.pos"))
-            & (F.col("x.lid") != F.col("y.lid"))
-            & counts_differ_little(F.col("x.letters"), F.col("y.letters"), max_edits)
-        )
-        .select(F.col("y.lid").alias("early"), F.col("x.lid").alias("late"))
-        .distinct()
-        .join(first, ["early", "late"], "left_anti")
-    )
-    rest = materialize(rest, "line_pairs")
-    more = _near(rest, texts, max_edits, chars_per_edit)
+    still = matched.join(gone, "lid", "left_anti").join(earliest, "key").where(F.col("lid") != F.col("e.lid")).drop("e")
+    rest = materialize(_remaining_pairs(still, matched, max_edits).join(first, ["early", "late"], "left_anti"), "line_pairs")
+    more = _near(rest, texts, max_edits, chars_per_edit, words_per_edit)
     gone = gone.unionByName(more.select(F.col("late").alias("lid"))).distinct()
 
     kept = (
@@ -261,18 +312,43 @@ def _short_lines(lines: Column, least: int) -> Column:
     return F.array_compact(F.coalesce(numbered, F.array().cast("array<int>")))
 
 
-ORACLE = r"""
+def _oracle() -> str:
+    """SQL of the same rule: word edits by a band of five cells a column, folded over the words of the longer line."""
+    cell = {}
+    for k in range(1, 6):
+        o = k - 3
+        up = f"s[{k + 1}] + 1" if k < 5 else "99"
+        cell[k] = (
+            f"(CASE WHEN e[1] + {o} = 0 THEN e[1] WHEN e[1] + {o} < 0 OR e[1] + {o} > len(p.x) THEN 99 "
+            f"ELSE least(s[{k}] + CAST(p.x[e[1] + {o}] <> p.y[e[1]] AS INT), {up}) END)"
+        )
+    after = ", ".join("least(" + ", ".join(f"{cell[i]} + {k - i}" for i in range(1, k + 1)) + ")" for k in range(1, 6))
+    return rf"""
 WITH l AS (
   SELECT doc_id, unnest(range(1, len(ls) + 1)) AS no, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
-f AS (SELECT line, min(doc_id * 100000000 + no) AS pos, strlen(line) AS n FROM l WHERE strlen(line) >= 10 GROUP BY line),
-near AS (
+f AS (
+  SELECT line, min(doc_id * 100000000 + no) AS pos, strlen(line) AS n, string_split(line, ' ') AS w, len(string_split(line, ' ')) AS nw
+  FROM l WHERE strlen(line) >= 10 GROUP BY line),
+near_bytes AS (
   SELECT DISTINCT b.line FROM f b, (SELECT unnest([-2, -1, 0, 1, 2]) AS d) s, f a
-  WHERE a.n = b.n + s.d AND a.pos < b.pos
+  WHERE a.n = b.n + s.d AND a.pos < b.pos AND a.nw < 10 AND b.nw < 10
     AND (contains(b.line, a.line[:length(a.line) // 3])  -- two edits leave one third of the line as it is
          OR contains(b.line, a.line[length(a.line) // 3 + 1:2 * length(a.line) // 3])
          OR contains(b.line, a.line[2 * length(a.line) // 3 + 1:]))
     AND levenshtein(a.line, b.line) <= least(2, least(a.n, b.n) // 10)),
+word_pairs AS (
+  SELECT b.line, CASE WHEN a.nw <= b.nw THEN a.w ELSE b.w END AS x, CASE WHEN a.nw <= b.nw THEN b.w ELSE a.w END AS y
+  FROM f b, (SELECT unnest([-2, -1, 0, 1, 2]) AS d) s, f a
+  WHERE a.nw = b.nw + s.d AND a.pos < b.pos AND a.nw >= 10 AND b.nw >= 10
+    AND (contains(' ' || b.line || ' ', ' ' || array_to_string(a.w[1:a.nw // 3], ' ') || ' ')
+         OR contains(' ' || b.line || ' ', ' ' || array_to_string(a.w[a.nw // 3 + 1:2 * (a.nw // 3)], ' ') || ' ')
+         OR contains(' ' || b.line || ' ', ' ' || array_to_string(a.w[2 * (a.nw // 3) + 1:], ' ') || ' '))),
+walked AS (
+  SELECT line, len(x) AS m, len(y) AS n,
+    list_reduce(list_prepend([99, 99, 0, 1, 2], list_transform(range(1, len(y) + 1), lambda j: [CAST(j AS INT)])), lambda s, e: [{after}]) AS band
+  FROM word_pairs p),
+near AS (SELECT line FROM near_bytes UNION SELECT line FROM walked WHERE band[m - n + 3] <= least(2, m // 10)),
 k AS (
   SELECT l.doc_id, l.no, l.line FROM l LEFT JOIN f ON l.line = f.line
   WHERE strlen(l.line) < 10 OR (f.pos = l.doc_id * 100000000 + l.no AND l.line NOT IN (SELECT line FROM near))),
@@ -282,3 +358,6 @@ SELECT d.doc_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.n,
        md5(coalesce(r.t, '')) AS kept_md5
 FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN r USING (doc_id)
 """
+
+
+ORACLE = _oracle()

@@ -222,6 +222,53 @@ def test_banded_edit_distance(spark):
     assert all(min(r.edits, 3) == min(edits(r.x, r.y), 3) for r in found)
 
 
+def near_lines(x, y):
+    """By words if both have ten or more, by bytes if both have fewer; one edit for every ten, two at most."""
+    if min(len(x), len(y)) < 10 or x == y:
+        return x == y and len(x) >= 10
+    a, b = x.split(b" "), y.split(b" ")
+    if (len(a) >= 10) != (len(b) >= 10):
+        return False
+    a, b = (a, b) if len(a) >= 10 else (x, y)
+    return abs(len(a) - len(b)) <= 2 and edits(a, b) <= min(2, min(len(a), len(b)) // 10)
+
+
+def test_banded_edit_distance_of_words(spark):
+    rng, pairs = random.Random(6), []
+    for _ in range(300):
+        a = [rng.choice(WORDS) for _ in range(rng.randint(3, 25))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(b) + 1)
+            b[k : k + rng.randint(0, 1)] = rng.choice([[], ["new"], [rng.choice(WORDS)]])
+        x, y = sorted((a, b), key=len)
+        if len(x) > 2:
+            pairs.append((x, y))
+    found = lines.edit_distance(spark.createDataFrame(pairs, "x array<string>, y array<string>"), 2, words=True).collect()
+    assert all(min(r.edits, 3) == min(edits(r.x, r.y), 3) for r in found)
+
+
+@pytest.mark.parametrize("hot", [lines.HOT, 3])
+def test_large_families_of_lines(spark, monkeypatch, hot):
+    """Many lines share a passage and are far apart, others are a word or two apart; hot keys or not."""
+    monkeypatch.setattr(lines, "HOT", hot)
+    rng = random.Random(12)
+    passage, texts = sentence(rng, 40), []
+    for _ in range(60):
+        words = passage.split()
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(40)] = "w" + str(rng.randint(0, 999))
+        texts.append(" ".join(words))
+        texts.append(passage + " " + " ".join(str(rng.randint(0, 10**6)) for _ in range(12)))
+    texts.append("The quick brown fox jumps over the lazy dog and runs away from here to the far hills.")
+    texts.append(texts[-1].replace("fox", "cat"))
+    texts += ["short line number " + rng.choice("abcd") * rng.randint(1, 9) for _ in range(40)]
+    found = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+    gone = {r.doc_id for r in found.collect() if r.n_dropped}
+    expected = {i for i, y in enumerate(texts) if any(near_lines(x.encode(), y.encode()) for x in texts[:i])}
+    assert gone == expected and 121 in gone and 40 < len(gone) < 130
+
+
 def test_line_dedup(docs, rows, none):
     found = lines.dedup_lines(docs)
     assert set(docs.columns) <= set(found.columns)
@@ -231,8 +278,7 @@ def test_line_dedup(docs, rows, none):
     gone = set()
     for b, (i, k, y) in enumerate(every):
         for _, _, x in every[:b]:
-            short = min(len(x), len(y))
-            if len(y) >= 10 and short >= 10 and abs(len(x) - len(y)) <= 2 and (x == y or edits(x, y) <= min(2, short // 10)):
+            if near_lines(x, y):
                 gone.add((i, k))
                 break
     expected = Counter()
