@@ -9,7 +9,7 @@ epoch the elite of an island migrates to the next island of its cell. Pieces in
 of all cells meet in new, fewer cells and evolve once more, so the waste of a cell does not add up.
 
 Defined results: a null or empty text is the single id 0; a text longer than ``capacity`` is cut
-into full pieces with the rest in the last piece; repeated rows are packed each for itself; an
+into full pieces with the rest in the first piece; repeated rows are packed each for itself; an
 empty table gives no rows; other columns of the input are not read.
 """
 
@@ -52,8 +52,10 @@ def tokenize(docs: DataFrame, path: str, capacity: int, id_column: str, text_col
                 parts: list[np.ndarray] = []
                 for i in range(len(block)):
                     own = np.append(ids[starts[i] : starts[i + 1]], 0).astype("<u4")
-                    for piece, at in enumerate(range(0, len(own), capacity)):
-                        part = own[at : at + capacity]
+                    first = (len(own) - 1) % capacity + 1  # the first piece may be shorter, all others are full
+                    cuts = [0, *range(first, len(own), capacity)]
+                    for piece, (at, to) in enumerate(zip(cuts, [*cuts[1:], len(own)], strict=True)):
+                        part = own[at:to]
                         rows.append((block.first + i, piece, at, len(part), zlib.crc32(part.tobytes())))
                         if keep_ids:
                             parts.append(part)

@@ -67,10 +67,12 @@ def test_packing(spark, docs, rows, none):
     expected = Counter()
     for i, text, *_ in rows:
         ids = [*whole.encode(text or "", add_special_tokens=False).ids, 0]
-        for piece, at in enumerate(range(0, len(ids), 64)):
-            part = ids[at : at + 64]
+        parts = [ids[max(0, to - 64) : to] for to in range(len(ids), 0, -64)][::-1]  # full ones from the end
+        at = 0
+        for piece, part in enumerate(parts):
             crc = zlib.crc32(b"".join(x.to_bytes(4, "little") for x in part))
             expected[(i, piece, at, len(part), crc, tuple(part))] += 1
+            at += len(part)
     got = Counter(
         (None if math.isnan(r.doc_id) else int(r.doc_id), r.piece, r.start, r.length, r.ids_crc32, tuple(r.ids))
         for r in found.itertuples()
