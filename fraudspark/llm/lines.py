@@ -13,7 +13,7 @@ segment of an equally long or somewhat shorter line (the probes), keyed by that
 segment's number. Of a key's lines only the earliest is compared with all first; lines that fall to it
 need no other. What remains is compared with the earlier lines of its keys. So that many lines that
 share a segment, but are far apart, do not all meet, symbols are dealt into
-2 max_edits + 2 groups: an edit changes two groups at most, so near lines have two groups of equal symbols. Within keys
+2 max_edits + 1 groups: an edit changes two groups at most, so near lines have one group of equal symbols. Within keys
 of more than ``HOT`` lines that is part of the join's key. Candidates are verified by the banded
 bit-parallel edit distance on what is left between their common beginning and end.
 
@@ -27,10 +27,6 @@ lines becomes empty; input columns with the names of the report are replaced; al
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +38,7 @@ CHARS_PER_EDIT = 10
 WORDS_PER_EDIT = 10
 LONG_WORDS = 10
 HOT = 32  # lines of a key that may all be compared
+NUMBERS = 1 << 40  # of symbols; sums of eight million of them fit into 64 bits
 
 
 def _bytes(line: Column) -> Column:
@@ -49,24 +46,33 @@ def _bytes(line: Column) -> Column:
     return F.decode(F.encode(line, "UTF-8"), "ISO-8859-1")
 
 
-def edits_allowed(length: Column, max_edits: int, symbols_per_edit: int) -> Column:
+def is_long(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= LONG_WORDS - 1
+
+
+def symbols(line: Column) -> Column:
+    """The words of a long line, the bytes of another; ``line`` has a character for each byte."""
+    return F.when(is_long(line), F.split(line, " ")).otherwise(F.split(line, ""))
+
+
+def edits_allowed(length: Column, max_edits: int, symbols_per_edit: Column) -> Column:
     return F.least(F.floor(length / symbols_per_edit), F.lit(max_edits)).cast("int")
 
 
-def segment_keys(
-    part: Callable[[Column, Column], Column], length: Column, least: int, max_edits: int, symbols_per_edit: int
-) -> tuple[list[Column], list[Column]]:
-    """Hashes of the line's segments, and of its possible segments of equally long and shorter lines.
+def segment_keys(named: Column, length: Column, kind: Column, least: Column, max_edits: int, per_edit: Column) -> tuple[list[Column], list[Column]]:
+    """Keys of the line's segments, and of its possible segments of equally long and shorter lines.
 
-    ``part(at, size)`` is a run of symbols. Segment i of t + 1 starts at p; in a line longer by d it can
-    only start between max(p - i, p + d - (t - i)) and min(p + i, p + d + (t - i)), else the edits left
-    and right of it are too many (i from 0). Shorter lines have at least ``least`` symbols.
+    ``named`` are the numbers of the symbols. A key names the sum of a segment's numbers: equal segments
+    have equal keys, and verification tells those apart that only hold the same symbols. Segment i of
+    t + 1 starts at p; in a line longer by d it can only start between max(p - i, p + d - (t - i)) and
+    min(p + i, p + d + (t - i)), else the edits left and right of it are too many (i from 0). Shorter
+    lines have at least ``least`` symbols.
     """
     index, probes = [], []
     for d in range(max_edits + 1):
         short = length - d
         for t in range(max(d, 1), max_edits + 1):
-            applies = (short >= least) & (edits_allowed(short, max_edits, symbols_per_edit) == t)
+            applies = (short >= least) & (edits_allowed(short, max_edits, per_edit) == t)
             base, longer = F.floor(short / (t + 1)).cast("int"), (short % (t + 1)).cast("int")
             for i in range(t + 1):
                 # the last segments are longer by one
@@ -75,43 +81,38 @@ def segment_keys(
                 for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
                     at = start + shift
                     inside = applies & (at >= 1) & (at + size - 1 <= length)
-                    key = F.xxhash64(F.lit(least), F.lit(i), short.cast("int"), part(at, size))
+                    total = F.aggregate(F.slice(named, at, size), F.lit(0).cast("long"), lambda x, h: x + h)
+                    key = F.xxhash64(kind, F.lit(i), short.cast("int"), total)
                     (index if d == 0 and shift == 0 else probes).append(F.when(inside, key))
     return index, probes
 
 
 def with_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, words_per_edit: int) -> DataFrame:
     """Adds the arrays ``index`` and ``probes`` of a line's keys, by words or by bytes."""
-    rows = lines.withColumn("words", F.transform(F.split("line", " "), lambda w: F.xxhash64(w)))
-    rows = rows.withColumns({"b": F.encode("line", "UTF-8"), "n_words": F.size("words"), "n_bytes": F.octet_length("line")})
-    by_word = segment_keys(lambda at, size: F.slice("words", at, size), F.col("n_words"), LONG_WORDS, max_edits, words_per_edit)
-    # one code less than the word's, so that keys of the two kinds never agree
-    by_byte = segment_keys(lambda at, size: F.substring("b", at, size), F.col("n_bytes"), chars_per_edit, max_edits, chars_per_edit)
-    long = F.col("n_words") >= LONG_WORDS
-    kinds = zip(("index", "probes"), by_word, by_byte, strict=True)
-    found = {name: F.array_compact(F.when(long, F.array(*w)).otherwise(F.array(*b))) for name, w, b in kinds}
-    return rows.withColumns(found).drop("words", "b", "n_words", "n_bytes")
+    numbered = F.transform(symbols(_bytes(F.col("line"))), lambda w: F.xxhash64(w).bitwiseAND(F.lit(NUMBERS - 1)))
+    rows = lines.withColumns({"named": numbered, "long": is_long(F.col("line"))}).withColumn("length", F.size("named"))
+    by = lambda words, chars: F.when(F.col("long"), words).otherwise(chars)
+    per_edit, least = by(words_per_edit, chars_per_edit), by(LONG_WORDS, chars_per_edit)
+    index, probes = segment_keys(F.col("named"), F.col("length"), F.col("long"), least, max_edits, per_edit)
+    rows = rows.withColumns({"index": F.array_compact(F.array(*index)), "probes": F.array_compact(F.array(*probes))})
+    return rows.drop("named", "long", "length")
 
 
 def group_marks(line: Column, groups: int) -> Column:
     """A mark of the symbols of each group: lines within t edits differ in the marks of at most 2 t groups."""
-    long = F.size(F.split(line, " ")) >= LONG_WORDS
-    symbols = F.transform(F.when(long, F.split(line, " ")).otherwise(F.split(line, "")), lambda w: F.xxhash64(w))
-    own = lambda g: F.filter(symbols, lambda h: F.pmod(h, F.lit(groups)) == g)
+    hashes = F.transform(symbols(line), lambda w: F.xxhash64(w))
+    own = lambda g: F.filter(hashes, lambda h: F.pmod(h, F.lit(groups)) == g)
     return F.array(*[F.aggregate(own(g), F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(h)) for g in range(groups)])
 
 
 def _marks_alike(x: Column, y: Column, max_edits: int) -> Column:
-    same = sum(((F.get(x, g) == F.get(y, g)).cast("int") for g in range(2 * max_edits + 2)), F.lit(0))
-    return same >= 2
+    same = sum(((F.get(x, g) == F.get(y, g)).cast("int") for g in range(2 * max_edits + 1)), F.lit(0))
+    return same >= 1
 
 
-def _common(a: Column, b: Column, most: Column, steps: int, end: bool, words: bool) -> Column:
-    """Length of the common beginning (or end) of two strings or arrays, at most ``most``, by halving."""
-    if words:
-        side = (lambda s, k: F.slice(s, F.size(s) - k + 1, k)) if end else (lambda s, k: F.slice(s, F.lit(1), k))
-    else:
-        side = (lambda s, k: F.right(s, k)) if end else (lambda s, k: F.left(s, k))
+def _common(a: Column, b: Column, most: Column, steps: int, end: bool) -> Column:
+    """Length of the common beginning (or end) of two arrays, at most ``most``, by halving."""
+    side = (lambda s, k: F.slice(s, F.size(s) - k + 1, k)) if end else (lambda s, k: F.slice(s, F.lit(1), k))
     return F.aggregate(
         F.array(*[F.lit(1 << k) for k in reversed(range(steps))]),
         F.lit(0),
@@ -119,26 +120,21 @@ def _common(a: Column, b: Column, most: Column, steps: int, end: bool, words: bo
     )
 
 
-def edit_distance(pairs: DataFrame, max_edits: int, words: bool = False) -> DataFrame:
-    """Adds ``edits``: the edit distance of x (not longer) and y if at most max_edits, else more.
+def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
+    """Adds ``edits``: the edit distance of the arrays x (not longer) and y if at most max_edits, else more.
 
-    x and y are strings of bytes, or with ``words`` arrays of words. A bit-parallel band of
-    2 max_edits + 1 rows moves along the diagonal, one column for each symbol of y; bit k of a column's
-    vectors stands for row column - max_edits + k. Common ends are cut off before, as far as x keeps
-    more than max_edits symbols.
+    A bit-parallel band of 2 max_edits + 1 rows moves along the diagonal, one column for each symbol of
+    y; bit k of a column's vectors stands for row column - max_edits + k. Common ends are cut off before,
+    as far as x keeps more than max_edits symbols.
     """
     width = 2 * max_edits + 1
     full = (1 << width) - 1
-    length = F.size if words else F.length
-    m = length("x")
-    spare = F.greatest(m - max_edits - 1, F.lit(0))
-    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare, 24, False, words))
-    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), spare - F.col("head"), 24, True, words))
-    piece = F.slice if words else F.substring
-    cut = lambda c: piece(c, F.col("head") + 1, length(c) - F.col("head") - F.col("tail"))
-    pairs = pairs.withColumn("p", cut(F.col("x"))).withColumn("q", cut(F.col("y")))
-    pairs = pairs.withColumn("m", length("p")).withColumn("n", length("q"))
-    pairs = pairs.withColumn("pa", F.col("p") if words else F.split("p", "")).withColumn("qa", F.col("q") if words else F.split("q", ""))
+    spare = F.greatest(F.size("x") - max_edits - 1, F.lit(0))
+    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare, 24, False))
+    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), spare - F.col("head"), 24, True))
+    cut = lambda c: F.slice(c, F.col("head") + 1, F.size(c) - F.col("head") - F.col("tail"))
+    pairs = pairs.withColumn("pa", cut(F.col("x"))).withColumn("qa", cut(F.col("y")))
+    pairs = pairs.withColumn("m", F.size("pa")).withColumn("n", F.size("qa"))
 
     def step(s: Column, i: Column) -> Column:
         letter = F.get("qa", i)
@@ -173,15 +169,8 @@ def edit_distance(pairs: DataFrame, max_edits: int, words: bool = False) -> Data
         F.lit((full << (width - max_edits - 1)) & full).alias("vp"), F.lit(0).alias("vn"), F.lit(max_edits).alias("d")
     )
     walked = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), start, step)["d"]
-    hopeless = F.lit(False)
-    if not words:
-        # both ends of what is left take an edit each, so of max_edits - 1 equal parts between them one is whole
-        parts = max(1, max_edits - 1)
-        part = F.floor((F.col("m") - 2) / parts).cast("int")
-        whole = [F.col("q").contains(F.col("p").substr(F.lit(2) + part * k, part)) for k in range(parts)]
-        hopeless = F.when(F.col("m") > max_edits + 1, ~functools.reduce(lambda a, b: a | b, whole)).otherwise(F.lit(False))
-    edits = F.when((F.col("n") - F.col("m") > max_edits) | hopeless, F.lit(max_edits + 1)).otherwise(walked)
-    return pairs.withColumn("edits", edits).drop("head", "tail", "p", "q", "m", "n", "pa", "qa")
+    edits = F.when(F.col("n") - F.col("m") > max_edits, F.lit(max_edits + 1)).otherwise(walked)
+    return pairs.withColumn("edits", edits).drop("head", "tail", "m", "n", "pa", "qa")
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str, least: int) -> DataFrame:
@@ -198,20 +187,14 @@ def _near(pairs: DataFrame, texts: DataFrame, max_edits: int, chars_per_edit: in
     """The pairs (early, late) of line ids within the allowed edits."""
     of = lambda name, column: texts.select(F.col("lid").alias(name), F.col("line").alias(column))
     rows = pairs.join(of("early", "a"), "early").join(of("late", "b"), "late")
-    rows = rows.withColumn("long", F.size(F.split("a", " ")) >= LONG_WORDS)
-    found = None
-    for words in (False, True):
-        a, b = (F.split(c, " ") if words else F.col(c) for c in ("a", "b"))
-        length = F.size if words else F.length
-        first = length(a) <= length(b)
-        kind = rows.where(F.col("long") == words).select(
-            "early", "late", F.when(first, a).otherwise(b).alias("x"), F.when(first, b).otherwise(a).alias("y")
-        )
-        allowed = edits_allowed(length("x"), max_edits, words_per_edit if words else chars_per_edit)
-        kind = edit_distance(kind, max_edits, words).select("early", "late", (F.col("edits") <= allowed).alias("near"))
-        found = kind if found is None else found.unionByName(kind)
+    rows = rows.select("early", "late", is_long(F.col("a")).alias("long"), symbols(F.col("a")).alias("a"), symbols(F.col("b")).alias("b"))
+    first = F.size("a") <= F.size("b")
+    rows = rows.select("early", "late", "long", F.when(first, F.col("a")).otherwise(F.col("b")).alias("x"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("y"))
+    rows = edit_distance(rows, max_edits).select("early", "late", "long", F.size("x").alias("size"), "edits")
     # written before the filter, which would else be pushed below and repeat the walk for every use of a column
-    return materialize(found, "line_edits").where("near").select("early", "late")
+    rows = materialize(rows, "line_edits")
+    per_edit = F.when(F.col("long"), words_per_edit).otherwise(chars_per_edit)
+    return rows.where(F.col("edits") <= edits_allowed(F.col("size"), max_edits, per_edit)).select("early", "late")
 
 
 def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> DataFrame:
@@ -224,11 +207,10 @@ def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> Da
     pair = [F.col("y.lid").alias("early"), F.col("x.lid").alias("late")]
     plain = late.join(crowd, "key", "left_anti").alias("x").join(early, F.col("x.key") == F.col("y.key")).where(fits & alike).select(*pair)
 
-    # lines of a hot key meet only where two groups have equal symbols
-    sets = F.array(*[F.array(*[F.lit(g) for g in c]) for c in combinations(range(2 * max_edits + 2), 2)])
+    # lines of a hot key meet only where a group has equal symbols
     shared = lambda rows: (
-        rows.join(crowd, "key", "left_semi").withColumn("chosen", F.explode(sets))
-        .withColumn("mark", F.xxhash64("key", "chosen", F.transform("chosen", lambda g: F.get("marks", g))))
+        rows.join(crowd, "key", "left_semi").select("*", F.posexplode("marks").alias("group", "one"))
+        .withColumn("mark", F.xxhash64("key", "group", "one")).drop("group", "one")
     )
     x, y = shared(still).alias("x"), shared(matched).alias("y")
     hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & (F.col("x.key") == F.col("y.key"))).select(*pair)
@@ -264,7 +246,7 @@ def dedup_lines(
     wanted = materialize(matched.select("lid").distinct(), "candidate_lines")
     seen = maybe_in(lines, "lid", wanted, "lid").groupBy("lid").agg(F.first("line").alias("line"))
     texts = seen.join(wanted, "lid").select("lid", _bytes(F.col("line")).alias("line"))
-    texts = materialize(texts.withColumn("marks", group_marks(F.col("line"), 2 * max_edits + 2)), "candidate_texts")
+    texts = materialize(texts.withColumn("marks", group_marks(F.col("line"), 2 * max_edits + 1)), "candidate_texts")
     places = distinct.select("lid", "pos").join(texts.select("lid", "marks"), "lid")
     matched = materialize(matched.join(places, "lid"), "matched_lines")
 

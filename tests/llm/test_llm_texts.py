@@ -220,7 +220,8 @@ def test_banded_edit_distance(spark):
         x, y = sorted((a, "".join(b)), key=len)
         if len(x) > 2:
             pairs.append((x, y))
-    found = lines.edit_distance(spark.createDataFrame(pairs, "x string, y string"), 2).collect()
+    pairs = [(list(x), list(y)) for x, y in pairs]
+    found = lines.edit_distance(spark.createDataFrame(pairs, "x array<string>, y array<string>"), 2).collect()
     assert all(min(r.edits, 3) == min(edits(r.x, r.y), 3) for r in found)
 
 
@@ -246,7 +247,7 @@ def test_banded_edit_distance_of_words(spark):
         x, y = sorted((a, b), key=len)
         if len(x) > 2:
             pairs.append((x, y))
-    found = lines.edit_distance(spark.createDataFrame(pairs, "x array<string>, y array<string>"), 2, words=True).collect()
+    found = lines.edit_distance(spark.createDataFrame(pairs, "x array<string>, y array<string>"), 2).collect()
     assert all(min(r.edits, 3) == min(edits(r.x, r.y), 3) for r in found)
 
 
