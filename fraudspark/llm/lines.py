@@ -59,43 +59,70 @@ def edits_allowed(length: Column, max_edits: int, symbols_per_edit: Column) -> C
     return F.least(F.floor(length / symbols_per_edit), F.lit(max_edits)).cast("int")
 
 
-def segment_keys(named: Column, length: Column, kind: Column, least: Column, max_edits: int, per_edit: Column) -> tuple[list[Column], list[Column]]:
-    """Keys of the line's segments, and of its possible segments of equally long and shorter lines.
-
-    ``named`` are the numbers of the symbols. A key names the sum of a segment's numbers: equal segments
-    have equal keys, and verification tells those apart that only hold the same symbols. Segment i of
-    t + 1 starts at p; in a line longer by d it can only start between max(p - i, p + d - (t - i)) and
-    min(p + i, p + d + (t - i)), else the edits left and right of it are too many (i from 0). Shorter
-    lines have at least ``least`` symbols.
+def _sums_near(cut: Column, total: Column, reach: int) -> Column:
+    """Sums of all numbers before each place from cut - reach to cut + reach, from the sum at the cut."""
+    number = lambda at: F.coalesce(F.get("named", at), F.lit(0).cast("long"))
+    sums = {0: total}
+    for o in range(1, reach + 1):
+        sums[o] = sums[o - 1] + number(cut + o - 1)
+        sums[-o] = sums[1 - o] - number(cut - o)
+    return F.array(*[sums[o] for o in range(-reach, reach + 1)])
+
+
+def segment_keys(rows: DataFrame, max_edits: int, reach: int) -> DataFrame:
+    """Adds ``index``, keys of the line's segments, and ``probes``, keys of its possible segments of lines as long or shorter.
+
+    A key names the sum of a segment's numbers: equal segments have equal keys, and verification tells
+    those apart that only hold the same symbols. Segment i of t + 1 starts at p; in a line longer by d
+    it can only start between max(p - i, p + d - (t - i)) and min(p + i, p + d + (t - i)), else the edits
+    left and right of it are too many (i from 0). All these places lie near the line's own cuts, so the
+    sums there come from one sum a cut. ``rows`` has ``named``, ``n``, and the edits ``t<d>`` of lines shorter by d.
     """
+    n, first = F.col("n"), lambda t, i: F.expr(f"cast({i} * n div {t + 1} as int)")
+    plus = lambda x, h: x + h
+    fields = []
+    for t in range(1, max_edits + 1):
+        for i in range(1, t + 1):
+            whole = F.aggregate(F.slice("named", F.lit(1), first(t, i)), F.lit(0).cast("long"), plus)
+            fields.append(F.when(F.exists(F.array(*[F.col(f"t{d}") == t for d in range(max_edits + 1)]), lambda x: x), whole).alias(f"s{t}_{i}"))
+    fields.append(F.aggregate("named", F.lit(0).cast("long"), plus).alias("s_all"))
+    # a generator, so that the sums are taken once
+    rows = rows.select("*", F.inline(F.array(F.struct(*fields))))
+    near = [_sums_near(first(t, i), F.col(f"s{t}_{i}"), reach).alias(f"near{t}_{i}") for t in range(1, max_edits + 1) for i in range(1, t + 1)]
+    rows = rows.select("*", F.inline(F.array(F.struct(*near))))
     index, probes = [], []
     for d in range(max_edits + 1):
-        short = length - d
         for t in range(max(d, 1), max_edits + 1):
-            applies = (short >= least) & (edits_allowed(short, max_edits, per_edit) == t)
-            base, longer = F.floor(short / (t + 1)).cast("int"), (short % (t + 1)).cast("int")
+            edge = [F.expr(f"cast({i} * (n - {d}) div {t + 1} as int)") for i in range(t + 2)]
+
+            def before(i: int, shift: int, t=t, edge=edge) -> Column:
+                """The sum before the shifted edge i; the first is the line's begin, the last its end."""
+                if i == 0:
+                    return F.lit(0).cast("long")
+                return F.col("s_all") if i == t + 1 else F.get(f"near{t}_{i}", edge[i] + shift - first(t, i) + reach)
+
             for i in range(t + 1):
-                # the last segments are longer by one
-                size = base + F.when(F.lit(i) >= t + 1 - longer, 1).otherwise(0)
-                start = base * i + F.greatest(F.lit(i) - (t + 1 - longer), F.lit(0)) + 1
                 for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
-                    at = start + shift
-                    inside = applies & (at >= 1) & (at + size - 1 <= length)
-                    total = F.aggregate(F.slice(named, at, size), F.lit(0).cast("long"), lambda x, h: x + h)
-                    key = F.xxhash64(kind, F.lit(i), short.cast("int"), total)
-                    (index if d == 0 and shift == 0 else probes).append(F.when(inside, key))
-    return index, probes
+                    key = F.xxhash64("long", F.lit(i), n - d, before(i + 1, shift) - before(i, shift))
+                    (index if d == 0 and shift == 0 else probes).append(F.when(F.col(f"t{d}") == t, key))
+    return rows.withColumns({"index": F.array_compact(F.array(*index)), "probes": F.array_compact(F.array(*probes))})
 
 
 def with_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, words_per_edit: int) -> DataFrame:
-    """Adds the arrays ``index`` and ``probes`` of a line's keys, by words or by bytes."""
-    numbered = F.transform(symbols(_bytes(F.col("line"))), lambda w: F.xxhash64(w).bitwiseAND(F.lit(NUMBERS - 1)))
-    rows = lines.withColumns({"named": numbered, "long": is_long(F.col("line"))}).withColumn("length", F.size("named"))
+    """The lines (of, no, lid) with the arrays ``index`` and ``probes`` of their keys, by words or by bytes."""
+    line = F.col("line")
+    parts = F.when(is_long(line), F.split(line, " ")).otherwise(F.split(_bytes(line), ""))
+    named = F.transform(parts, lambda w: F.xxhash64(w).bitwiseAND(F.lit(NUMBERS - 1)))
+    facts = F.array(F.struct(named.alias("named"), is_long(line).alias("long")))
+    rows = lines.select("of", "no", "lid", F.inline(facts)).withColumn("n", F.size("named"))
     by = lambda words, chars: F.when(F.col("long"), words).otherwise(chars)
-    per_edit, least = by(words_per_edit, chars_per_edit), by(LONG_WORDS, chars_per_edit)
-    index, probes = segment_keys(F.col("named"), F.col("length"), F.col("long"), least, max_edits, per_edit)
-    rows = rows.withColumns({"index": F.array_compact(F.array(*index)), "probes": F.array_compact(F.array(*probes))})
-    return rows.drop("named", "long", "length")
+    short = {d: F.col("n") - d for d in range(max_edits + 1)}
+    allowed = {
+        f"t{d}": F.when(x >= by(LONG_WORDS, chars_per_edit), edits_allowed(x, max_edits, by(words_per_edit, chars_per_edit))).otherwise(0)
+        for d, x in short.items()
+    }
+    # edges move by less than max_edits with the length, and by at most max_edits with the shift
+    return segment_keys(rows.withColumns(allowed), max_edits, 2 * max_edits).select("of", "no", "lid", "index", "probes")
 
 
 def group_marks(line: Column, groups: int) -> Column:
