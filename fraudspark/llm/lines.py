@@ -59,14 +59,10 @@ def edits_allowed(length: Column, max_edits: int, symbols_per_edit: Column) -> C
     return F.least(F.floor(length / symbols_per_edit), F.lit(max_edits)).cast("int")
 
 
-def _sums_near(cut: Column, total: Column, reach: int) -> Column:
-    """Sums of all numbers before each place from cut - reach to cut + reach, from the sum at the cut."""
-    number = lambda at: F.coalesce(F.get("named", at), F.lit(0).cast("long"))
-    sums = {0: total}
-    for o in range(1, reach + 1):
-        sums[o] = sums[o - 1] + number(cut + o - 1)
-        sums[-o] = sums[1 - o] - number(cut - o)
-    return F.array(*[sums[o] for o in range(-reach, reach + 1)])
+def _running_sums(start: Column, count: int, total: Column) -> Column:
+    """The sums of all numbers before place ``start`` and the next ``count`` places, from the first of them."""
+    onward = lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x)
+    return F.aggregate(F.slice("named", start + 1, F.lit(count)), F.array(total), onward)
 
 
 def segment_keys(rows: DataFrame, max_edits: int, reach: int) -> DataFrame:
@@ -78,18 +74,32 @@ def segment_keys(rows: DataFrame, max_edits: int, reach: int) -> DataFrame:
     left and right of it are too many (i from 0). All these places lie near the line's own cuts, so the
     sums there come from one sum a cut. ``rows`` has ``named``, ``n``, and the edits ``t<d>`` of lines shorter by d.
     """
-    n, first = F.col("n"), lambda t, i: F.expr(f"cast({i} * n div {t + 1} as int)")
-    plus = lambda x, h: x + h
+    n = F.col("n")
+
+    def low(t: int, i: int) -> Column:
+        """The first place near edge i of t + 1 segments."""
+        if i in (0, t + 1):
+            return n if i else F.lit(0)
+        return F.greatest(F.expr(f"cast({i} * n div {t + 1} as int)") - reach, F.lit(0))
+
     fields = []
     for t in range(1, max_edits + 1):
-        for i in range(1, t + 1):
-            whole = F.aggregate(F.slice("named", F.lit(1), first(t, i)), F.lit(0).cast("long"), plus)
-            fields.append(F.when(F.exists(F.array(*[F.col(f"t{d}") == t for d in range(max_edits + 1)]), lambda x: x), whole).alias(f"s{t}_{i}"))
-    fields.append(F.aggregate("named", F.lit(0).cast("long"), plus).alias("s_all"))
+        used = F.lit(False)
+        for d in range(max_edits + 1):
+            used = used | (F.col(f"t{d}") == t)
+        for i in range(t + 1):
+            part = F.slice("named", low(t, i) + 1, low(t, i + 1) - low(t, i))
+            fields.append(F.when(used, F.aggregate(part, F.lit(0).cast("long"), lambda x, h: x + h)).alias(f"part{t}_{i}"))
     # a generator, so that the sums are taken once
     rows = rows.select("*", F.inline(F.array(F.struct(*fields))))
-    near = [_sums_near(first(t, i), F.col(f"s{t}_{i}"), reach).alias(f"near{t}_{i}") for t in range(1, max_edits + 1) for i in range(1, t + 1)]
-    rows = rows.select("*", F.inline(F.array(F.struct(*near))))
+    upto = lambda t, i: sum((F.col(f"part{t}_{j}") for j in range(i)), F.lit(0).cast("long"))
+    near = [
+        F.when(F.col(f"part{t}_0").isNotNull(), _running_sums(low(t, i), 2 * reach, upto(t, i))).alias(f"near{t}_{i}")
+        for t in range(1, max_edits + 1)
+        for i in range(1, t + 1)
+    ]
+    whole = F.coalesce(*[upto(t, t + 1) for t in range(1, max_edits + 1)]).alias("s_all")
+    rows = rows.select("*", F.inline(F.array(F.struct(*near, whole))))
     index, probes = [], []
     for d in range(max_edits + 1):
         for t in range(max(d, 1), max_edits + 1):
@@ -99,7 +109,7 @@ def segment_keys(rows: DataFrame, max_edits: int, reach: int) -> DataFrame:
                 """The sum before the shifted edge i; the first is the line's begin, the last its end."""
                 if i == 0:
                     return F.lit(0).cast("long")
-                return F.col("s_all") if i == t + 1 else F.get(f"near{t}_{i}", edge[i] + shift - first(t, i) + reach)
+                return F.col("s_all") if i == t + 1 else F.get(f"near{t}_{i}", edge[i] + shift - low(t, i))
 
             for i in range(t + 1):
                 for shift in range(max(-i, d - (t - i)), min(i, d + (t - i)) + 1):
@@ -110,11 +120,12 @@ def segment_keys(rows: DataFrame, max_edits: int, reach: int) -> DataFrame:
 
 def with_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, words_per_edit: int) -> DataFrame:
     """The lines (of, no, lid) with the arrays ``index`` and ``probes`` of their keys, by words or by bytes."""
-    line = F.col("line")
-    parts = F.when(is_long(line), F.split(line, " ")).otherwise(F.split(_bytes(line), ""))
+    split = lines.select("of", "no", "lid", "line", F.inline(F.array(F.struct(F.split("line", " ").alias("words")))))
+    long = F.size("words") >= LONG_WORDS
+    parts = F.when(long, F.col("words")).otherwise(F.split(_bytes(F.col("line")), ""))
     named = F.transform(parts, lambda w: F.xxhash64(w).bitwiseAND(F.lit(NUMBERS - 1)))
-    facts = F.array(F.struct(named.alias("named"), is_long(line).alias("long")))
-    rows = lines.select("of", "no", "lid", F.inline(facts)).withColumn("n", F.size("named"))
+    facts = F.array(F.struct(named.alias("named"), long.alias("long")))
+    rows = split.select("of", "no", "lid", F.inline(facts)).withColumn("n", F.size("named"))
     by = lambda words, chars: F.when(F.col("long"), words).otherwise(chars)
     short = {d: F.col("n") - d for d in range(max_edits + 1)}
     allowed = {
@@ -237,10 +248,13 @@ def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> Da
     # lines of a hot key meet only where a group has equal symbols
     shared = lambda rows: (
         rows.join(crowd, "key", "left_semi").select("*", F.posexplode("marks").alias("group", "one"))
-        .withColumn("mark", F.xxhash64("key", "group", "one")).drop("group", "one")
+        .withColumn("mark", F.xxhash64("key", "group", "one")).drop("one")
     )
     x, y = shared(still).alias("x"), shared(matched).alias("y")
-    hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & (F.col("x.key") == F.col("y.key"))).select(*pair)
+    equal = F.array(*[F.get("x.marks", g) == F.get("y.marks", g) for g in range(2 * max_edits + 1)])
+    # by the first of its equal groups only
+    once = (F.col("x.key") == F.col("y.key")) & (F.array_position(equal, True) == F.col("x.group") + 1)
+    hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & once).select(*pair)
     return plain.unionByName(hot).distinct()
 
 
