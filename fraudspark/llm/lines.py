@@ -148,14 +148,10 @@ def _marks_alike(x: Column, y: Column, max_edits: int) -> Column:
     return same >= 1
 
 
-def _common(a: Column, b: Column, most: Column, steps: int, end: bool) -> Column:
-    """Length of the common beginning (or end) of two arrays, at most ``most``, by halving."""
-    side = (lambda s, k: F.slice(s, F.size(s) - k + 1, k)) if end else (lambda s, k: F.slice(s, F.lit(1), k))
-    return F.aggregate(
-        F.array(*[F.lit(1 << k) for k in reversed(range(steps))]),
-        F.lit(0),
-        lambda n, k: F.when((n + k <= most) & (side(a, n + k) == side(b, n + k)), n + k).otherwise(n),
-    )
+def _common(a: Column, b: Column, most: Column) -> Column:
+    """Length of the common beginning of two arrays, at most ``most``."""
+    other = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False)).cast("int")
+    return F.least(F.when(other == 0, F.size(a)).otherwise(other - 1), most)
 
 
 def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
@@ -168,8 +164,8 @@ def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
     width = 2 * max_edits + 1
     full = (1 << width) - 1
     spare = F.greatest(F.size("x") - max_edits - 1, F.lit(0))
-    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare, 24, False))
-    pairs = pairs.withColumn("tail", _common(F.col("x"), F.col("y"), spare - F.col("head"), 24, True))
+    pairs = pairs.withColumn("head", _common(F.col("x"), F.col("y"), spare))
+    pairs = pairs.withColumn("tail", _common(F.reverse("x"), F.reverse("y"), spare - F.col("head")))
     cut = lambda c: F.slice(c, F.col("head") + 1, F.size(c) - F.col("head") - F.col("tail"))
     pairs = pairs.withColumn("pa", cut(F.col("x"))).withColumn("qa", cut(F.col("y")))
     pairs = pairs.withColumn("m", F.size("pa")).withColumn("n", F.size("qa"))
