@@ -203,7 +203,13 @@ def edit_distance(pairs: DataFrame, max_edits: int) -> DataFrame:
         F.lit((full << (width - max_edits - 1)) & full).alias("vp"), F.lit(0).alias("vn"), F.lit(max_edits).alias("d")
     )
     walked = F.aggregate(F.sequence(F.lit(0), F.col("n") - 1), start, step)["d"]
-    edits = F.when(F.col("n") - F.col("m") > max_edits, F.lit(max_edits + 1)).otherwise(walked)
+    hopeless = F.col("n") - F.col("m") > max_edits
+    if max_edits == 2:
+        # both ends of what is left take an edit each, so all between them stands in y as it is
+        inner = lambda c, at: F.slice(c, F.lit(at), F.col("m") - 2)
+        whole = (inner("pa", 2) == inner("qa", 1)) | (inner("pa", 2) == inner("qa", 2)) | (inner("pa", 2) == inner("qa", 3))
+        hopeless = hopeless | F.when(F.col("m") > max_edits + 1, ~whole).otherwise(F.lit(False))
+    edits = F.when(hopeless, F.lit(max_edits + 1)).otherwise(walked)
     return pairs.withColumn("edits", edits).drop("head", "tail", "m", "n", "pa", "qa")
 
 
