@@ -38,6 +38,9 @@ SAMPLE_ROWS = 20_000
 FIRST_CELLS = 2
 SURE = 0.95
 QUERY_BLOCK = 512
+FIRST_BOXES = 4
+RESCORE_ROWS = 1 << 16
+ROUNDING = 1e-12
 
 
 def chi_square_share(x: np.ndarray, dims: int) -> np.ndarray:
@@ -132,51 +135,89 @@ def _boxes(points: np.ndarray, size: int) -> list[np.ndarray]:
     return out
 
 
+class _Best:
+    """The k best so far of each query of a block; ties go to the smaller id."""
+
+    def __init__(self, queries: int, k: int, bound: np.ndarray):
+        self.k, self.bound = k, bound
+        self.row, self.id, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.found = np.zeros(queries, np.int64)
+
+    def add(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        row, ids, score = (np.concatenate(x) for x in ((self.row, row), (self.id, ids), (self.score, score)))
+        order = np.lexsort((ids, -score, row))
+        row = row[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < self.k
+        self.row, self.id, self.score = row[keep], ids[order][keep], score[order][keep]
+        self.found = np.bincount(self.row, minlength=len(self.found))
+        full = np.flatnonzero(self.found == self.k)
+        last = np.cumsum(self.found)[full] - 1
+        self.bound[full] = np.maximum(self.bound[full], self.score[last])
+
+
 def _search_block(k: int, dims: int, sure: float, longest: float):
-    """A cell's block of vectors and its queries to the best k of each query in it."""
+    """A cell's block of vectors and its queries to the best k of each query in it.
+
+    Boxes are taken in waves, nearest first and twice as many each time. A wave multiplies each of its
+    boxes once with all queries that still ask for it.
+    """
     limit = chi_square_value(sure, dims)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_row": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object), "scores": pd.Series(dtype=object)})
-        x = np.stack(left["v"].to_numpy()).astype(float)
         p = np.stack(left["p"].to_numpy())
-        ids = left["id"].to_numpy()
         boxes = _boxes(p, BOX_ROWS)
-        low = np.array([p[b].min(axis=0) for b in boxes])
-        high = np.array([p[b].max(axis=0) for b in boxes])
+        order = np.concatenate(boxes)
+        x, p, ids = np.stack(left["v"].to_numpy()).astype(float)[order], p[order], left["id"].to_numpy()[order]
+        edges = np.concatenate(([0], np.cumsum([len(b) for b in boxes])))
+        low, high = np.minimum.reduceat(p, edges[:-1]), np.maximum.reduceat(p, edges[:-1])
         out = []
         for at in range(0, len(right), QUERY_BLOCK):
             part = right.iloc[at : at + QUERY_BLOCK]
             q, qp = np.stack(part["v"].to_numpy()).astype(float), np.stack(part["p"].to_numpy())
-            own, bound = part["id"].to_numpy(), part["bound"].to_numpy(float)
+            own, given = part["id"].to_numpy(), part["bound"].to_numpy(float)
+            best = _Best(len(q), k, given.copy())
             reach = np.zeros((len(q), len(boxes)))
             for axis in range(dims):
                 y = qp[:, axis : axis + 1]
                 gap = np.maximum(np.maximum(low[:, axis] - y, y - high[:, axis]), 0)
                 reach += gap * gap
-            order = np.argsort(reach, axis=1)
+            near = np.argsort(reach, axis=1)
             norms = (q * q).sum(axis=1)
-            for i in range(len(q)):
-                found_id, found_score, kth = np.zeros(0, np.int64), np.zeros(0), bound[i]
-                for step in range(0, len(boxes), 4):
-                    near = order[i, step : step + 4]
-                    if kth > -np.inf:
-                        # the squared distance of the k-th score; a closer vector projects below limit times it
-                        gap = max(norms[i] + longest * longest - 2 * kth, 0.0)
-                        near = near[reach[i, near] <= gap * limit]
-                        if not len(near):
-                            break
-                    who = np.concatenate([boxes[b] for b in near])
-                    who = who[ids[who] != own[i]]
-                    found_id = np.concatenate((found_id, ids[who]))
-                    found_score = np.concatenate((found_score, x[who] @ q[i]))
-                    if len(found_id) > k:
-                        best = np.lexsort((found_id, -found_score))[:k]
-                        found_id, found_score = found_id[best], found_score[best]
-                    if len(found_id) == k:
-                        kth = max(kth, found_score.min())
-                out.append((part["query_row"].iloc[i], found_id, found_score))
+            step, width = 0, FIRST_BOXES
+            while step < len(boxes):
+                # the squared distance of the k-th score; a closer vector projects below limit times it
+                open_to = np.where(best.bound > -np.inf, np.maximum(norms + longest * longest - 2 * best.bound, 0.0) * limit, np.inf)
+                wave = near[:, step : step + width]
+                asks, slot = np.nonzero(np.take_along_axis(reach, wave, axis=1) <= open_to[:, None])
+                if not len(asks):
+                    break
+                scores = np.full((len(q), wave.shape[1], BOX_ROWS), -np.inf)
+                which = wave[asks, slot]
+                by_box = np.argsort(which, kind="stable")
+                cuts = np.flatnonzero(np.diff(which[by_box], prepend=-1))
+                for i, j in zip(cuts, np.append(cuts[1:], len(by_box)), strict=True):
+                    rows, box = by_box[i:j], which[by_box[i]]
+                    inside = slice(edges[box], edges[box + 1])
+                    found = q[asks[rows]] @ x[inside].T
+                    found[own[asks[rows]][:, None] == ids[inside]] = -np.inf
+                    scores[asks[rows], slot[rows], : found.shape[1]] = found
+                scores = scores.reshape(len(q), -1)
+                kth = -np.partition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, min(k, scores.shape[1]) - 1]
+                # products of whole boxes may differ in the last bits; what may be among the k is scored anew
+                least = np.maximum(kth, best.bound)
+                row, place = np.nonzero((scores > -np.inf) & (scores >= (least - ROUNDING * (np.sqrt(norms) * longest))[:, None]))
+                who = edges[wave[row, place // BOX_ROWS]] + place % BOX_ROWS
+                for begin in range(0, len(row), RESCORE_ROWS):
+                    some = slice(begin, begin + RESCORE_ROWS)
+                    best.add(row[some], ids[who[some]], (x[who[some]] * q[row[some]]).sum(axis=1))
+                step, width = step + width, 2 * width
+            # what is below the bound that came with the query cannot be among its k best
+            worth = best.score >= given[best.row]
+            reach_out = np.cumsum(np.bincount(best.row[worth], minlength=len(q)))[:-1]
+            found_ids, found_scores = np.split(best.id[worth], reach_out), np.split(best.score[worth], reach_out)
+            out += [r for r in zip(part["query_row"], found_ids, found_scores, strict=True) if len(r[1])]
         return pd.DataFrame(out, columns=["query_row", "ids", "scores"])
 
     return run

@@ -46,6 +46,30 @@ def test_recall(spark):
     assert shared >= 0.9 * 20 * len(right)
 
 
+def test_recall_in_64_dimensions(spark):
+    """Vectors around ten centers, with exact copies: recall, exact scores, ties by id."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(10, 64))
+    x = centers[rng.integers(0, 10, 8000)] + rng.normal(size=(8000, 64)) * 1.5
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[200:230] = x[200]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = search.nearest(df, cell_rows=1000).toPandas().sort_values(["query_id", "rank"])
+    assert len(found) == 400 * 20
+    y, hits = x.astype(float), 0
+    for q, part in found.groupby("query_id"):
+        scores = (y * y[q]).sum(axis=1)
+        scores[q] = -np.inf
+        order = np.lexsort((np.arange(len(y)), -scores))[:20]
+        hits += len(set(order) & set(part["vec_id"]))
+        assert np.allclose(scores[part["vec_id"]], part["score"], rtol=0, atol=1e-12)
+        assert (np.diff(part["score"]) <= 0).all() and part["rank"].tolist() == list(range(1, 21))
+    assert hits >= 0.9 * 20 * 400
+    copies = found[found["query_id"] == 200]["vec_id"].tolist()
+    assert copies == list(range(201, 221))
+
+
 def test_empty(spark):
     assert search.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert search.nearest(spark.createDataFrame([(0, [0.0], "", 1, "")], SCHEMA)).count() == 0
