@@ -1,11 +1,13 @@
 """Sharding by a hierarchical weighted hash tree of regions, racks and shards.
 
-A leaf draws -ln(u) / weight from the hash of its number and the row's key: an exponential draw
-with the leaf's weight as its rate. The draw of a rack is the least of its shards' draws, that of a
-region the least of its racks', so each is an exponential draw with the subtree's total weight, and
-a row descends to the region, then the rack, then the shard of the least draw. The choice in every
-level is weighted as asked, and as a draw depends on its own leaf only, a changed weight moves rows
-into or out of the changed leaf's subtrees and nowhere else; a new shard takes rows only into itself.
+A row descends level by level: it draws a region, then a rack of that region, then a shard of that
+rack. A node draws -ln(u) / weight from the hash of the row's key, the level and the node's number,
+with the sum of the weights below it as its weight; the least draw wins, so every level is weighted
+as asked. A draw depends on its own node only: a changed weight changes the draws on the path from
+its shard to the root, so rows move into or out of the changed region, within it into or out of the
+changed rack, within that into or out of the changed shard, and nowhere else. Shards that fill a
+region of their own therefore take rows only into themselves; one that is added to a rack in use
+takes rows into that rack's region, where the rack and the shard are drawn anew.
 
 Everything is a column expression; no shuffle is needed to place a row. Slots need one shuffle of
 narrow rows, in buckets of each shard.
@@ -29,10 +31,37 @@ REGION_RACKS = 2
 BUCKET_ROWS = 20_000
 
 
-def _draw(key: Column, leaf: int, weight: float, seed: int) -> Column:
-    """An exponential draw with rate ``weight``; 53 bits of the hash make u, which is never 0."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(seed), F.lit(leaf)), 11)
-    return -F.log((bits + F.lit(0.5)) / F.lit(2.0**53)) / F.lit(float(weight))
+def _tree(weights: Sequence[float], rack_shards: int, region_racks: int) -> Column:
+    """Regions of (node, weight, racks of (node, weight, shards of (node, weight))), without empty subtrees."""
+
+    def node(number: int, weight: float, *below: Column) -> Column:
+        parts = [F.lit(number).alias("node"), F.lit(float(weight)).alias("weight")]
+        return F.struct(*parts, *(c.alias("below") for c in below))
+
+    racks: dict[int, dict[int, list[Column]]] = {}
+    sums: dict[tuple[int, int], float] = {}
+    for leaf, weight in enumerate(weights):
+        if weight > 0:
+            rack, region = leaf // rack_shards, leaf // rack_shards // region_racks
+            racks.setdefault(region, {}).setdefault(rack, []).append(node(leaf, weight))
+            sums[region, rack] = sums.get((region, rack), 0.0) + weight
+    if not racks:
+        raise ValueError("no shard has a weight over 0")
+    regions = []
+    for region, inner in racks.items():
+        below = F.array(*(node(rack, sums[region, rack], F.array(*leaves)) for rack, leaves in inner.items()))
+        regions.append(node(region, sum(sums[region, rack] for rack in inner), below))
+    return F.array(*regions)
+
+
+def _least(key: Column, level: int, nodes: Column, seed: int) -> Column:
+    """The node of the least draw; 53 bits of the hash make u, which is never 0."""
+
+    def drawn(n: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(seed), F.lit(level), n["node"]), 11)
+        return F.struct((-F.log((bits + F.lit(0.5)) / F.lit(2.0**53)) / n["weight"]).alias("draw"), n.alias("at"))
+
+    return F.array_min(F.transform(nodes, drawn))["at"]
 
 
 def place(
@@ -46,32 +75,21 @@ def place(
 
     A weight of 0 closes a shard. Ties go to the smaller number.
     """
-    racks: dict[int, list[Column]] = {}
-    for leaf, weight in enumerate(weights):
-        if weight > 0:
-            draw = F.struct(_draw(key, leaf, weight, seed).alias("draw"), F.lit(leaf).alias("shard"))
-            racks.setdefault(leaf // rack_shards, []).append(draw)
-    least = lambda parts: F.array_min(F.array(*parts))
-    regions: dict[int, list[Column]] = {}
-    for rack, leaves in racks.items():
-        best = least(leaves)
-        drawn = F.struct(best["draw"].alias("draw"), F.lit(rack).alias("rack"), best["shard"].alias("shard"))
-        regions.setdefault(rack // region_racks, []).append(drawn)
-    tops = []
-    for region, drawn in regions.items():
-        best = least(drawn)
-        tops.append(
-            F.struct(
-                best["draw"].alias("draw"),
-                F.lit(region).alias("region"),
-                best["rack"].alias("rack"),
-                best["shard"].alias("shard"),
-            )
-        )
-    if not tops:
-        raise ValueError("no shard has a weight over 0")
-    best = least(tops)
-    return F.struct(best["region"].alias("region"), best["rack"].alias("rack"), best["shard"].alias("shard"))
+    # each level is bound to a name once, so a level is drawn once a row
+    step = lambda nodes, level, then: F.transform(F.array(_least(key, level, nodes, seed)), then)[0]
+    return step(
+        _tree(weights, rack_shards, region_racks),
+        0,
+        lambda region: step(
+            region["below"],
+            1,
+            lambda rack: step(
+                rack["below"],
+                2,
+                lambda leaf: F.struct(region["node"].alias("region"), rack["node"].alias("rack"), leaf["node"].alias("shard")),
+            ),
+        ),
+    )
 
 
 def with_slots(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, seed: int = 3) -> DataFrame:
