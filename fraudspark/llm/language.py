@@ -5,8 +5,9 @@ Families are groups of the learned languages whose mean vectors are alike (avera
 square root of the number of languages). One linear support vector machine per family chooses the
 family first; within it one machine for every two languages votes.
 
-Scoring is one pass over the whole texts without a shuffle. Learning takes at most
-``sample_per_language`` training rows of each language, those of least hash of the id.
+Scoring is one pass over the whole texts without a shuffle. Learning takes different training rows,
+those of least hash of id and text: at most ``sample_per_language`` of each language and about
+``sample_rows`` in all. Equal rows count once, so neither one id nor one text can fill or miss the sample.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter, and if nothing can be
 learned; repeated rows get equal results; other columns are not read.
@@ -28,6 +29,7 @@ from fraudspark.llm.toxicity import held_out
 from fraudspark.session import materialize
 
 SAMPLE_PER_LANGUAGE = 1_000
+SAMPLE_ROWS = 20_000
 BIGRAM_BITS, TRIGRAM_BITS = 10, 11
 WIDTH = (1 << BIGRAM_BITS) + (1 << TRIGRAM_BITS)
 HELD_OUT = (5, 0)
@@ -147,15 +149,26 @@ def fit(x: np.ndarray, langs: np.ndarray, seed: int = 5) -> Model:
     return Model(languages, families, np.stack(one), pairs)
 
 
-def _sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """Training rows (lang, text) of least hash, at most ``per_language`` of each; the cut is made before any grouping."""
+def _sample(docs: DataFrame, per_language: int, rows: int) -> DataFrame:
+    """Different training rows (lang, text) of least hash, at most ``per_language`` of each and ``rows`` in all.
+
+    Rows are named by a hash of id and text; equal ones collapse per task before the narrow shuffle.
+    """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), *HELD_OUT))
-    counts = known.groupBy("lang").count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    near = known.join(F.broadcast(counts), "lang").withColumn("draw", draw)  # one row per language
-    near = near.where(F.col("draw") * F.col("count") < 1.3 * per_language + 50)
-    first = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
-    return near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("lang", "text")
+    known = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("name"))
+    names = materialize(known.select("lang", "name").distinct(), "names")
+    counts = names.groupBy("lang").count()
+    languages = counts.count()
+    if not languages:
+        return known.select("lang", "text").limit(0)
+    each = max(1, min(per_language, rows // languages))
+    draw = F.pmod(F.xxhash64("name", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    near = names.join(F.broadcast(counts), "lang").withColumn("draw", draw)  # one row per language
+    near = near.where(F.col("draw") * F.col("count") < 1.3 * each + 50)
+    first = Window.partitionBy("lang").orderBy("draw", "name")
+    chosen = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each).select("lang", "name")
+    found = known.join(F.broadcast(chosen), ["lang", "name"])  # bounded by ``rows``
+    return found.groupBy("lang", "name").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def language(
@@ -164,6 +177,7 @@ def language(
     text_column: str = "text",
     lang_column: str = "lang",
     sample_per_language: int = SAMPLE_PER_LANGUAGE,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, family."""
     rows = docs.select(
@@ -179,7 +193,7 @@ def language(
                 langs = batch.column(0).slice(block.first, len(block))
                 yield pa.RecordBatch.from_arrays([langs, pa.array(found, pa.binary())], ["lang", "vector"])
 
-    learned = materialize(_sample(rows, sample_per_language), "languages").mapInArrow(vectors, "lang string, vector binary").toPandas()
+    learned = materialize(_sample(rows, sample_per_language, sample_rows), "languages").mapInArrow(vectors, "lang string, vector binary").toPandas()
     model = None
     if len(learned):
         model = fit(np.stack([np.frombuffer(v, np.float32) for v in learned["vector"]]), learned["lang"].to_numpy())
