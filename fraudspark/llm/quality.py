@@ -1,12 +1,13 @@
 """Quality by attention-based multiple-instance learning.
 
-A text is a bag of passages: pieces of equal length, at least ``PASSAGE_BYTES``, at most ``PASSAGES``
-of them, which together are the whole text. Every passage is measured (shares of kinds of bytes,
+A text is a bag of passages: pieces of ``PASSAGE_BYTES`` each (the last may be shorter), which together
+are the whole text, at every length of text. Every passage is measured (shares of kinds of bytes,
 lengths and repetition of words, byte histogram), encoded by a small layer, and weighted by gated
 attention learned from the document labels alone; the weighted sum is scored.
 
 Scoring is one pass without a shuffle. Learning takes at most ``sample_rows`` labelled rows, those of
-least hash, each with at most ``PASSAGES`` passages.
+least hash; of a longer text it takes ``LEARNED_PASSAGES`` passages spread evenly over the whole text.
+Scoring looks at all of them.
 
 Defined results: a null or empty text is one empty passage; without usable labels the score is 0.5;
 conflicting labels of one id count as good; repeated rows get equal scores; other columns are not read.
@@ -27,7 +28,7 @@ from fraudspark.llm.toxicity import held_out, labelled_sample
 
 SAMPLE_ROWS = 4_000
 PASSAGE_BYTES = 512
-PASSAGES = 64
+LEARNED_PASSAGES = 64
 HIDDEN = 16
 ATTENTION = 8
 STEPS = 400
@@ -58,13 +59,12 @@ WIDTH = _N_KINDS + _N_WORDS + 32
 def passages(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Measures of all passages of a block, and how many each document has (at least one)."""
     length = np.diff(block.starts)
-    size = np.maximum(PASSAGE_BYTES, -(-length // PASSAGES))
-    count = np.maximum(1, -(-length // size))
+    count = np.maximum(1, -(-length // PASSAGE_BYTES))
     base = np.cumsum(count) - count
     n = int(count.sum())
     doc = np.repeat(np.arange(len(block)), length)
     place = np.arange(len(block.data)) - block.starts[doc]
-    own = base[doc] + place // size[doc]
+    own = base[doc] + place // PASSAGE_BYTES
     total = np.maximum(np.bincount(own, minlength=n), 1)[:, None]
     out = np.zeros((n, WIDTH))
     kinds = np.bincount(own * _N_KINDS + _KIND[block.data], minlength=n * _N_KINDS)
@@ -100,6 +100,11 @@ def passages(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return out, count
 
 
+def spread(count: int, most: int) -> np.ndarray:
+    """Numbers of at most ``most`` of ``count`` passages, evenly apart."""
+    return np.arange(count) if count <= most else np.arange(most) * count // most
+
+
 @dataclass
 class Model:
     center: np.ndarray
@@ -170,7 +175,7 @@ def quality(
             for block in blocks(batch.column(1)):
                 found, count = passages(block)
                 stop = np.cumsum(count)
-                bags = [found[b - c : b].astype(np.float32).tobytes() for b, c in zip(stop, count, strict=True)]
+                bags = [found[b - c + spread(c, LEARNED_PASSAGES)].astype(np.float32).tobytes() for b, c in zip(stop, count, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(block)), pa.array(bags, pa.binary())], ["y", "bag"])
 
     learned = sample.select("y", "text").mapInArrow(measured, "y int, bag binary").toPandas()

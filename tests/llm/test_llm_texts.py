@@ -99,13 +99,13 @@ def test_evolution_reaches_a_known_optimum():
 
 
 def test_sharding(docs, rows, none):
-    ones = [1.0] * 12
-    found = shard.shard(docs, ones, [1.0] * 13).toPandas()
+    ones = [1.0] * 16
+    found = shard.shard(docs, ones, [1.0] * 17).toPandas()  # the new shard fills a region of its own
     assert len(found) == len(rows)
     for _, part in found.groupby("shard"):
         assert sorted(part["slot"]) == list(range(len(part)))
     moved = found[found["shard"] != found["grown_shard"]]
-    assert set(moved["grown_shard"]) <= {12}
+    assert set(moved["grown_shard"]) <= {16}
     assert found.groupby(found["doc_id"].fillna(-1))["shard"].nunique().max() == 1
     by_id = {i: t for i, t, *_ in rows}
     for r in found.itertuples():
@@ -118,7 +118,12 @@ def test_weights_move_rows_in_the_changed_subtree_only(spark):
     keys = spark.range(4000).select(F.col("id").cast("string").alias("k"))
     before, after = [1.0] * 16, [1.0] * 5 + [3.0] + [1.0] * 10
     pair = keys.select(shard.place(F.col("k"), before).alias("a"), shard.place(F.col("k"), after).alias("b")).collect()
-    assert all(r.b.shard == 5 for r in pair if r.a.shard != r.b.shard)
+    for a, b in pair:  # shard 5 stands in rack 1 of region 0
+        if a != b:
+            assert 0 in (a.region, b.region)
+            assert a.region != b.region or a.rack == b.rack or 1 in (a.rack, b.rack)
+            assert a.rack != b.rack or 5 in (a.shard, b.shard)
+    assert any(a.region != b.region and b.shard != 5 for a, b in pair)  # the levels below are drawn anew
     share = sum(r.b.shard == 5 for r in pair) / len(pair)
     assert abs(share - 3 / 18) < 0.03
     assert all(r.a.rack == r.a.shard // 4 and r.a.region == r.a.rack // 2 for r in pair)
@@ -461,6 +466,87 @@ def test_held_out_accuracy(spark):
     assert sum(labels[r.doc_id].toxic == r.predicted for r in found) >= 0.9 * len(found)
 
 
+def test_each_level_draws_for_itself(spark):
+    """The tree against a descent in plain Python over the same draws."""
+    weights, seed = [2.0, 0.0, 1.0, 0.5, 3.0, 1.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 4.0], 11
+    nodes = [(level, n) for level, many in enumerate((2, 4, 13)) for n in range(many)]
+    bits = [F.xxhash64("k", F.lit(seed), F.lit(level), F.lit(n)).alias(f"d{level}_{n}") for level, n in nodes]
+    keys = spark.range(500).select(F.col("id").cast("string").alias("k"))
+    found = keys.select("k", shard.place(F.col("k"), weights).alias("at"), *bits).collect()
+    weight = {(2, n): w for n, w in enumerate(weights)}
+    for level, size in ((1, 4), (0, 2)):
+        for n in range((4, 2)[level == 0]):
+            weight[level, n] = sum(weight.get((level + 1, n * size + i), 0.0) for i in range(size))
+    for r in found:
+        at = 0
+        path = []
+        for level, children in enumerate((range(2), 2, 4)):
+            below = children if level == 0 else range(at * children, at * children + children)
+            draws = {}
+            for n in below:
+                if weight.get((level, n), 0.0) > 0:
+                    u = (((r[f"d{level}_{n}"] % 2**64) >> 11) + 0.5) / 2.0**53
+                    draws[n] = -math.log(u) / weight[level, n]
+            at = min(draws, key=lambda n: (draws[n], n))
+            path.append(at)
+        assert tuple(r["at"]) == tuple(path)
+
+
+def test_language_under_one_id(spark):
+    """A language whose rows all carry one id, and one text that fills a third of the rows."""
+    rng = random.Random(3)
+    words = {"aa": "the house of and with stone".split(), "bb": "zwei häuser und großer über straße".split()}
+    rows = [(5 if lang == "aa" else i, " ".join(rng.choice(words[lang]) for _ in range(30)), lang) for i in range(400) for lang in words]
+    rows += [(1, "the house and the stone", "aa")] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    if zlib.crc32(b"5") % 5 == 0:
+        raise AssertionError("the id must train")
+    found = language.language(docs, sample_per_language=50).select("doc_id", "lang_pred").collect()
+    predicted = Counter(r.lang_pred for r in found)
+    assert predicted == {"aa": 800, "bb": 400}
+    sample = language._sample(docs, 50, 1000)
+    assert {r.lang: r.n for r in sample.groupBy("lang").agg(F.count("*").alias("n")).collect()} == {"aa": 50, "bb": 50}
+    assert sample.distinct().count() == 100
+    assert language._sample(docs, 50, 40).count() == 40
+
+
+def test_quality_against_a_plain_forward_pass():
+    """Scores of whole texts, short and very long, against a loop over passages of 512 bytes."""
+    import numpy as np
+    import pyarrow as pa
+
+    from fraudspark.llm.text import blocks
+
+    rng = np.random.default_rng(4)
+    draw = random.Random(4)
+    texts = [None, "", sentence(draw, 40), sentence(draw, 300), sentence(draw, 16000)]
+    assert len(texts[-1]) > 2 * 512 * quality.LEARNED_PASSAGES
+    block = next(blocks(pa.array(texts)))
+    measures, count = quality.passages(block)
+    assert count.tolist() == [max(1, -(-len(t or "") // 512)) for t in texts]
+    model = quality.fit(measures, count, np.array([0.0, 0.0, 1.0, 1.0, 0.0]), steps=20)
+    got = model.score(measures, count)
+    p, first = model.parts, 0
+    for i, n in enumerate(count):
+        total, rest = 0.0, np.zeros(quality.HIDDEN)
+        for x in (measures[first : first + n] - model.center) / model.scale:
+            h = np.tanh(x @ p["encode"] + p["encode_bias"])
+            a = math.exp(float((np.tanh(h @ p["look"]) / (1 + np.exp(-(h @ p["gate"])))) @ p["attend"]))
+            total, rest = total + a, rest + a * h
+        logit = float((rest / total) @ p["score"] + p["bias"][0])
+        assert abs(got[i] - 1 / (1 + math.exp(-logit))) < 1e-9
+        first += n
+    # the grain does not change with length: a passage measures the same wherever its text ends
+    part = "".join(draw.choice("abcdefgh ") for _ in range(512))
+    a, _ = quality.passages(next(blocks(pa.array([part]))))
+    b, n = quality.passages(next(blocks(pa.array([part + texts[-1]]))))
+    assert n[0] > quality.LEARNED_PASSAGES
+    same = slice(0, quality._N_KINDS)
+    assert np.allclose(a[0][same], b[0][same])
+    assert quality.spread(5, 64).tolist() == [0, 1, 2, 3, 4]
+    assert quality.spread(1000, 4).tolist() == [0, 250, 500, 750]
+
+
 def test_pipeline(spark, docs, rows, labels, tmp_path):
     """Every stage against its rule, on its own input, with odd rows."""
     folder = str(tmp_path)
