@@ -70,8 +70,9 @@ def labelled_sample(
         .limit(rows)
     )
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    # bounded by ``rows``, so it may be broadcast
-    sample = texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    # bounded by ``rows``, so it may be broadcast; of a repeated id the same text under any partitioning
+    first = F.min_by("text", F.xxhash64("text")).alias("text")
+    sample = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(first, F.first("y").alias("y"))
     return materialize(sample, "labelled")
 
 
@@ -230,19 +231,21 @@ class Scorer:
         hashes = hash_spans(codes, begin, end)
         size = end - begin
         distinct, first = np.unique(hashes, return_index=True)
-        fits = (size[first] >= STEM_LENGTHS[0] - 1) & (size[first] <= LONGEST_WORD)
+        fits = size[first] >= STEM_LENGTHS[0] - 1
         if len(self.clear):
             at = np.minimum(np.searchsorted(self.clear, distinct), len(self.clear) - 1)
             fits &= self.clear[at] != distinct
         distinct, first = distinct[fits], first[fits]
         if not len(distinct):
             return out
-        longest = int(size[first].max())
+        # stems are shorter by far: a longer word begins with the same ones and is near to none
+        length = np.minimum(size[first], LONGEST_WORD)
+        longest = int(length.max())
         table = np.zeros((len(first), longest), np.uint32)
         for i in range(longest):
-            has = size[first] > i
+            has = length > i
             table[has, i] = codes[begin[first[has]] + i]
-        exact, fuzzy = self.trie.match(table, size[first])
+        exact, fuzzy = self.trie.match(table, length)
         matched = (exact >= 0) | (fuzzy >= 0)
         self.clear = np.union1d(self.clear, distinct[~matched])
         if len(self.clear) > CACHE_WORDS:

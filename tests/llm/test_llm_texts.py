@@ -435,6 +435,28 @@ def test_automaton_against_all_pairs():
         assert (terms[f] if f >= 0 else None) == (close[-1] if close else None)
 
 
+def test_words_of_any_length_and_repeated_ids(spark):
+    """A stem counts however long its word is, and the sample does not depend on the partitioning."""
+    scorer = toxicity.Scorer([("scoundrel", 2.0)])
+    import pyarrow as pa
+
+    from fraudspark.llm.text import blocks
+
+    texts = ["a scoundrel", "a scoundrel" + "s" * 200, "a " + "s" * 200, "a scoundrl", "a scoundrl" + "s" * 200]
+    found = scorer.features(next(blocks(pa.array(texts)))) != 0
+    assert found.any(axis=1).tolist() == [True, True, False, True, False]
+
+    rows = [(1, "b"), (1, "a"), (1, None), (2, None), (3, "c"), (3, "c")]
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3)], "doc_id long, toxic int")
+    seen = set()
+    for parts in (1, 3, 6):
+        docs = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "doc_id long, text string").repartition(parts)
+        sample = toxicity.labelled_sample(docs, labels, "toxic", 10, (5, 0), "doc_id", "text")
+        assert sample.columns == ["doc_id", "text", "y"]
+        seen.add(tuple(sorted((r.doc_id, r.text or "", r.y) for r in sample.collect())))
+    assert len(seen) == 1
+
+
 @pytest.mark.parametrize("name", ["toxicity", "quality", "language"])
 def test_learned_scores_of_odd_rows(docs, labels, none, rows, name):
     operator = {
