@@ -204,6 +204,11 @@ def score_function(spark, forests: dict[str, tuple[dict, Sequence[int]]]):
     return F.pandas_udf(_as_series_iterator(score), schema)
 
 
+def node_frame(nodes: DataFrame) -> pd.DataFrame:
+    """The bounded node table on the driver, as Arrow columns on the way and not as a Python object a cell."""
+    return nodes.toArrow().to_pandas()
+
+
 def check_forest_size(n_trees: int, sample_size: int) -> None:
     if 4 * n_trees * 2 * sample_size > MAX_NODE_CELLS:
         raise ValueError("the forest is too large to broadcast: fewer trees or samples")
@@ -220,7 +225,7 @@ def score_rows(
     """
     counts = sorted(set(tree_counts))
     check_forest_size(max(counts), sample_size)
-    wanted = nodes.where(F.col("tree_id") < max(counts)).toPandas()
+    wanted = node_frame(nodes.where(F.col("tree_id") < max(counts)))
     score = score_function(df.sparkSession, {"": (forest_arrays(wanted, sample_size), counts)})
     # one argument per column reaches the walk as one Arrow column each
     return df.withColumn("scores", score(*[named(c).cast("double") for c in columns]))
@@ -358,10 +363,13 @@ def sweep_pools(
 
     The pools are parts of one ranked pool, their forests one node table with running tree numbers. All
     rows are walked down all forests in one scan, and one aggregate counts every pool and tree count.
+    The model columns are written once: drawing the pool on top of the encodings and their null checks makes
+    the optimizer derive constraints of each from all others, which takes the driver minutes and its memory.
     """
     columns = forest_columns(df, cfg)
-    rows = prepare_rows(df, columns, cfg.null_features)
     keys, trees, counts = [cfg.id_column], max(cfg.tree_counts), sorted(set(cfg.tree_counts))
+    wanted = dict.fromkeys([*keys, cfg.label_column, *columns])
+    rows = materialize(prepare_rows(df, columns, cfg.null_features).select(*[named(c) for c in wanted]), "pool_rows")
     pool = materialize(ranked_pool(rows, columns, keys, max(pool_sizes), cfg.seed), "pool")
     nodes, sizes = None, []
     for i, size in enumerate(pool_sizes):
@@ -370,7 +378,7 @@ def sweep_pools(
         nodes = grown if nodes is None else nodes.unionByName(grown)
         sizes.append(psi)
         check_forest_size(trees * len(pool_sizes), psi)
-    table = materialize(nodes, "pool_forests").toPandas()
+    table = node_frame(materialize(nodes, "pool_forests"))
     of = table["tree_id"] // trees
     forests = {}
     for i, psi in enumerate(sizes):

@@ -68,7 +68,7 @@ class FraudModel:
     def score_function(self, spark: SparkSession):
         """The anomaly score as a vectorised function of the forest's columns, in their order."""
         anomaly.check_forest_size(self.best_count, self.sample_size)
-        wanted = self.nodes.where(F.col("tree_id") < self.best_count).toPandas()
+        wanted = anomaly.node_frame(self.nodes.where(F.col("tree_id") < self.best_count))
         forest = {"": (forest_arrays(wanted, self.sample_size), [self.best_count])}
         return anomaly.score_function(spark, forest)
 

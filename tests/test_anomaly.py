@@ -171,6 +171,23 @@ def test_pool_sweep(rows, small_cfg):
     assert {(r.pool, r.n_estimators) for r in table.collect()} == {(p, n) for p in (100, 400) for n in (5, 20)}
 
 
+def test_pool_is_drawn_from_written_rows(featured, small_cfg, monkeypatch):
+    """No encoding or null check is left below the draw: on top of them its plan does not end on a small driver."""
+    plans, draw = [], a.ranked_pool
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        raise StopIteration
+
+    monkeypatch.setattr(a, "ranked_pool", seen)
+    with pytest.raises(StopIteration):
+        a.sweep_pools(featured, [100, 400], small_cfg)
+    assert "CASE WHEN" not in plans[0] and "Filter" not in plans[0]
+    monkeypatch.setattr(a, "ranked_pool", draw)
+    found = a.sweep_pools(featured, [100, 400], small_cfg).collect()
+    assert len(found) == 4 and len({r.tp + r.fp + r.fn + r.tn for r in found}) == 1
+
+
 def test_quality_over_seeds(clustering, cfg):
     """Recall gate of the job, and precision well above the base rate, without category columns."""
     base = clustering.rows.agg(F.avg(F.col("is_fraud").cast("int"))).first()[0]
