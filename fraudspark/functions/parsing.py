@@ -30,9 +30,17 @@ def parse_timestamp(column: Column) -> Column:
 
     Text with an offset or Z is that instant, text without is read as UTC, in every session zone.
     """
+    return timestamp_of(timestamp_text(column))
+
+
+def timestamp_text(column: Column) -> Column:
+    """The trimmed text, null words as null; hours and minutes alone get their seconds."""
     text = F.trim(null_if_token(column.cast("string")))
-    # hours and minutes alone get their seconds
-    text = F.regexp_replace(text, r"(?i)([T ]\d{1,2}:\d{1,2})(?=(\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?))?$)", "$1:00")
+    return F.regexp_replace(text, r"(?i)([T ]\d{1,2}:\d{1,2})(?=(\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?))?$)", "$1:00")
+
+
+def timestamp_of(text: Column) -> Column:
+    """What ``timestamp_text`` gives as a timestamp; the text is used several times."""
     zoned = text.rlike(r"(?i)\d:\d+(:\d+)?(\.\d+)?\s*(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$")
     whole = (
         F.when(zoned, text)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fraudspark.config import PipelineConfig
-from fraudspark.functions.parsing import named, parse_boolean, parse_timestamp
+from fraudspark.functions.parsing import named, parse_boolean, timestamp_of, timestamp_text
 from fraudspark.sources.tables import cast_columns
 
 
@@ -70,7 +70,10 @@ def fill_strings(df: DataFrame, value: str = "NA") -> DataFrame:
 
 
 def parse_timestamps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.withColumns({c: parse_timestamp(named(c)) for c in _present(df, columns)})
+    """As ``parse_timestamp``, with the trimmed text in a projection of its own, so that it is made once a row."""
+    texts = {c: f"__text_{c}" for c in _present(df, columns)}
+    made = df.withColumns({text: timestamp_text(named(c)) for c, text in texts.items()})
+    return made.withColumns({c: timestamp_of(named(text)) for c, text in texts.items()}).drop(*texts.values())
 
 
 def parse_booleans(df: DataFrame, columns: Iterable[str]) -> DataFrame:

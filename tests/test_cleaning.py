@@ -115,3 +115,12 @@ def test_filters_reach_the_scan_side_of_the_duplicate_removal(raw):
     aggregate = plan.index("Aggregate")
     assert "atleastnnonnulls" in plan[aggregate:]
     assert "Filter" not in plan[:aggregate]
+
+
+def test_the_text_of_a_timestamp_is_made_once(spark):
+    """Its pattern stands once in the plan, not once for each place where the text is looked at."""
+    df = spark.createDataFrame([("2020-01-02T03:04",), ("2020-01-02 03:04:05Z",), ("N/A",), (None,)], "t string")
+    parsed = c.parse_timestamps(df, ["t"])
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("(?i)([T ]") == 1
+    assert parsed.columns == ["t"]
+    assert [r.t for r in parsed.collect()] == [r.t for r in df.select(parse_timestamp(F.col("t")).alias("t")).collect()]
