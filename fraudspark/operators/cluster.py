@@ -17,6 +17,7 @@ from fraudspark.config import PipelineConfig
 from fraudspark.functions.parsing import named
 from fraudspark.operators.explore import hash_sample
 from fraudspark.operators.features import model_columns
+from fraudspark.session import materialize
 
 
 def vector_columns(df: DataFrame) -> list[str]:
@@ -81,6 +82,18 @@ def fit_pca(df: DataFrame, columns: Sequence[str], k: int = 2) -> PipelineModel:
     return Pipeline(stages=[assemble(columns), standardize(), pca]).fit(df)
 
 
+def project(df: DataFrame, columns: Sequence[str], k: int = 2) -> tuple[PipelineModel, DataFrame]:
+    """The model of ``fit_pca``, and the projected points.
+
+    The vectors are assembled once and written: scaling, both passes of PCA and the projection read
+    them there instead of making features and vectors anew for each.
+    """
+    assembler = assemble(columns)
+    vectors = materialize(assembler.transform(df).select("features_raw"), "vectors")
+    fitted = Pipeline(stages=[standardize(), PCA(k=k, inputCol="features_scaled", outputCol="features_pca")]).fit(vectors)
+    return PipelineModel([assembler, *fitted.stages]), fitted.transform(vectors).select("features_pca")
+
+
 def fit_kmeans(df: DataFrame, k: int = 4, seed: int = 42, features: str = "features_pca") -> KMeansModel:
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster_labels").fit(df)
 
@@ -205,17 +218,17 @@ class Clustering:
 def cluster(df: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Clustering:
     """The full clustering step over the feature table.
 
-    KMeans passes over its input many times, so the projected points, a few
-    doubles per row, are kept by Spark while it runs. ``df`` should be a
-    written table: every other step reads it again.
+    The vectors are written once for the projection. KMeans passes over its input
+    many times, so the projected points, a few doubles per row, are kept by Spark
+    while it runs. ``df`` should be a written table: every other step reads it again.
     """
     columns = cluster_columns(df, cfg)
     if not columns:
         raise ValueError("no model columns")
     medians = column_medians(df, columns) if cfg.null_features == "median" else None
     rows = prepare_rows(df, columns, cfg.null_features, medians)
-    projection = fit_pca(rows, columns, cfg.pca_components)
-    points = projection.transform(rows).select("features_pca").persist()
+    projection, points = project(rows, columns, cfg.pca_components)
+    points = points.persist()
     try:
         kmeans = fit_kmeans(points, cfg.n_clusters, cfg.seed)
         filled = sum(size > 0 for size in kmeans.summary.clusterSizes)

@@ -74,3 +74,16 @@ def test_one_distinct_point(spark, cfg):
 def test_no_model_columns(spark, cfg):
     with pytest.raises(ValueError):
         k.cluster(spark.createDataFrame([("a",)], "s string"), cfg)
+
+
+def test_vectors_are_assembled_once(featured, cfg):
+    """The projection reads written vectors, without encodings or null checks, and is that of the plain model."""
+    columns = k.cluster_columns(featured, cfg)
+    rows = k.prepare_rows(featured, columns)
+    model, points = k.project(rows, columns)
+    plan = points._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" not in plan and "Filter" not in plan and "features_raw" in plan
+    wanted = k.component_columns(k.fit_pca(rows, columns).transform(rows).select("features_pca"), 2)
+    for found in (points, model.transform(rows).select("features_pca")):
+        pairs = zip(sorted(map(tuple, k.component_columns(found, 2).collect())), sorted(map(tuple, wanted.collect())), strict=True)
+        assert all(abs(a - b) < 1e-9 for one, other in pairs for a, b in zip(one, other))
