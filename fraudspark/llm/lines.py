@@ -14,7 +14,8 @@ segment's number. Of a key's lines only the earliest is compared with all first;
 need no other. What remains is compared with the earlier lines of its keys. So that many lines that
 share a segment, but are far apart, do not all meet, symbols are dealt into
 2 max_edits + 1 groups: an edit changes two groups at most, so near lines have one group of equal symbols. Within keys
-of more than ``HOT`` lines that is part of the join's key. Candidates are verified by the banded
+of more than ``HOT`` lines that is part of the join's key. A sketch of 64 parities, of which an edit flips
+two at most, rules out nearly all pairs with more edits before a pair is made. Candidates are verified by the banded
 bit-parallel edit distance on what is left between their common beginning and end.
 
 The texts of candidate lines are found by a second scan, filtered by a bitmap of fixed size. The
@@ -136,16 +137,24 @@ def with_keys(lines: DataFrame, max_edits: int, chars_per_edit: int, words_per_e
     return segment_keys(rows.withColumns(allowed), max_edits, 2 * max_edits).select("of", "no", "lid", "index", "probes")
 
 
-def group_marks(line: Column, groups: int) -> Column:
+def group_marks(hashes: Column, groups: int) -> Column:
     """A mark of the symbols of each group: lines within t edits differ in the marks of at most 2 t groups."""
-    hashes = F.transform(symbols(line), lambda w: F.xxhash64(w))
     own = lambda g: F.filter(hashes, lambda h: F.pmod(h, F.lit(groups)) == g)
     return F.array(*[F.aggregate(own(g), F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(h)) for g in range(groups)])
 
 
-def _marks_alike(x: Column, y: Column, max_edits: int) -> Column:
-    same = sum(((F.get(x, g) == F.get(y, g)).cast("int") for g in range(2 * max_edits + 1)), F.lit(0))
-    return same >= 1
+def parity_sketch(hashes: Column) -> Column:
+    """A bit for each of 64 groups of symbols, set if their number is odd: t edits flip at most 2 t bits."""
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda x, h: x.bitwiseXOR(bit(h)))
+
+
+def _alike(x: str, y: str, max_edits: int) -> Column:
+    """Whether the lines named x and y may be within the edits, by their sketches and marks."""
+    marks = [F.get(f"{x}.marks", g) == F.get(f"{y}.marks", g) for g in range(2 * max_edits + 1)]
+    same = sum((one.cast("int") for one in marks), F.lit(0))
+    flipped = F.bit_count(F.col(f"{x}.sketch").bitwiseXOR(F.col(f"{y}.sketch")))
+    return (flipped <= 2 * max_edits) & (same >= 1)
 
 
 def _common(a: Column, b: Column, most: Column) -> Column:
@@ -238,12 +247,12 @@ def _near(pairs: DataFrame, texts: DataFrame, max_edits: int, chars_per_edit: in
 
 
 def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> DataFrame:
-    """Pairs (early, late) of lines still there with earlier lines of their keys whose marks are alike."""
+    """Pairs (early, late) of lines still there with earlier lines of their keys that may be near."""
     crowd = matched.groupBy("key").count().where(F.col("count") > HOT).select("key")
     crowd = materialize(crowd, "hot_keys")
     late, early = still.alias("x"), matched.alias("y")
     fits = (F.col("x.indexed") | F.col("y.indexed")) & (F.col("y.pos") < F.col("x.pos")) & (F.col("x.lid") != F.col("y.lid"))
-    alike = _marks_alike(F.col("x.marks"), F.col("y.marks"), max_edits)
+    alike = _alike("x", "y", max_edits)
     pair = [F.col("y.lid").alias("early"), F.col("x.lid").alias("late")]
     plain = late.join(crowd, "key", "left_anti").alias("x").join(early, F.col("x.key") == F.col("y.key")).where(fits & alike).select(*pair)
 
@@ -256,7 +265,7 @@ def _remaining_pairs(still: DataFrame, matched: DataFrame, max_edits: int) -> Da
     equal = F.array(*[F.get("x.marks", g) == F.get("y.marks", g) for g in range(2 * max_edits + 1)])
     # by the first of its equal groups only
     once = (F.col("x.key") == F.col("y.key")) & (F.array_position(equal, True) == F.col("x.group") + 1)
-    hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & once).select(*pair)
+    hot = x.join(y, F.col("x.mark") == F.col("y.mark")).where(fits & once & alike).select(*pair)
     return plain.unionByName(hot).distinct()
 
 
@@ -289,14 +298,15 @@ def dedup_lines(
     wanted = materialize(matched.select("lid").distinct(), "candidate_lines")
     seen = maybe_in(lines, "lid", wanted, "lid").groupBy("lid").agg(F.first("line").alias("line"))
     texts = seen.join(wanted, "lid").select("lid", _bytes(F.col("line")).alias("line"))
-    texts = materialize(texts.withColumn("marks", group_marks(F.col("line"), 2 * max_edits + 1)), "candidate_texts")
-    places = distinct.select("lid", "pos").join(texts.select("lid", "marks"), "lid")
+    hashes = F.transform(symbols(F.col("line")), lambda w: F.xxhash64(w)).alias("hashes")
+    texts = texts.select("*", F.inline(F.array(F.struct(hashes))))  # a generator, so that symbols are hashed once
+    signs = {"marks": group_marks(F.col("hashes"), 2 * max_edits + 1), "sketch": parity_sketch(F.col("hashes"))}
+    texts = materialize(texts.withColumns(signs).drop("hashes"), "candidate_texts")
+    places = distinct.select("lid", "pos").join(texts.select("lid", "marks", "sketch"), "lid")
     matched = materialize(matched.join(places, "lid"), "matched_lines")
 
-    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid", "marks")).alias("e"))
-    against = matched.join(earliest, "key").where(
-        (F.col("lid") != F.col("e.lid")) & _marks_alike(F.col("marks"), F.col("e.marks"), max_edits)
-    )
+    earliest = matched.where("indexed").groupBy("key").agg(F.min(F.struct("pos", "lid", "marks", "sketch")).alias("e"))
+    against = matched.alias("x").join(earliest, "key").where((F.col("lid") != F.col("e.lid")) & _alike("x", "e", max_edits))
     swap = F.col("e.pos") < F.col("pos")
     first = against.select(
         F.when(swap, F.col("e.lid")).otherwise(F.col("lid")).alias("early"),

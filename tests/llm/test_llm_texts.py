@@ -277,6 +277,26 @@ def test_large_families_of_lines(spark, monkeypatch, hot):
     assert gone == expected and 121 in gone and 40 < len(gone) < 130
 
 
+@pytest.mark.parametrize("hot", [lines.HOT, 3])
+def test_far_lines_of_one_passage_make_few_pairs(spark, monkeypatch, hot):
+    """Lines that share passages and most words, but are three and more words apart, do not all meet."""
+    monkeypatch.setattr(lines, "HOT", hot)
+    made, near = [], lines._near
+    monkeypatch.setattr(lines, "_near", lambda pairs, *rest: (made.append(pairs.count()), near(pairs, *rest))[1])
+    rng = random.Random(31)
+    passage, texts = sentence(rng, 60).split(), []
+    for _ in range(200):
+        words = list(passage)
+        for at in rng.sample(range(20), 3):
+            words[at] = "w" + str(rng.randint(0, 10**6))
+        texts.append(" ".join(words))
+    texts.append(texts[77].replace(passage[40], "other"))
+    found = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
+    gone = {r.doc_id for r in found.collect() if r.n_dropped}
+    assert gone == {i for i, y in enumerate(texts) if any(near_lines(x.encode(), y.encode()) for x in texts[:i])}
+    assert 200 in gone and sum(made) < 3 * len(texts)
+
+
 def test_line_dedup(docs, rows, none):
     found = lines.dedup_lines(docs)
     assert set(docs.columns) <= set(found.columns)
