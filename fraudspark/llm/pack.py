@@ -1,6 +1,6 @@
 """Best-fit packing: a grouping genetic algorithm on islands with elite migration.
 
-Tokenizing is one pass over the texts without a shuffle and leaves one narrow row per piece.
+Tokenizing is one pass over the texts, in small batches and without a shuffle, and leaves one narrow row per piece.
 Pieces that fill a sequence alone are done. All others are dealt by hash into cells of a bounded
 number of pieces; every cell is evolved by several islands, each a Spark group of its own. A
 chromosome is a list of bins. Crossover injects whole well-filled bins of one parent into the
@@ -28,15 +28,18 @@ from pyspark.sql import functions as F
 
 from fraudspark.llm.text import blocks
 from fraudspark.llm.tokens import encode_block
-from fraudspark.session import materialize
+from fraudspark.session import materialize, with_setting
 
 CELL_PIECES = 1024  # a cell is one task's work; more pieces make more cells
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
+BATCH_ROWS = 1000  # texts that stand in an Arrow batch, in the executor and in its Python worker
+TOKEN_BYTES = 500_000  # of texts encoded together; more save no time
 POOR_FILL = 0.95  # bins below this share meet again in the last round
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -46,7 +49,7 @@ def tokenize(docs: DataFrame, path: str, capacity: int, id_column: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), TOKEN_BYTES):
                 ids, starts = encode_block(block, path)
                 rows: list[tuple] = []
                 parts: list[np.ndarray] = []
@@ -226,7 +229,9 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     pieces = tokenize(docs, tokenizer_path, capacity, id_column, text_column, keep_ids)
-    pieces = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    rows = int(docs.sparkSession.conf.get(ARROW_ROWS))  # 0 or less: no bound
+    with with_setting(docs.sparkSession, ARROW_ROWS, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS):
+        pieces = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity)
     loose = pieces.where(F.col("length") < capacity).select("item", "length")
     tune = (capacity, cell_pieces, islands, epochs, generations)

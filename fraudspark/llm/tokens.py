@@ -18,13 +18,19 @@ from fraudspark.llm.text import Block, gather, gather_places, hash_spans
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+@lru_cache(maxsize=2)
+def exact(path: str):
+    """Exact encoder for texts with special tokens; large, so only tasks that meet such a text load it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def load(path: str):
-    """Encoder, exact encoder for texts with special tokens, those tokens, and the byte length of each id."""
+    """Encoder, special tokens, and the byte length of each id."""
     import tiktoken
-    from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         described = json.load(file)
     special = [t["content"].encode() for t in described["added_tokens"]]
@@ -39,7 +45,7 @@ def load(path: str):
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     sizes[list(ranks.values())] = [len(token) for token in ranks]
     fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return fast, whole, special, sizes
+    return fast, special, sizes
 
 
 def _cuts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +73,7 @@ def _cuts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def encode_block(block: Block, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all documents in a row, and where each document's ids start (n + 1 numbers)."""
-    fast, whole, special, sizes = load(path)
+    fast, special, sizes = load(path)
     data, n = block.data, len(block.data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(len(block) + 1, np.int64)
@@ -103,7 +109,7 @@ def encode_block(block: Block, path: str) -> tuple[np.ndarray, np.ndarray]:
     rest = np.flatnonzero(~plain | marked)
     for i in rest:
         text = data[begin[first[i]] : end[first[i]]].tobytes().decode()
-        ids = whole.encode(text, add_special_tokens=False).ids if marked[i] else fast.encode_ordinary(text)
+        ids = exact(path).encode(text, add_special_tokens=False).ids if marked[i] else fast.encode_ordinary(text)
         counts[i] = len(ids)
         pieces.append(np.array(ids, np.int64))
     table = np.concatenate(pieces)

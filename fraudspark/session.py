@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+@contextmanager
+def with_setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for what is run inside; the former value afterwards."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

@@ -85,6 +85,25 @@ def test_packing(spark, docs, rows, none):
     assert pack.pack(none, path).count() == 0
 
 
+def test_packing_keeps_batches_and_workers_small(spark, docs, monkeypatch):
+    """Texts reach the tokenizer in small batches, the session keeps its own; plain texts load no second tokenizer."""
+    import pyarrow as pa
+
+    from fraudspark.llm import tokens
+    from fraudspark.llm.text import blocks
+
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, pack.materialize
+    before = spark.conf.get(key)
+    monkeypatch.setattr(pack, "materialize", lambda df, name: (seen.setdefault(name, int(spark.conf.get(key))), write(df, name))[1])
+    assert pack.pack(docs, queries.bpe_path()).count() >= docs.count()
+    assert seen["pieces"] <= 1000 and spark.conf.get(key) == before
+    tokens.exact.cache_clear()
+    for block in blocks(pa.array(["plain words", "more\nof them", None, ""])):
+        ids, starts = tokens.encode_block(block, queries.bpe_path())
+        assert len(starts) == 5 and len(ids)
+    assert tokens.exact.cache_info().currsize == 0
+
+
 def test_evolution_reaches_a_known_optimum():
     rng = random.Random(3)
     sizes = []
