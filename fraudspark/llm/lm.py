@@ -3,11 +3,14 @@
 Counts are exact over all training documents and nothing is cut: every word, bigram and trigram that
 was seen is in the model, which therefore grows with the corpus. No process holds it whole. The n-grams
 of each document (START START w1 ... wn END, so each token ends one trigram) are summed per document
-and sent once, packed, to the bucket of their context's hash; buckets hold about ``BUCKET_TOKENS``
-tokens. A bucket's task sums the training counts of its contexts, builds the level set of its trigrams
-and looks up its own queries in it, which wait in an unlinked file meanwhile. What it does not hold
-(trigrams of held-out texts) is scored by joins: back-off weight of the context, then the bigram, or
-the back-off weight of its first word and the last word alone.
+and sent once, packed, to the bucket of their middle word's hash; buckets hold about ``BUCKET_TOKENS``
+tokens. So a bucket also has all bigrams that begin with its words. Trigrams of a word with more than
+``HOT_TOKENS`` tokens are dealt to several buckets by their context, and the counts of its bigrams, which
+then are spread, are made before and sent along. A bucket's task sums the training counts of its contexts,
+builds the level set of its trigrams and looks up its own queries in it, which wait in an unlinked file
+meanwhile. What it does not hold (trigrams of held-out texts) takes the back-off weight of the context
+and the bigram; only if that was not seen either, the back-off weight of its first word and the last word
+alone are joined, as far as rare words take part.
 
 Levels: for each context its successors. Pointers and the successors' numbers (made monotone by adding
 the last number of the context before) are Elias-Fano sequences: low bits packed, high bits in unary.
@@ -42,6 +45,7 @@ from fraudspark.session import materialize
 
 WORD_SHARE = 1e-6
 BUCKET_TOKENS = 1 << 20
+HOT_TOKENS = 1 << 22  # training tokens behind one word that may meet in one task
 MERGE_ROWS = 1 << 21
 UNIT = 1e9
 DISCOUNT = 0.75
@@ -365,7 +369,55 @@ def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mixed).view(np.int64)
 
 
-def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int) -> Iterator[tuple[int, bytes]]:
+class Vocabulary:
+    """Frequent words, START and END, sorted by hash, with their counts; all other words are joined."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, ends: int, mass: float):
+        keys = np.concatenate((words, [END, START])).astype(np.int64)
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], np.concatenate((counts, [ends, ends])).astype(np.int64)[order]
+        self.p1 = (self.counts + 0.5) / mass
+        self.parts = 1 + self.counts // HOT_TOKENS  # tasks that share the trigrams with this middle word
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        return _place(self.keys, hashes)
+
+    def of(self, facts: np.ndarray, hashes: np.ndarray, other: float) -> np.ndarray:
+        at = self.place(hashes)
+        return np.where(at >= 0, facts[at], other)
+
+
+def _place(sorted_keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each number stands, or -1."""
+    if not len(sorted_keys):
+        return np.full(len(asked), -1, np.int64)
+    at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == asked, at, -1)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32, all first bytes first: the higher ones compress well."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _compressed(kind: int, head: list[int], hashes: list[np.ndarray], numbers: list[np.ndarray]) -> bytes:
+    raw = b"".join([np.array([kind, *head]).tobytes(), *(x.astype(np.int64).tobytes() for x in hashes), *map(_planes, numbers)])
+    return np.array([len(raw)]).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _expanded(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int(np.frombuffer(packed, np.int64, 1)[0]), "zstd", asbytes=True)
+
+
+def _numbers(raw: bytes, at: int, n: int) -> tuple[np.ndarray, int]:
+    planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64), at + 4 * n
+
+
+GRAMS, PAIRS = 0, 1
+
+
+def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int, known: Vocabulary) -> Iterator[tuple[int, bytes]]:
     """(bucket, its trigrams): texts, whether they train, and each text's distinct trigrams with their times."""
     hashes, doc = _words(block)
     n = len(block)
@@ -376,9 +428,8 @@ def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int) -> Iterator[
     at = np.flatnonzero(ends)
     first = at == begins[owner[at]] + 1
     a, b, c, owner = np.where(first, START, ids[at - 1 - ~first]), ids[at - 1], ids[at], owner[at]
-    context = _pair_key(a, b)
-    bucket = (context.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
-    order, new = _distinct_rows(bucket, owner, context, c)
+    bucket = _bucket_of(b, _pair_key(a, b).view(np.uint64) % known.of(known.parts, b, 1).astype(np.uint64), n_buckets)
+    order, new = _distinct_rows(bucket, b, a, owner, c)
     times = np.diff(np.append(new, len(order)))
     order = order[new]
     texts = hash_spans(block.data, block.starts[:-1], block.starts[1:]).view(np.int64)
@@ -387,32 +438,64 @@ def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int) -> Iterator[
         rows = order[i:j]
         own, of = np.unique(owner[rows], return_inverse=True)
         words, number = np.unique(np.concatenate((a[rows], b[rows], c[rows])), return_inverse=True)
-        head = np.array([len(own), len(rows), len(words)])
-        columns = [head, texts[own], words, *(x.astype(np.uint32) for x in (trains[own], of, times[i:j], number))]
-        raw = b"".join(x.tobytes() for x in columns)
-        yield int(bucket[rows[0]]), np.array([len(raw)]).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+        # frequent words go by their steps in the vocabulary, the others by hash
+        where = known.place(words)
+        frequent = where >= 0
+        rank = np.empty(len(words), np.int64)
+        rank[frequent], rank[~frequent] = np.arange(frequent.sum()), frequent.sum() + np.arange((~frequent).sum())
+        steps = np.diff(where[frequent], prepend=0)
+        number = rank[number]
+        head = [len(own), len(rows), len(steps), len(words) - len(steps)]
+        yield int(bucket[rows[0]]), _compressed(GRAMS, head, [texts[own], words[~frequent]], [steps, trains[own], of, times[i:j], *np.split(number, 3)])
+
+
+def _bucket_of(b: np.ndarray, part: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Trigrams are dealt by their middle word, those of a hot one to several buckets by their context."""
+    return ((mix(b.view(np.uint64)) % np.uint64(n_buckets) + part) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def _unpacked(packed: bytes) -> tuple[np.ndarray, ...]:
+def _unpacked(raw: bytes, known: Vocabulary) -> tuple[np.ndarray, ...]:
     """texts, trains, of, times, context, b, c."""
-    raw = pa.decompress(packed[8:], int(np.frombuffer(packed, np.int64, 1)[0]), "zstd", asbytes=True)
-    n_texts, n, n_words = np.frombuffer(raw, np.int64, 3).tolist()
-    texts, words = np.split(np.frombuffer(raw, np.int64, n_texts + n_words, 24), [n_texts])
-    small = np.frombuffer(raw, np.uint32, offset=24 + 8 * (n_texts + n_words)).astype(np.int64)
-    trains, of, times, a, b, c = np.split(small, np.cumsum([n_texts, n, n, n, n]))
+    n_texts, n, n_known, n_rare = np.frombuffer(raw, np.int64, 4, 8).tolist()
+    texts, rare = np.split(np.frombuffer(raw, np.int64, n_texts + n_rare, 40), [n_texts])
+    at, columns = 40 + 8 * (n_texts + n_rare), []
+    for size in (n_known, n_texts, n, n, n, n, n):
+        numbers, at = _numbers(raw, at, size)
+        columns.append(numbers)
+    steps, trains, of, times, a, b, c = columns
+    words = np.concatenate((known.keys[np.cumsum(steps)], rare))
     a, b, c = words[a], words[b], words[c]
     return texts, trains, of, times, _pair_key(a, b), b, c
 
 
+def _fixed(p: np.ndarray) -> np.ndarray:
+    """Shares in fixed point, whose sums do not depend on the order."""
+    return np.floor(p * 1e15 + 0.5).astype(np.int64)
+
+
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    np.add.at(out, of, values)
+    return out
+
+
+def _back_off(left: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    return np.minimum(np.maximum(left, 1e-9) / np.maximum(1 - seen, 1e-9), 1e3)
+
+
 class Bucket:
-    """The trigrams of some contexts: counts first, then a level set that answers the queries of the same file."""
+    """The trigrams of some middle words: counts first, then a level set that answers the queries of the same file."""
 
-    def __init__(self):
-        self.file, self.parts, self.waiting = tempfile.TemporaryFile(), [], 0
+    def __init__(self, known: Vocabulary):
+        self.known, self.file, self.parts, self.pairs, self.waiting = known, tempfile.TemporaryFile(), [], [], 0
 
     def add(self, packed: bytes) -> None:
+        raw = _expanded(packed)
+        if np.frombuffer(raw, np.int64, 1)[0] == PAIRS:
+            self.pairs.append(np.frombuffer(raw, np.int64, offset=8).reshape(3, -1))
+            return
         self.file.write(np.array([len(packed)]).tobytes() + packed)
-        _, trains, of, times, context, b, c = _unpacked(packed)
+        _, trains, of, times, context, b, c = _unpacked(raw, self.known)
         own = trains[of] > 0
         self.parts.append((context[own], b[own], c[own], times[own]))
         self.waiting += int(own.sum())
@@ -427,45 +510,72 @@ class Bucket:
         # rows that are distinct already wait no more, so merging takes turns with doubled input
         self.parts, self.waiting = [(context[order], b[order], c[order], summed)], -len(order)
 
+    def _bigrams(self, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(b, c, n) sorted: those of hot middle words were counted before, of all others every trigram is here."""
+        here = self.known.of(self.known.parts, b, 1) == 1
+        b, c, n = (np.concatenate([x[here], *(pair[i] for pair in self.pairs)]) for i, x in enumerate((b, c, n)))
+        order, new = _distinct_rows(b, c)
+        n = np.add.reduceat(n[order], new) if len(order) else n
+        return b[order[new]], c[order[new]], n
+
     def answers(self) -> Iterator[dict[str, np.ndarray]]:
-        """Sums of found trigrams per text, trigrams not found, and the successors of their contexts."""
+        """Sums of found n-grams per text; what must back off to words, the facts of its first words and their rare successors."""
         self.parts = self.parts or [(np.zeros(0, np.int64),) * 4]
         self._merge()
         context, b, c, n = self.parts[0]
-        contexts, begin, of = np.unique(context, return_index=True, return_inverse=True)
+        contexts, of = np.unique(context, return_inverse=True)
         words, number = np.unique(c, return_inverse=True)
         total = np.bincount(of, n, len(contexts))
         level = _level(of, number + 1, max(len(contexts), 1), np.log10((n - DISCOUNT) / total[of]), np.zeros(len(n)))
         left = DISCOUNT * np.bincount(of, minlength=len(contexts)) / np.maximum(total, 1)
         units = np.rint(level.prob_book * UNIT).astype(np.int64)
-        missed = np.zeros(len(contexts), bool)
 
-        def place(sorted_keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
-            if not len(sorted_keys):
-                return np.full(len(asked), -1, np.int64)
-            at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
-            return np.where(sorted_keys[at] == asked, at, -1)
+        # the bigrams as ranges of their first words, and the back-off weights of the contexts
+        b2, c2, n2 = self._bigrams(b, c, n)
+        firsts, begin, of2 = np.unique(b2, return_index=True, return_inverse=True)
+        m = _sums(of2, n2, len(firsts))
+        p2 = (n2 - DISCOUNT) / m[of2] if len(n2) else np.zeros(0)
+        key2 = _pair_key(b2, c2)
+        sorted2 = np.argsort(key2)
+        key2 = key2[sorted2]
+        bigram = lambda x, y: (lambda at: np.where(at >= 0, sorted2[at], -1) if len(sorted2) else at)(_place(key2, _pair_key(x, y)))
+        seen = _sums(of, _fixed(p2[bigram(b, c)]), len(contexts)) / 1e15
+        back2 = _back_off(left, seen)
+        asked_firsts = np.zeros(len(firsts), bool)
 
         self.file.seek(0)
         while head := self.file.read(8):
-            texts, _, owner, times, asked, middle, last = _unpacked(self.file.read(int(np.frombuffer(head, np.int64)[0])))
-            ctx = place(contexts, asked)
-            at = level.find(ctx, place(words, last) + 1)
+            raw = _expanded(self.file.read(int(np.frombuffer(head, np.int64)[0])))
+            texts, _, owner, times, asked, middle, last = _unpacked(raw, self.known)
+            ctx = _place(contexts, asked)
+            at = level.find(ctx, _place(words, last) + 1)
             hit = at >= 0
-            sums = np.zeros(len(texts), np.int64)
-            np.add.at(sums, owner[hit], units[level.prob[at[hit]]] * times[hit])
+            sums = _sums(owner[hit], units[level.prob[at[hit]]] * times[hit], len(texts))
+            miss = np.flatnonzero(~hit)
+            weight = np.where(ctx[miss] >= 0, back2[ctx[miss]], 1.0) if len(contexts) else np.ones(len(miss))
+            pair = bigram(middle[miss], last[miss])
+            two = pair >= 0
+            logs = np.log10(p2[pair[two]]) + np.log10(weight[two])
+            sums += _sums(owner[miss[two]], np.rint(logs * UNIT).astype(np.int64) * times[miss[two]], len(texts))
             yield {"kind": np.zeros(len(texts), np.int64), "text": texts, "units": sums}
-            miss = ~hit
-            missed[ctx[miss & (ctx >= 0)]] = True
-            if miss.any():
-                yield {"kind": np.ones(int(miss.sum()), np.int64), "text": texts[owner[miss]], "units": times[miss], "context": asked[miss], "b": middle[miss], "c": last[miss]}
+            miss, weight = miss[~two], weight[~two]
+            if len(miss):
+                first = _place(firsts, middle[miss])
+                asked_firsts[first[first >= 0]] = True
+                p1 = self.known.of(self.known.p1, last[miss], -1.0)
+                yield {"kind": np.ones(len(miss), np.int64), "text": texts[owner[miss]], "units": times[miss], "b": middle[miss], "c": last[miss], "back2": weight, "p1": p1}
         self.file.close()
-        rows = missed[of] if len(of) else np.zeros(0, bool)
-        if rows.any():
-            yield {"kind": np.full(int(rows.sum()), 2), "context": context[rows], "b": b[rows], "c": c[rows], "rest": left[of[rows]]}
+        if asked_firsts.any():
+            p1 = self.known.of(self.known.p1, c2, -1.0)
+            part = _sums(of2, np.where(p1 >= 0, _fixed(np.maximum(p1, 0)), 0), len(firsts))
+            k = np.bincount(of2, minlength=len(firsts))
+            f = np.flatnonzero(asked_firsts)
+            yield {"kind": np.full(len(f), 2), "b": firsts[f], "text": k[f], "c": m[f], "units": part[f]}
+            rare = asked_firsts[of2] & (p1 < 0)
+            yield {"kind": np.full(int(rare.sum()), 3), "b": b2[rare], "c": c2[rare]}
 
 
-_ANSWER = {"kind": pa.int64(), "text": pa.int64(), "units": pa.int64(), "context": pa.int64(), "b": pa.int64(), "c": pa.int64(), "rest": pa.float64()}
+_ANSWER = {"kind": pa.int64(), "text": pa.int64(), "units": pa.int64(), "b": pa.int64(), "c": pa.int64(), "back2": pa.float64(), "p1": pa.float64()}
 
 
 def _answer_batches(found: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -476,14 +586,47 @@ def _answer_batches(found: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(arrays, list(_ANSWER))
 
 
-def _trigram_answers(docs: DataFrame, n_buckets: int) -> DataFrame:
+def _hot_pairs(training: DataFrame, n_buckets: int, shared_words) -> DataFrame:
+    """(bucket, packed): the counts of all bigrams with a hot first word, for each bucket that has trigrams of it."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared_words.value
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                hashes, doc = _words(block)
+                ids, begins = _sequences(hashes, doc, len(block))
+                at = np.delete(np.arange(len(ids)), begins)
+                at = at[known.of(known.parts, ids[at - 1], 1) > 1]
+                b, c = ids[at - 1], ids[at]
+                order, new = _distinct_rows(b, c)
+                n = np.diff(np.append(new, len(order)))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (b[order[new]], c[order[new]], n)], ["b", "c", "n"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared_words.value
+        for batch in batches:
+            b, c, n = (batch.column(i).to_numpy() for i in range(3))
+            found = []
+            for word in np.unique(b):
+                own = b == word
+                one, parts = np.array([word]), int(known.of(known.parts, np.array([word]), 1)[0])
+                packed = _compressed(PAIRS, [], [b[own], c[own], n[own]], [])
+                found += [(x, packed) for x in {int(_bucket_of(one, np.array([k], np.uint64), n_buckets)[0]) for k in range(parts)}]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["bucket", "packed"])
+
+    counted = training.mapInArrow(count, "b long, c long, n long").groupBy("b", "c").agg(F.sum("n").alias("n"))
+    return counted.mapInArrow(send, "bucket long, packed binary")
+
+
+def _trigram_answers(docs: DataFrame, training: DataFrame, n_buckets: int, shared_words) -> DataFrame:
     """Answers of all buckets; one shuffle of packed trigrams."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared_words.value
         for batch in batches:
             trains = np.asarray(batch.column(1))
             for block in blocks(batch.column(0)):
-                found = list(_packed_grams(block, trains[block.first : block.first + len(block)], n_buckets))
+                found = list(_packed_grams(block, trains[block.first : block.first + len(block)], n_buckets, known))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["bucket", "packed"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -493,68 +636,42 @@ def _trigram_answers(docs: DataFrame, n_buckets: int) -> DataFrame:
                 if bucket != now:
                     if state is not None:
                         yield from _answer_batches(state.answers())
-                    now, state = bucket, Bucket()
+                    now, state = bucket, Bucket(shared_words.value)
                 state.add(packed.as_buffer().to_pybytes())
         if state is not None:
             yield from _answer_batches(state.answers())
 
     rows = docs.select("text", (~held_out(F.col("doc_id"), *HELD_OUT)).alias("trains"))
-    sent = rows.mapInArrow(send, "bucket long, packed binary").repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-    schema = "kind long, text long, units long, context long, b long, c long, rest double"
+    sent = rows.mapInArrow(send, "bucket long, packed binary")
+    if (shared_words.value.parts > 1).any():
+        sent = sent.unionByName(_hot_pairs(training, n_buckets, shared_words))
+    sent = sent.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    schema = "kind long, text long, units long, b long, c long, back2 double, p1 double"
     return materialize(sent.mapInArrow(answer, schema), "trigram_answers")
 
 
-def _bigrams(training: DataFrame) -> DataFrame:
-    """(b, c, n) of all bigrams of the training texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block in blocks(batch.column(0)):
-                hashes, doc = _words(block)
-                ids, begins = _sequences(hashes, doc, len(block))
-                at = np.delete(np.arange(len(ids)), begins)
-                b, c = ids[at - 1], ids[at]
-                order, new = _distinct_rows(b, c)
-                n = np.diff(np.append(new, len(order)))
-                columns = [pa.array(x) for x in (b[order[new]], c[order[new]], n)]
-                yield pa.RecordBatch.from_arrays(columns, ["b", "c", "n"])
-
-    found = training.mapInArrow(run, "b long, c long, n long")
-    return materialize(found.groupBy("b", "c").agg(F.sum("n").alias("n")), "bigrams")
-
-
-def _score_units(docs: DataFrame, training: DataFrame, counts: DataFrame, ends: int, total: int, distinct: int) -> DataFrame:
+def _score_units(docs: DataFrame, training: DataFrame, counts: DataFrame, frequent: tuple, ends: int, total: int, distinct: int) -> DataFrame:
     """(text, units): the log probability of each text in billionths, summed over its copies."""
-    spark = docs.sparkSession
-    found = _trigram_answers(docs, max(1, -(-(total + 1) // BUCKET_TOKENS)))
-    missing = found.where("kind = 1").select("text", F.col("units").alias("times"), "context", "b", "c")
-    nexts = found.where("kind = 2").select("context", "b", "c", "rest")
-
     # words: as many new ones are to come as came once
     once = counts.where("n = 1").count()
     mass = total + 0.5 * (distinct - (ends > 0)) + 0.5 + 0.5 + once
-    words = counts.select(F.col("key").alias("c"), ((F.col("n") + 0.5) / mass).alias("p1"))
-    words = words.unionByName(spark.createDataFrame([(END, (ends + 0.5) / mass)], "c long, p1 double"))
     unseen = (once + 0.5) / mass
-
-    # bigrams and the back-off weights of their first words; sums in fixed point do not depend on the order
-    pairs = _bigrams(training)
-    fixed = lambda p: F.sum(F.round(p * 1e15).cast("long")) / 1e15
-    firsts = pairs.join(words, "c").groupBy("b").agg(F.sum("n").alias("m"), F.count("*").alias("k"), fixed(F.col("p1")).alias("seen"))
-    weight = F.least(F.greatest(DISCOUNT * F.col("k") / F.col("m"), F.lit(1e-9)) / F.greatest(1 - F.col("seen"), F.lit(1e-9)), F.lit(1e3))
-    firsts = materialize(firsts.select("b", "m", weight.alias("back1")), "word_weights")
-    asked = missing.select("b", "c").unionByName(nexts.select("b", "c")).distinct()
-    p2 = F.coalesce((F.col("n") - DISCOUNT) / F.col("m"), F.coalesce("back1", F.lit(1.0)) * F.coalesce("p1", F.lit(unseen)))
-    asked = asked.join(pairs, ["b", "c"], "left").join(firsts, "b", "left").join(words, "c", "left").select("b", "c", p2.alias("p2"))
-    asked = materialize(asked, "asked_bigrams")
-
-    weights = nexts.join(asked, ["b", "c"]).groupBy("context").agg(F.first("rest").alias("rest"), fixed(F.col("p2")).alias("seen"))
-    back2 = F.least(F.greatest("rest", F.lit(1e-9)) / F.greatest(1 - F.col("seen"), F.lit(1e-9)), F.lit(1e3))
-    weights = materialize(weights.select("context", back2.alias("back2")), "context_weights")
-    log = F.log10("p2") + F.coalesce(F.log10("back2"), F.lit(0.0))
-    backed = missing.join(asked, ["b", "c"]).join(weights, "context", "left").select(
-        "text", (F.round(log * UNIT).cast("long") * F.col("times")).alias("units")
-    )
+    shared_words = docs.sparkSession.sparkContext.broadcast(Vocabulary(*frequent, ends, mass))
+    found = _trigram_answers(docs, training, max(1, -(-(total + 1) // BUCKET_TOKENS)), shared_words)
+
+    # back-off weights of first words: the task has summed their frequent successors
+    words = counts.select(F.col("key").alias("c"), ((F.col("n") + 0.5) / mass).alias("word"))
+    facts = found.where("kind = 2").select("b", F.col("text").alias("k"), F.col("c").alias("m"), F.col("units").alias("part")).distinct()
+    rare = found.where("kind = 3").select("b", "c").distinct().join(words, "c").groupBy("b").agg(F.sum(F.round(F.col("word") * 1e15).cast("long")).alias("more"))
+    taken = (F.col("part") + F.coalesce("more", F.lit(0))) / 1e15
+    back1 = F.least(F.greatest(DISCOUNT * F.col("k") / F.col("m"), F.lit(1e-9)) / F.greatest(1 - taken, F.lit(1e-9)), F.lit(1e3))
+    weights = materialize(facts.join(rare, "b", "left").select("b", back1.alias("back1")), "word_weights")
+
+    missing = found.where("kind = 1").select("text", F.col("units").alias("times"), "b", "c", "back2", "p1")
+    others = missing.where("p1 < 0").join(words, "c", "left").withColumn("p1", F.coalesce("word", F.lit(unseen)))
+    missing = missing.where("p1 >= 0").drop("c").unionByName(others.drop("c", "word"))
+    log = F.log10(F.coalesce("back1", F.lit(1.0)) * F.col("p1")) + F.log10("back2")
+    backed = missing.join(weights, "b", "left").select("text", (F.round(log * UNIT).cast("long") * F.col("times")).alias("units"))
     return found.where("kind = 0").select("text", "units").unionByName(backed).groupBy("text").agg(F.sum("units").alias("units"))
 
 
@@ -581,7 +698,7 @@ def lm_score(
     least = max(1, int(np.ceil(word_share * total)))
     words, word_counts = _fetch(counts.where(F.col("n") >= least))  # at most 1 / word_share rows
     shared_words = spark.sparkContext.broadcast((words, word_counts))
-    units = _score_units(docs, training, counts, ends, total, distinct)
+    units = _score_units(docs, training, counts, (words, word_counts), ends, total, distinct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, frequent_counts = shared_words.value

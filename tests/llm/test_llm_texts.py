@@ -403,6 +403,26 @@ def test_lm_keeps_every_gram(spark, monkeypatch, tokens):
         assert abs(r.score - expected[r.doc_id]) <= 0.015 * r.n_tokens + 1e-6, (r, expected[r.doc_id])
 
 
+@pytest.mark.parametrize("hot", [40, 1 << 22])
+def test_lm_sends_each_trigram_once(spark, monkeypatch, hot):
+    """Middle words of one bucket or, if hot, of several; the successors of contexts are not sent again."""
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 300)
+    monkeypatch.setattr(lm, "HOT_TOKENS", hot)
+    written, write = {}, lm.materialize
+    monkeypatch.setattr(lm, "materialize", lambda df, name: written.setdefault(name, write(df, name)))
+    rng = random.Random(19)
+    rows = [(k, sentence(rng, rng.randint(1, 40)) + f" only{k % 20}") for k in range(120)]
+    expected = trigram_scores(rows)
+    found = lm.lm_score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), word_share=0.02).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert abs(r.score - expected[r.doc_id]) <= 0.015 * r.n_tokens + 1e-6, (r, expected[r.doc_id])
+    answers = written["trigram_answers"]
+    assert "bigrams" not in written and "context" not in answers.columns
+    held = sum(len(spaced(text)) + 1 for i, text in rows if zlib.crc32(str(i).encode()) % 7 == 2)
+    assert answers.where("kind = 1").count() <= held
+
+
 def test_elias_fano():
     import numpy as np
 
