@@ -47,6 +47,8 @@ WORD_SHARE = 1e-6
 BUCKET_TOKENS = 1 << 20
 HOT_TOKENS = 1 << 22  # training tokens behind one word that may meet in one task
 MERGE_ROWS = 1 << 21
+QUERY_ROWS = 1 << 18  # trigrams of a bucket that are looked up at once
+SORT_ROWS = 1 << 14
 UNIT = 1e9
 DISCOUNT = 0.75
 HELD_OUT = (7, 2)
@@ -112,7 +114,7 @@ class EliasFano:
         return ((high << np.uint64(self.low_bits)) | self._low_of(i)).astype(np.int64)
 
     def find(self, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Index of each value within [first, last), or -1: a scan of the values with the same high bits."""
+        """Index of each value within [first, last), or -1: the values with the same high bits are halved."""
         out = np.full(len(value), -1, np.int64)
         live = np.flatnonzero((value >= 0) & (first < last))
         if not len(live) or not self.n:
@@ -126,16 +128,18 @@ class EliasFano:
         at = np.maximum(begin, first[live])
         end = np.minimum(end, last[live])
         wanted = (value[live] & ((1 << self.low_bits) - 1)).astype(np.uint64)
-        while len(live):
+        while True:
+            # the first steps go through all, the last ones through those in long runs only
             inside = at < end
             live, at, end, wanted = live[inside], at[inside], end[inside], wanted[inside]
             if not len(live):
-                break
-            low = self._low_of(at)
-            out[live[low == wanted]] = at[low == wanted]
-            going = low < wanted
-            live, at, end, wanted = live[going], at[going] + 1, end[going], wanted[going]
-        return out
+                return out
+            middle = (at + end) >> 1
+            low = self._low_of(middle)
+            out[live[low == wanted]] = middle[low == wanted]
+            going = low != wanted
+            live, at, end, wanted, middle, less = live[going], at[going], end[going], wanted[going], middle[going], (low < wanted)[going]
+            at, end = np.where(less, middle + 1, at), np.where(less, end, middle)
 
 
 # --- the model ------------------------------------------------------------------------------------
@@ -364,6 +368,20 @@ def _distinct_rows(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _joined(*columns: np.ndarray) -> list[np.ndarray]:
+    """The same order of rows in fewer columns: numbers from 0 that fit into 63 bits together become one."""
+    out, free = [], 0
+    for x in columns:
+        bits = int(x.max()).bit_length() if len(x) else 0
+        if out and bits <= free:
+            out[-1] = (out[-1] << bits) | x
+            free -= bits
+        else:
+            out.append(x)
+            free = 63 - bits
+    return out
+
+
 def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     mixed = mix(a.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
     return mix(mixed).view(np.int64)
@@ -391,7 +409,14 @@ def _place(sorted_keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Where each number stands, or -1."""
     if not len(sorted_keys):
         return np.full(len(asked), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, asked), len(sorted_keys) - 1)
+    if len(asked) > SORT_ROWS:
+        # in order, so that the search goes through memory once
+        order = np.argsort(asked)
+        at = np.empty(len(asked), np.int64)
+        at[order] = np.searchsorted(sorted_keys, asked[order])
+    else:
+        at = np.searchsorted(sorted_keys, asked)
+    at = np.minimum(at, len(sorted_keys) - 1)
     return np.where(sorted_keys[at] == asked, at, -1)
 
 
@@ -427,9 +452,17 @@ def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int, known: Vocab
     ends[begins] = False
     at = np.flatnonzero(ends)
     first = at == begins[owner[at]] + 1
-    a, b, c, owner = np.where(first, START, ids[at - 1 - ~first]), ids[at - 1], ids[at], owner[at]
-    bucket = _bucket_of(b, _pair_key(a, b).view(np.uint64) % known.of(known.parts, b, 1).astype(np.uint64), n_buckets)
-    order, new = _distinct_rows(bucket, b, a, owner, c)
+    # words of the block by their rank, which packs into few columns
+    distinct, local = np.unique(np.append(ids, START), return_inverse=True)
+    where, start = known.place(distinct), local[-1]
+    a, b, c, owner = np.where(first, start, local[at - 1 - ~first]), local[at - 1], local[at], owner[at]
+    parts = np.where(where >= 0, known.parts[where], 1)[b]
+    part = np.zeros(len(b), np.uint64)
+    hot = np.flatnonzero(parts > 1)
+    part[hot] = _pair_key(distinct[a[hot]], distinct[b[hot]]).view(np.uint64) % parts[hot].astype(np.uint64)
+    bucket = _bucket_of(distinct, np.uint64(0), n_buckets)[b]
+    bucket[hot] = _bucket_of(distinct[b[hot]], part[hot], n_buckets)
+    order, new = _distinct_rows(*_joined(bucket, b, a, owner, c))
     times = np.diff(np.append(new, len(order)))
     order = order[new]
     texts = hash_spans(block.data, block.starts[:-1], block.starts[1:]).view(np.int64)
@@ -439,11 +472,11 @@ def _packed_grams(block: Block, trains: np.ndarray, n_buckets: int, known: Vocab
         own, of = np.unique(owner[rows], return_inverse=True)
         words, number = np.unique(np.concatenate((a[rows], b[rows], c[rows])), return_inverse=True)
         # frequent words go by their steps in the vocabulary, the others by hash
-        where = known.place(words)
-        frequent = where >= 0
+        found, words = where[words], distinct[words]
+        frequent = found >= 0
         rank = np.empty(len(words), np.int64)
         rank[frequent], rank[~frequent] = np.arange(frequent.sum()), frequent.sum() + np.arange((~frequent).sum())
-        steps = np.diff(where[frequent], prepend=0)
+        steps = np.diff(found[frequent], prepend=0)
         number = rank[number]
         head = [len(own), len(rows), len(steps), len(words) - len(steps)]
         yield int(bucket[rows[0]]), _compressed(GRAMS, head, [texts[own], words[~frequent]], [steps, trains[own], of, times[i:j], *np.split(number, 3)])
@@ -518,6 +551,24 @@ class Bucket:
         n = np.add.reduceat(n[order], new) if len(order) else n
         return b[order[new]], c[order[new]], n
 
+    def _queries(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """texts, owner, times, context, b, c of the file, parcels of many senders at once, ordered by context."""
+        self.file.seek(0)
+        taken, rows, n_texts = [], 0, 0
+        while True:
+            head = self.file.read(8)
+            if taken and (not head or rows > QUERY_ROWS):
+                columns = [np.concatenate(x) for x in zip(*taken, strict=True)]
+                order = np.argsort(columns[3])
+                yield columns[0], *(x[order] for x in columns[1:])
+                taken, rows, n_texts = [], 0, 0
+            if not head:
+                return
+            raw = _expanded(self.file.read(int(np.frombuffer(head, np.int64)[0])))
+            texts, _, owner, *columns = _unpacked(raw, self.known)
+            taken.append((texts, owner + n_texts, *columns))
+            rows, n_texts = rows + len(owner), n_texts + len(texts)
+
     def answers(self) -> Iterator[dict[str, np.ndarray]]:
         """Sums of found n-grams per text; what must back off to words, the facts of its first words and their rare successors."""
         self.parts = self.parts or [(np.zeros(0, np.int64),) * 4]
@@ -543,10 +594,7 @@ class Bucket:
         back2 = _back_off(left, seen)
         asked_firsts = np.zeros(len(firsts), bool)
 
-        self.file.seek(0)
-        while head := self.file.read(8):
-            raw = _expanded(self.file.read(int(np.frombuffer(head, np.int64)[0])))
-            texts, _, owner, times, asked, middle, last = _unpacked(raw, self.known)
+        for texts, owner, times, asked, middle, last in self._queries():
             ctx = _place(contexts, asked)
             at = level.find(ctx, _place(words, last) + 1)
             hit = at >= 0

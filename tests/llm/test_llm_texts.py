@@ -436,6 +436,31 @@ def test_elias_fano():
         assert (got == np.where(np.isin(asked, values), np.searchsorted(values, asked), -1)).all()
 
 
+def test_long_runs_of_successors_are_halved(monkeypatch):
+    import numpy as np
+
+    values = np.append(np.arange(0, 40_000, 2), 1 << 40)
+    coded, steps, low_of = lm.EliasFano.encode(values), [], lm.EliasFano._low_of
+    monkeypatch.setattr(lm.EliasFano, "_low_of", lambda self, i: steps.append(len(i)) or low_of(self, i))
+    asked = np.arange(0, 40_000, 7)
+    found = coded.find(asked, np.zeros(len(asked), np.int64), np.full(len(asked), len(values)))
+    assert found.tolist() == [x // 2 if x % 2 == 0 else -1 for x in asked.tolist()]
+    assert len(steps) < 40
+
+
+def test_joined_columns_keep_the_order():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for bits in ((3, 5, 7), (40, 30, 2, 60), (0, 63, 1)):
+        columns = [rng.integers(0, 1 << b, 500, dtype=np.int64) if b else np.zeros(500, np.int64) for b in bits]
+        columns = [np.append(x, x[:50]) for x in columns]
+        order, new = lm._distinct_rows(*columns)
+        packed_order, packed_new = lm._distinct_rows(*lm._joined(*columns))
+        assert order.tolist() == packed_order.tolist() and new.tolist() == packed_new.tolist()
+    assert len(lm._joined(*[np.arange(9)] * 5)) == 1
+
+
 def test_trie_probabilities_sum_to_one():
     import numpy as np
 
