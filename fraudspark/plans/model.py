@@ -16,6 +16,7 @@ from fraudspark.functions.trees import NODE_SCHEMA, forest_arrays
 from fraudspark.operators import anomaly, cluster
 from fraudspark.operators.clean import clean
 from fraudspark.operators.features import add_features
+from fraudspark.session import materialize
 from fraudspark.sources.sinks import keep_csv_columns
 
 
@@ -90,8 +91,13 @@ class FraudModel:
         return found.unionByName(left_out, allowMissingColumns=True)
 
     def score(self, raw: DataFrame) -> DataFrame:
-        """New raw rows, cleaned and encoded as the fitted ones were, with labels and scores."""
-        return self.score_features(add_features(clean(raw, self.cfg), self.cfg, self.categories))
+        """New raw rows, cleaned and encoded as the fitted ones were, with labels and scores.
+
+        The cleaned rows are written once, as for the fit: else the null checks of all features are pushed below
+        the duplicate removal, as one method too long to be compiled, and the rows left out are cleaned again.
+        """
+        cleaned = materialize(clean(raw, self.cfg), "cleaned")
+        return self.score_features(add_features(cleaned, self.cfg, self.categories))
 
 
 def _tuples(value):

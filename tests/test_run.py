@@ -65,6 +65,12 @@ def test_saved_model_scores_the_same_in_another_session(spark, result):
     assert one.count() <= 3 and "anomaly_score" in one.columns
 
 
+def test_scoring_reads_cleaned_rows_that_are_written(spark, result):
+    done, out = result
+    plan = FraudModel.load(spark, str(out / "model")).score(done.raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # the duplicate removal lies behind the written rows
+
+
 def test_profiles_come_with_the_written_rows(result):
     done = result[0]
     expected = {tuple(r) for r in schema_info(done.cleaned).collect()}
