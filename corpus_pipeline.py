@@ -16,7 +16,7 @@ from fraudspark.llm.lines import dedup_lines
 from fraudspark.llm.pack import pack
 from fraudspark.llm.queries import bpe_path, table
 from fraudspark.llm.toxicity import toxicity
-from fraudspark.session import materialize
+from fraudspark.session import materialize, small_batches
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     scored = toxicity(docs, table(spark, sf_dir, "labels"), keep_rows=True)
-    return scored.where(F.col("predicted") == 0).select("row.*")
+    with small_batches(spark):
+        return materialize(scored.where(F.col("predicted") == 0).select("row.*"), "not_toxic")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

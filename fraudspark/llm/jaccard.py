@@ -34,12 +34,13 @@ from pyspark.sql import functions as F
 from fraudspark.llm.bitmap import maybe_in
 from fraudspark.llm.components import components
 from fraudspark.llm.text import Block, blocks, hash_spans, lower_ascii, mix, shingles, space_words
-from fraudspark.session import materialize
+from fraudspark.session import materialize, small_batches
 
 SIZE = 5
 PERCENT = 80
 FREQUENT = 1 << 20
-SEEN_OFTEN = 4  # times in one batch of rows
+SEEN_OFTEN = 4  # times in SEEN_ROWS rows of a task
+SEEN_ROWS = 10_000
 CHUNK = 50_000
 AHEAD = 16
 
@@ -52,18 +53,32 @@ def block_shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes and counts of the shingles that stand in several texts of a batch."""
+    """Sorted hashes and counts of the shingles that stand in several of ``SEEN_ROWS`` texts."""
+
+    def counts(found: list[np.ndarray]) -> pa.RecordBatch:
+        value = np.concatenate(found)
+        found.clear()
+        value.sort()
+        # in sorted order one that stands there often is equal to the one so many places before
+        again = value[SEEN_OFTEN - 1 :]
+        key = np.unique(again[again == value[: len(again)]])
+        n = np.searchsorted(value, key, "right") - np.searchsorted(value, key)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, seen = [], 0
         for batch in batches:
-            found = [block_shingles(block, size)[0] for block in blocks(batch.column(0))]
-            if found:
-                key, n = np.unique(np.concatenate(found), return_counts=True)
-                often = n >= SEEN_OFTEN
-                yield pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(n[often])], ["key", "n"])
+            found += [block_shingles(block, size)[0] for block in blocks(batch.column(0))]
+            seen += batch.num_rows
+            if seen >= SEEN_ROWS:
+                yield counts(found)
+                seen = 0
+        if seen:
+            yield counts(found)
 
     counted = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    table = counted.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    with small_batches(texts.sparkSession):
+        table = counted.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     key, n = (table.column(i).to_numpy().astype(np.int64) for i in range(2))
     order = np.argsort(key.view(np.uint64))
     return key.view(np.uint64)[order], n[order]
@@ -254,7 +269,8 @@ def jaccard_components(
 
     kind = keyed.schema["doc_id"].dataType.simpleString()
     rows = keyed.mapInArrow(describe, f"doc_id {kind}, k1 long, k2 long, n long, set long, first array<long>")
-    rows = materialize(rows, "shingle_sets")
+    with small_batches(spark):
+        rows = materialize(rows, "shingle_sets")
     full = rows.where(F.col("n") > 0)
 
     # the members of shared shingles; very frequent ones in chunks
@@ -292,7 +308,8 @@ def jaccard_components(
     )
     star = _enough_in_front(materialize(star, "star_pairs"), full, percent, "star_fronts")
     sets = _sets(keyed, full, star, size, shared, "star_sets")
-    links = materialize(_linked(star, sets, percent), "star_links")
+    with small_batches(spark):
+        links = materialize(_linked(star, sets, percent), "star_links")
     merged = materialize(components(links), "star_components")
 
     # sets outside of their bucket's main component against the sets of other components
@@ -318,7 +335,8 @@ def jaccard_components(
     )
     crossing = _enough_in_front(materialize(crossing, "crossing_pairs"), full, percent, "crossing_fronts")
     sets = _sets(keyed, full, crossing, size, shared, "crossing_sets")
-    more = materialize(_linked(crossing, sets, percent), "more_links")
+    with small_batches(spark):
+        more = materialize(_linked(crossing, sets, percent), "more_links")
     final = components(links.unionByName(more))
 
     least = (
@@ -378,4 +396,5 @@ def _sets(keyed: DataFrame, full: DataFrame, pairs: DataFrame, size: int, often,
                 own = batch.column(0).slice(block.first, len(block))
                 yield pa.RecordBatch.from_arrays([own, pa.array(packed, pa.binary())], ["set", "shingles"])
 
-    return materialize(texts.mapInArrow(run, "set long, shingles binary"), name)
+    with small_batches(keyed.sparkSession):
+        return materialize(texts.mapInArrow(run, "set long, shingles binary"), name)

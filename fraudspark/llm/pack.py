@@ -28,18 +28,16 @@ from pyspark.sql import functions as F
 
 from fraudspark.llm.text import blocks
 from fraudspark.llm.tokens import encode_block
-from fraudspark.session import materialize, with_setting
+from fraudspark.session import materialize, small_batches
 
 CELL_PIECES = 1024  # a cell is one task's work; more pieces make more cells
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 GENERATIONS = 6
-BATCH_ROWS = 1000  # texts that stand in an Arrow batch, in the executor and in its Python worker
 TOKEN_BYTES = 500_000  # of texts encoded together; more save no time
 POOR_FILL = 0.95  # bins below this share meet again in the last round
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -229,8 +227,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     pieces = tokenize(docs, tokenizer_path, capacity, id_column, text_column, keep_ids)
-    rows = int(docs.sparkSession.conf.get(ARROW_ROWS))  # 0 or less: no bound
-    with with_setting(docs.sparkSession, ARROW_ROWS, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS):
+    with small_batches(docs.sparkSession):
         pieces = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity)
     loose = pieces.where(F.col("length") < capacity).select("item", "length")

@@ -95,9 +95,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(name: str, base: np.uint64, n: int) -> np.ndarray:
     table = _powers.get(name)
     if table is None or len(table) < n:
-        table = np.full(max(n, BLOCK_BYTES + 1), base, np.uint64)
+        table = np.full(1 << max(n, 1 << 16).bit_length(), base, np.uint64)
         table[0] = 1
-        table = _powers[name] = np.multiply.accumulate(table)
+        table = _powers[name] = np.multiply.accumulate(table, out=table)
     return table[:n]
 
 
@@ -105,7 +105,10 @@ def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
     """64-bit hash of the bytes of each span, from one running polynomial sum."""
     n = len(data)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table("up", _BASE, n), out=total[1:])
+    sums = total[1:]  # one array of 64-bit numbers beside the powers, for a block is most of a worker's memory
+    np.add(data, np.uint64(1), out=sums, dtype=np.uint64)
+    sums *= _power_table("up", _BASE, n)
+    np.cumsum(sums, out=sums)
     value = (total[end] - total[begin]) * _power_table("down", _BASE_INVERSE, n + 1)[begin]
     return mix(mix(value) + (end - begin).astype(np.uint64))
 

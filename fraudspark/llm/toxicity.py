@@ -24,10 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from fraudspark.llm.text import Block, blocks, hash_spans, spans
-from fraudspark.session import materialize
+from fraudspark.session import materialize, small_batches
 
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 2_000
@@ -220,11 +220,12 @@ class Scorer:
         """One row of FEATURES per document."""
         lower, inside = _character_classes()
         codes = np.frombuffer(block.data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        reach = np.concatenate(([0], np.cumsum((block.data & 0xC0) != 0x80)))
-        starts = reach[block.starts]
+        starts = block.starts - np.searchsorted(np.flatnonzero((block.data & 0xC0) == 0x80), block.starts)
         small = np.minimum(codes, 0xFFFF)
-        codes = np.where(codes < 0x10000, lower[small], codes).astype(np.uint32)
-        begin, end, doc = spans(inside[small] & (codes < 0x10000), starts)
+        wide = codes >= 0x10000
+        codes = np.where(wide, codes, lower[small])
+        begin, end, doc = spans(inside[small] & ~wide, starts)
+        del small, wide
         out = np.zeros((len(block), len(FEATURES)))
         if not len(begin) or not self.trie.terms:
             return out
@@ -284,18 +285,19 @@ class Scorer:
         return enclosed | reported, any_between(second, low, high)
 
 
-def _feature_rows(rows: DataFrame, terms: list[tuple[str, float]]) -> DataFrame:
-    """Rows of (key columns, text last) with the text replaced by the features."""
+def _feature_rows(rows: DataFrame, terms: list[tuple[str, float]], keep_text: bool = False) -> DataFrame:
+    """Rows of (key columns, text last) with the features, in place of the text unless it is kept."""
+    kept = rows.columns if keep_text else rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms)
         for batch in batches:
             parts = [scorer.features(block) for block in blocks(batch.column(batch.num_columns - 1))]
             found = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
-            columns = [*batch.columns[:-1], *[pa.array(found[:, i]) for i in range(len(FEATURES))]]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *FEATURES])
+            columns = [*batch.columns[: len(kept)], *[pa.array(found[:, i]) for i in range(len(FEATURES))]]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *FEATURES])
 
-    schema = StructType([*rows.schema.fields[:-1], *[StructField(f, DoubleType()) for f in FEATURES]])
+    schema = StructType([*rows.schema.fields[: len(kept)], *[StructField(f, DoubleType()) for f in FEATURES]])
     return rows.mapInArrow(run, schema)
 
 
@@ -315,6 +317,11 @@ def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, pull: float = 1.0,
     return w
 
 
+def _named(column: str) -> Column:
+    """A column by its name, with whatever characters."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -332,10 +339,16 @@ def toxicity(
     """
     sample = labelled_sample(docs, labels, label_column, sample_rows, HELD_OUT, id_column, text_column)
     terms = learn_lexicon(sample, lexicon_size)
-    learned = _feature_rows(sample.select("y", "text"), terms).toPandas() if terms else None  # at most sample_rows rows
-    own = [F.struct("*").alias("row")] if keep_rows else []
+    with small_batches(docs.sparkSession):
+        learned = _feature_rows(sample.select("y", "text"), terms).toPandas() if terms else None  # at most sample_rows rows
+    # of kept rows the text, most of a row, goes through Python once only
+    text_once = keep_rows and text_column in docs.columns and docs.schema[text_column].dataType == StringType()
+    others = [c for c in docs.columns if not (text_once and c == text_column)]
+    own = [F.struct(*map(_named, others)).alias("row")] if keep_rows else []
     rows = docs.select(*own, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    found = _feature_rows(rows, terms)
+    found = _feature_rows(rows, terms, text_once)
+    if text_once:
+        found = found.withColumn("row", F.struct(*[F.col("text").alias(c) if c == text_column else F.col("row")[c] for c in docs.columns]))
     if learned is None:
         score = F.lit(0.0)
     else:

@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000  # texts that stand in an Arrow batch, in the executor and in its Python worker
 
 
 def build_session(app_name: str = "fraudspark", **settings: str) -> SparkSession:
@@ -48,6 +50,14 @@ def with_setting(spark: SparkSession, key: str, value: object) -> Iterator[None]
         spark.conf.set(key, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """At most ``BATCH_ROWS`` rows in an Arrow batch for what is run inside; a smaller bound of the session holds."""
+    rows = int(spark.conf.get(ARROW_ROWS))  # 0 or less: no bound
+    with with_setting(spark, ARROW_ROWS, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS):
+        yield
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 

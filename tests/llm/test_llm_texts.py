@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fraudspark.llm import decontaminate, jaccard, language, lines, lm, pack, quality, queries, shard, toxicity
+from fraudspark.session import with_setting
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
 
@@ -104,6 +105,65 @@ def test_packing_keeps_batches_and_workers_small(spark, docs, monkeypatch):
     assert tokens.exact.cache_info().currsize == 0
 
 
+def test_pipeline_stages_keep_batches_small(spark, docs, labels, monkeypatch, tmp_path):
+    """Whole texts reach Python in small batches in the stages of toxicity and near copies; the session keeps its own."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    before = spark.conf.get(key)
+
+    def noted(write):
+        return lambda df, name: (seen.setdefault(name, int(spark.conf.get(key))), write(df, name))[1]
+
+    for module in (corpus_pipeline, jaccard):
+        monkeypatch.setattr(module, "materialize", noted(module.materialize))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()  # no label says toxic
+    assert jaccard.jaccard_components(docs).count() == docs.count()
+    assert all(seen[x] <= 1000 for x in ("not_toxic", "shingle_sets", "star_sets", "star_links", "crossing_sets", "more_links"))
+    assert spark.conf.get(key) == before
+
+
+def test_kept_rows_go_through_python_once(spark, labels):
+    """The text is not in the kept struct as well on its way; rows come back whole and in their order of columns."""
+    rows = [(f"text number {i} été", i, None if i % 3 else "x", i % 2 == 0) for i in range(12)] + [(None, 3, None, None)]
+    docs = spark.createDataFrame(rows, "text string, doc_id long, `a.b` string, row boolean")
+    found = toxicity.toxicity(docs, labels, keep_rows=True)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "named_struct(text" not in plan.split("MapInArrow", 1)[1]
+    assert found.select("row.*").schema == docs.schema
+    assert Counter(found.select("row.*").collect()) == Counter(docs.collect())
+
+
+def test_frequent_shingles_are_counted_over_many_small_batches(spark):
+    """A shingle that stands once in each of several small batches is frequent."""
+    rng = random.Random(9)
+    texts = [sentence(rng, 12) + (" one passage of five words" if i % 10 == 0 else "") for i in range(60)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    whole = [x.tolist() for x in jaccard.frequent_shingles(docs, 5)]
+    with with_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", 7):
+        assert [x.tolist() for x in jaccard.frequent_shingles(docs, 5)] == whole
+    counts = Counter(" ".join(t.split()[i : i + 5]) for t in texts for i in range(len(t.split()) - 4))
+    assert sorted(whole[1]) == sorted(n for n in counts.values() if n >= jaccard.SEEN_OFTEN) != []
+
+
+def test_hashing_a_block_takes_little_memory():
+    """Beside the powers, which all blocks share, one array of 64-bit numbers."""
+    import tracemalloc
+
+    import numpy as np
+
+    from fraudspark.llm.text import hash_spans
+
+    data, n = np.frombuffer(b"a few words " * 40_000, np.uint8), 480_000
+    begin = np.arange(0, n, 12)
+    first = hash_spans(data, begin, begin + 11)
+    tracemalloc.start()
+    again = hash_spans(data, begin, begin + 11)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (again == first).all() and len(set(first.tolist())) == 1
+    assert peak < 14 * n
+
+
 def test_evolution_reaches_a_known_optimum():
     rng = random.Random(3)
     sizes = []
