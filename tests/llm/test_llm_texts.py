@@ -128,7 +128,7 @@ def test_kept_rows_go_through_python_once(spark, labels):
     docs = spark.createDataFrame(rows, "text string, doc_id long, `a.b` string, row boolean")
     found = toxicity.toxicity(docs, labels, keep_rows=True)
     plan = found._jdf.queryExecution().analyzed().toString()
-    assert "named_struct(text" not in plan.split("MapInArrow", 1)[1]
+    assert "struct(text" not in plan.split("MapInArrow", 1)[1]
     assert found.select("row.*").schema == docs.schema
     assert Counter(found.select("row.*").collect()) == Counter(docs.collect())
 
